@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,10 +93,18 @@ def project_parsed(
     present: Collection[str] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
+    application = parsed.sparkSession.sparkContext.applicationId
+    chosen = None if present is None else frozenset(present)
+    return parsed.select(*keep, *_projection(application, tuple(fields), rules, chosen))
+
+
+@lru_cache(maxsize=20_000)
+def _projection(
+    application: str, fields: tuple[FieldSpec, ...], rules: CastRules, present: frozenset[str] | None
+) -> list[Column]:
+    """The select list of a target. Expressions are unresolved, so every batch of an application can use them again."""
     record = F.col("record")
-    return parsed.select(
-        *keep, *outer_columns(record, fields, rules, present), *property_columns(record, fields, rules)
-    )
+    return [*outer_columns(record, fields, rules, present), *property_columns(record, fields, rules)]
 
 
 def preview_rows(df: DataFrame, order_by: Sequence[str] = (), rows: int = 5, width: int = 20) -> DataFrame:
@@ -110,10 +119,8 @@ def _cut(cell: Column, width: int) -> Column:
     return F.when(F.length(text) > width, cut).otherwise(text)
 
 
-def preview_text(df: DataFrame, rows: int = 5, width: int = 20, enabled: bool = True) -> str:
-    """Schema tree plus the first rows, for logs; one small job, and none when switched off."""
-    if not enabled:
-        return "(preview disabled)"
+def preview_text(df: DataFrame, rows: int = 5, width: int = 20) -> str:
+    """Schema tree plus the first rows, for logs."""
     lines = [" | ".join(df.columns)]
     lines += [" | ".join(str(cell) for cell in row) for row in preview_rows(df, rows=rows, width=width).collect()]
     return df.schema.treeString() + "\n" + "\n".join(lines)

@@ -72,6 +72,26 @@ def sort_out(df: DataFrame, names: Sequence[str], mode: str = "exact") -> DataFr
     )
 
 
+def having(df: DataFrame, names: Sequence[str], wanted: str, mode: str = "exact") -> DataFrame:
+    """The records with one given outcome, each with its ``reason``.
+
+    A filter on the columns of ``sort_out`` would be pushed below them, and parse the record again for each mention.
+    Here the parsed record is bound once, as the variable of a one-element transform.
+    """
+    value = F.col("value")
+
+    def judge(record: Column) -> Column:
+        match = is_event(record, names) if mode == "exact" else matches_text(value, names)
+        match = F.coalesce(match, F.lit(False))
+        reason = F.when(~match, records.defect(value, record))
+        return F.struct(records.outcome(match, reason).alias("outcome"), reason.alias("reason"))
+
+    parsed = records.parse_record("value", records.record_type())
+    verdict = F.element_at(F.transform(F.array(parsed), judge), 1)
+    judged = df.withColumn("verdict", verdict).where(F.col("verdict.outcome") == wanted)
+    return judged.withColumn("reason", F.col("verdict.reason")).drop("verdict")
+
+
 def quarantine(df: DataFrame) -> DataFrame:
     """Records that cannot be read, each with its reason."""
-    return sort_out(df, []).where(F.col("outcome") == records.QUARANTINED).drop("outcome", "event")
+    return having(df, [], records.QUARANTINED)

@@ -52,7 +52,8 @@ def route_batch(
                 typed = project(
                     routed.where(F.col("event") == event), fields, config.cast_rules, present and present.get(event, ())
                 )
-                log(f"table {event}:\n{preview_text(typed, enabled=config.preview)}")
+                if config.preview:
+                    log(f"table {event}:\n{preview_text(typed)}")
                 sink.append(typed, event, batch.source_id, batch.batch_id)
             except Exception as err:
                 return TableStatus(event, status.ERROR, str(err), rows[event])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logweir.config import IngestConfig
 from logweir.functions import records
 from logweir.operators import routing, schema, status
-from logweir.operators.projection import FieldSpec, preview_text, project_parsed, record_schema
+from logweir.operators.projection import FieldSpec, preview_text, project, project_parsed, record_schema
 from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, write_side
 from logweir.sinks.tables import TableSink, identifier
 
@@ -51,9 +51,9 @@ def single_table_batch(
     watched = ready.observe(seen, *[F.count_if(F.col("outcome") == name).alias(name) for name in outcomes])
     routed = watched.where(F.col("outcome") == records.ROUTED)
     try:
-        typed = project_parsed(routed, fields, config.cast_rules, _present(ready, config))
+        typed = project_parsed(routed, fields, config.cast_rules, _present(batch.df, names, config))
         if config.preview:
-            shown = project_parsed(ready.where(F.col("outcome") == records.ROUTED), fields, config.cast_rules)
+            shown = project(routing.route(batch.df, names, config.routing_mode), fields, config.cast_rules)
             log(f"table {table}:\n{preview_text(shown)}")
         sink.append(typed, table, batch.source_id, batch.batch_id)
         counts = seen.get
@@ -64,7 +64,7 @@ def single_table_batch(
         counts = {**dict.fromkeys(outcomes, 0), **{row.outcome: row.n for row in tally}}
         result = TableStatus(table, status.ERROR, str(err), counts[records.ROUTED])
     report = BatchReport(batch.batch_id, (result,), sum(counts.values()), **counts)
-    _side_outputs(batch, ready, report, config)
+    _side_outputs(batch, names, report, config)
     return finish(batch, report, config)
 
 
@@ -72,26 +72,28 @@ def _quarantines(config: IngestConfig) -> bool:
     return config.on_error == "quarantine"
 
 
-def _present(ready: DataFrame, config: IngestConfig) -> set[str] | None:
+def _present(df: DataFrame, names: Sequence[str], config: IngestConfig) -> set[str] | None:
     if config.missing_outer == "null":
         return None
-    routed = ready.where(F.col("outcome") == records.ROUTED).select("value", F.lit("*").alias("event"))
+    routed = routing.route(df, names, config.routing_mode).select("value", F.lit("*").alias("event"))
     found = schema.collect_schemas(routed)
     return set(found["*"].names) if found else set()
 
 
-def _side_outputs(batch: Batch, ready: DataFrame, report: BatchReport, config: IngestConfig) -> None:
+def _side_outputs(batch: Batch, names: Sequence[str], report: BatchReport, config: IngestConfig) -> None:
     """A second read of the batch, only if there is something to write."""
+
+    def having(outcome: str) -> DataFrame:
+        return routing.having(batch.df.select("value"), names, outcome, config.routing_mode)
+
     if config.unrouted_location and report.unrouted:
-        rest = ready.where(F.col("outcome") == records.UNROUTED).select("value")
-        write_side(rest, config.unrouted_location, batch)
+        write_side(having(records.UNROUTED).select("value"), config.unrouted_location, batch)
     if not config.quarantine_location:
         return
-    bad = ready.where(F.col("outcome") == records.QUARANTINED).select("value", "reason")
+    bad = having(records.QUARANTINED).select("value", "reason")
     if report.failed and _quarantines(config):
         reason = F.lit(f"write failed: {report.failed[0].exception}")
-        lost = ready.where(F.col("outcome") == records.ROUTED).select("value", reason.alias("reason"))
-        bad = bad.unionByName(lost)
+        bad = bad.unionByName(having(records.ROUTED).select("value", reason.alias("reason")))
     elif not report.quarantined:
         return
     write_side(bad, config.quarantine_location, batch)

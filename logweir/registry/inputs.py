@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.projection import FieldSpec, fields_from_specs
+from logweir.sinks.workdir import new_folder
 from logweir.sources.catalog import EventCatalog, load_catalog
 
 
@@ -64,8 +65,24 @@ def envelopes(events: DataFrame) -> DataFrame:
     )
 
 
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, with at least one file for each core, and read it back."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    spread = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    folder = new_folder(df.sparkSession, purpose)
+    spread.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+_landed: dict[tuple[str, str], DataFrame] = {}
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelopes(table(spark, sf_dir, "events"))
+    """The records as they lie in the landing area: written once per application, then read by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        _landed[key] = landed(envelopes(table(spark, sf_dir, "events")), "records")
+    return _landed[key]
 
 
 # Records as they look when a transfer was cut short: the text of low-value events misses its last three characters.
@@ -131,8 +148,15 @@ def route_fields(spark: SparkSession) -> DataFrame:
     )
 
 
+_catalogs: dict[str, EventCatalog] = {}
+
+
 def route_catalog(spark: SparkSession) -> EventCatalog:
-    return load_catalog(routes(spark), route_fields(spark))
+    """A job loads its catalog once, when it starts."""
+    application = spark.sparkContext.applicationId
+    if application not in _catalogs:
+        _catalogs[application] = load_catalog(routes(spark), route_fields(spark))
+    return _catalogs[application]
 
 
 # ---- the large catalog ---------------------------------------------------------------------------------------------
