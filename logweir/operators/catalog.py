@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweir.functions import specs
@@ -99,14 +99,13 @@ def split_at_delimiter(joined: DataFrame, delimiter: str = DELIMITER) -> DataFra
     """Mark each field ``outer`` (up to and including the delimiter field) or ``property`` (after it).
 
     The delimiter is matched by exact name. An event without one has outer fields only and ``has_delimiter`` false.
+    The window runs over merged declarations, so its groups are as large as a table is wide.
     """
-    fields = first_declarations(joined)
     place = F.struct("field_id", "field_key")
-    ends = fields.groupBy("event_name").agg(
-        F.min(F.when(F.col("field_key") == delimiter.lower(), place)).alias("end")
-    )
+    end = F.min(F.when(F.col("field_key") == delimiter.lower(), place)).over(Window.partitionBy("event_name"))
     return (
-        fields.join(ends, "event_name")
+        first_declarations(joined)
+        .withColumn("end", end)
         .withColumn("has_delimiter", F.col("end").isNotNull())
         .withColumn("scope", F.when(place > F.col("end"), F.lit(PROPERTY)).otherwise(F.lit(OUTER)))
         .select("event_name", "field_id", "field_name", "data_type", "json_field_name", "scope", "has_delimiter")

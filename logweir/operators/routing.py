@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.functions import records
 from logweir.operators.bounds import broadcast_if_small
@@ -58,17 +59,22 @@ def _names(events: DataFrame) -> DataFrame:
     return broadcast_if_small(events.select(F.col("event_name").alias("event")))
 
 
-def sort_out(df: DataFrame, names: Sequence[str], mode: str = "exact") -> DataFrame:
-    """``value, event, outcome, reason``: one parse per record decides routed, unrouted or quarantined."""
+def sort_out(
+    df: DataFrame, names: Sequence[str], mode: str = "exact", schema: T.StructType | None = None
+) -> DataFrame:
+    """Add ``record, event, outcome, reason``: one parse per record decides routed, unrouted or quarantined.
+
+    With a wider ``schema`` than the bare event tag, the same parse also reads the fields.
+    """
     value, record = F.col("value"), F.col("record")
     wanted = is_event(record, names) if mode == "exact" else matches_text(value, names)
     return (
-        df.withColumn("record", records.parse_record("value", records.record_type()))
+        df.withColumn("record", records.parse_record("value", schema or records.record_type()))
         .withColumn("wanted", F.coalesce(wanted, F.lit(False)))
         .withColumn("reason", F.when(~F.col("wanted"), records.defect(value, record)))
         .withColumn("outcome", records.outcome(F.col("wanted"), F.col("reason")))
         .withColumn("event", records.event_of(record))
-        .drop("record", "wanted")
+        .drop("wanted")
     )
 
 

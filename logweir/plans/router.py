@@ -1,13 +1,15 @@
 """Router plan: one target table per event name.
 
-The batch is parsed once for its event tags, and then every target must read only its own records, however many
-targets there are:
+The batch is parsed once, and then every target must read only its own records, however many targets there are:
 
-* ``staged`` (default) writes the tagged batch once into the shared folder, partitioned by outcome and event. The
+* ``staged`` (default) writes the sorted batch once into the shared folder, partitioned by outcome and event. The
   rebalance hint lets adaptive execution split a hot event into many evenly sized files and put small events
   together. Each target then reads one partition directory. Nothing depends on executor memory.
-* ``cached`` persists the tagged batch and filters it once per target. It saves one write for small batches with a
+* ``cached`` persists the sorted batch and filters it once per target. It saves one write for small batches with a
   handful of targets.
+
+What is kept of a routed record is its parsed fields, so that the targets only cast. A catalog too wide for that, or
+one whose keys collide, keeps the record text instead and every target parses its own records.
 """
 
 from __future__ import annotations
@@ -18,17 +20,23 @@ from contextlib import contextmanager
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.config import IngestConfig
-from logweir.functions.records import QUARANTINED, ROUTED, UNROUTED
+from logweir.functions.records import EVENT_KEY, QUARANTINED, ROUTED, UNROUTED
 from logweir.operators import routing, schema, status
-from logweir.operators.projection import preview_text, project
+from logweir.operators.catalog import OUTER, PROPERTY
+from logweir.operators.projection import preview_text, project, project_parsed, record_schema
 from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, rejected, write_side
 from logweir.sinks.tables import TableSink
 from logweir.sinks.workdir import shared_folder
 from logweir.sources.catalog import EventCatalog
 
-TAGGED_DDL = "value string, reason string, outcome string, event string"
+# Beyond this many different keys the parsed records would be mostly NULL columns.
+MAX_PARSED_KEYS = 500
+
+# Row groups small enough that also a single file of a hot event is read by several tasks.
+STAGE_OPTIONS = {"partitionOverwriteMode": "static", "parquet.block.size": str(16 * 1024 * 1024)}
 
 
 def route_batch(
@@ -49,9 +57,9 @@ def route_batch(
             if event not in rows:
                 return TableStatus(event, status.NO_DATA)
             try:
-                typed = project(
-                    routed.where(F.col("event") == event), fields, config.cast_rules, present and present.get(event, ())
-                )
+                mine = routed.where(F.col("event") == event)
+                read = project_parsed if "record" in mine.columns else project
+                typed = read(mine, fields, config.cast_rules, present and present.get(event, ()))
                 if config.preview:
                     log(f"table {event}:\n{preview_text(typed)}")
                 sink.append(typed, event, batch.source_id, batch.batch_id)
@@ -72,20 +80,38 @@ def route_batch(
     return finish(batch, report, config)
 
 
+def parsed_schema(catalog: EventCatalog, config: IngestConfig) -> T.StructType | None:
+    """The parse schema that serves all events at once, or None if each target has to parse for itself."""
+    fields = [f for declared in catalog.fields.values() for f in declared]
+    outer = {f.key for f in fields if f.scope == OUTER} | {EVENT_KEY}
+    properties = {f.key for f in fields if f.scope == PROPERTY}
+    collide = any(len({key.lower() for key in keys}) < len(keys) for keys in (outer, properties))
+    if collide or len(outer) + len(properties) > MAX_PARSED_KEYS or config.missing_outer == "drop":
+        return None
+    return record_schema(fields)
+
+
 def tag_batch(df: DataFrame, catalog: EventCatalog, config: IngestConfig) -> DataFrame:
-    """``value, reason, outcome, event``; the event is set for routed records only, so its values are catalog names.
+    """``record?, value, reason, outcome, event``; the event is set for routed records only, so it is a catalog name.
 
-    Records that no output asks for are counted, but their text is not carried along.
+    Texts and fields that no output asks for are not carried along.
     """
     names = catalog.event_names
-    tagged = routing.sort_out(df.select("value"), names, config.routing_mode)
-    event = F.when(F.col("outcome") == ROUTED, F.col("event"))
+    parsed = parsed_schema(catalog, config)
+    tagged = routing.sort_out(df.select("value"), names, config.routing_mode, parsed)
+    routed = F.col("outcome") == ROUTED
+    event = F.when(routed, F.col("event"))
     if config.routing_mode == "regex":
         matches = [F.when(routing.matches_text(F.col("value"), [name]), F.lit(name)) for name in names]
         event = F.explode_outer(F.array_compact(F.array(*matches)))
-    kept = {ROUTED: True, UNROUTED: config.unrouted_location, QUARANTINED: config.quarantine_location}
+    kept = {
+        ROUTED: parsed is None or config.on_error == "quarantine",
+        UNROUTED: config.unrouted_location,
+        QUARANTINED: config.quarantine_location,
+    }
     value = F.when(F.col("outcome").isin([name for name, wanted in kept.items() if wanted]), F.col("value"))
-    return tagged.select(value.alias("value"), "reason", "outcome", event.alias("event"))
+    record = [] if parsed is None else [F.when(routed, F.col("record")).alias("record")]
+    return tagged.select(*record, value.alias("value"), "reason", "outcome", event.alias("event"))
 
 
 @contextmanager
@@ -103,14 +129,9 @@ def materialised(batch: Batch, catalog: EventCatalog, config: IngestConfig):
 
 def stage_tagged(tagged: DataFrame, path: str) -> DataFrame:
     """Write the tagged batch partitioned by target; each batch of a stream replaces the one before it."""
-    (
-        tagged.hint("rebalance", "outcome", "event")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("outcome", "event")
-        .parquet(path)
-    )
-    return tagged.sparkSession.read.schema(TAGGED_DDL).parquet(path)
+    balanced = tagged.hint("rebalance", "outcome", "event")
+    balanced.write.mode("overwrite").options(**STAGE_OPTIONS).partitionBy("outcome", "event").parquet(path)
+    return tagged.sparkSession.read.schema(tagged.schema).parquet(path)
 
 
 def _counts(tagged: DataFrame) -> DataFrame:

@@ -19,19 +19,6 @@ from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, write_s
 from logweir.sinks.tables import TableSink, identifier
 
 
-def sorted_records(df: DataFrame, names: Sequence[str], fields: Sequence[FieldSpec], mode: str = "exact") -> DataFrame:
-    """``value, record, reason, outcome`` with the record fully parsed."""
-    value, record = F.col("value"), F.col("record")
-    wanted = routing.is_event(record, names) if mode == "exact" else routing.matches_text(value, names)
-    return (
-        df.select("value", records.parse_record("value", record_schema(fields)).alias("record"))
-        .withColumn("wanted", F.coalesce(wanted, F.lit(False)))
-        .withColumn("reason", F.when(~F.col("wanted"), records.defect(value, record)))
-        .withColumn("outcome", records.outcome(F.col("wanted"), F.col("reason")))
-        .drop("wanted")
-    )
-
-
 def single_table_batch(
     batch: Batch,
     names: Sequence[str],
@@ -45,7 +32,7 @@ def single_table_batch(
         return finish(batch, BatchReport(batch.batch_id, (TableStatus(table, status.NO_DATA),)), config)
     if not fields:
         return finish(batch, BatchReport(batch.batch_id, (TableStatus(table, status.NO_FIELDS),)), config)
-    ready = sorted_records(batch.df, names, fields, config.routing_mode)
+    ready = routing.sort_out(batch.df.select("value"), names, config.routing_mode, record_schema(fields))
     seen = Observation()
     outcomes = (records.ROUTED, records.UNROUTED, records.QUARANTINED)
     watched = ready.observe(seen, *[F.count_if(F.col("outcome") == name).alias(name) for name in outcomes])

@@ -65,12 +65,16 @@ def envelopes(events: DataFrame) -> DataFrame:
     )
 
 
-def landed(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder, with at least one file for each core, and read it back."""
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores also when the input has fewer splits than there are cores; larger inputs are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    spread = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back."""
     folder = new_folder(df.sparkSession, purpose)
-    spread.write.parquet(folder)
+    spread(df).write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -183,7 +187,7 @@ from (select l_orderkey * 10 + l_linenumber as id, l_orderkey as event_id, l_dis
 
 def event_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("event_"), F.col("o_custkey").cast("string")).alias("event_name"),
         F.when(status == "O", 0).when(status == "F", 1).otherwise(2).alias("event_type"),
@@ -192,7 +196,7 @@ def event_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def field_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, data_type = F.expr(_FIELD_NAME), F.expr(_DATA_TYPE)
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("event_id"),
         F.when(F.col("l_discount") >= 0.05, F.upper(name)).otherwise(name).alias("field_name"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.config import STAGING_FORMATS
@@ -22,6 +23,9 @@ _CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# What the reader gives for a quoted empty cell. It would take an empty text for NULL otherwise; no warehouse text
+# holds a NUL character.
+_EMPTY = "\0"
 # A gzip or multi-line file is read by one task, so files are kept small enough for one.
 ROWS_PER_FILE = 1_000_000
 
@@ -40,9 +44,11 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType, staging_fo
     """Read back with the declared schema: JSON leaves out NULL keys and CSV has no types of its own."""
     kind, _ = _parse(staging_format)
     reader = spark.read.schema(schema).options(**_TIMES)
-    if kind == "CSV":
-        return reader.options(**{**_CSV, "emptyValue": ""}).option("multiLine", "true").csv(path)
-    return reader.json(path)
+    if kind == "JSON":
+        return reader.json(path)
+    csv = reader.options(**{**_CSV, "emptyValue": _EMPTY}).option("multiLine", "true").csv(path)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return csv.withColumns({name: F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`")) for name in texts})
 
 
 def _parse(staging_format: str) -> tuple[str, str]:
