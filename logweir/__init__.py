@@ -1,7 +1,9 @@
 """logweir: typed, append-only tables from a stream of JSON application-log events."""
 
 from logweir.config import IngestConfig
-from logweir.operators.projection import CastRules, FieldSpec
+from logweir.operators.projection import CastRules, FieldSpec, project
+from logweir.operators.routing import route
+from logweir.operators.schema import infer_schemas
 from logweir.plans.batch import Batch, BatchFailed, BatchReport
 from logweir.plans.router import route_batch
 from logweir.plans.single_table import single_table_batch
@@ -20,8 +22,11 @@ __all__ = [
     "IngestConfig",
     "ParquetSink",
     "StagedSink",
+    "infer_schemas",
     "load_catalog",
     "load_shared_catalog",
+    "project",
+    "route",
     "route_batch",
     "run_router",
     "run_single_table",

@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,7 @@ def declared_type(text: str) -> DeclaredType:
     ddl = TYPE_ALIASES.get(name, name)
     try:
         T.DataType.fromDDL(ddl)
-    except Exception as err:
+    except ParseException as err:
         raise ValueError(f"unknown catalog type {text!r}") from err
     return DeclaredType(text, ddl)
 

@@ -8,6 +8,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.functions import coercion, records
 from logweir.functions.specs import declared_type
@@ -48,13 +49,18 @@ def fields_from_specs(specs: Sequence[str], delimiter: str = DELIMITER) -> tuple
     return tuple(seen.values())
 
 
-def record_schema(fields: Sequence[FieldSpec]):
+def record_schema(fields: Sequence[FieldSpec]) -> T.StructType:
     return records.record_type(
         outer=[f.key for f in fields if f.scope == OUTER],
         properties=[f.key for f in fields if f.scope == PROPERTY],
     )
 
 
+def table_schema(fields: Sequence[FieldSpec]) -> T.StructType:
+    """The declared schema of a target table."""
+    return T.StructType([T.StructField(f.name, declared_type(f.type_text).data_type) for f in fields])
+
+
 def outer_columns(
     record: Column, fields: Sequence[FieldSpec], rules: CastRules = CastRules(), present: Collection[str] | None = None
 ) -> list[Column]:

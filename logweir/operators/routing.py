@@ -22,6 +22,11 @@ ROUTING_MODES = ("exact", "regex")
 TEXT_PATTERN = '"event":"{}"'
 
 
+def event_tag() -> Column:
+    """The top-level event name of ``value``; NULL when there is none or the record cannot be read."""
+    return records.event_of(records.parse_record("value", records.record_type()))
+
+
 def is_event(record: Column, names: Sequence[str]) -> Column:
     return records.event_of(record).isin(list(names))
 
@@ -34,7 +39,7 @@ def route(df: DataFrame, names: str | Sequence[str], mode: str = "exact") -> Dat
     """Records of one event or of a set of events."""
     wanted = [names] if isinstance(names, str) else list(names)
     if mode == "exact":
-        return df.where(F.get_json_object("value", "$.event").isin(wanted))
+        return df.where(event_tag().isin(wanted))
     if mode == "regex":
         return df.where(matches_text(F.col("value"), wanted))
     raise ValueError(f"routing mode must be one of {ROUTING_MODES}, got {mode!r}")
@@ -42,7 +47,7 @@ def route(df: DataFrame, names: str | Sequence[str], mode: str = "exact") -> Dat
 
 def tag(df: DataFrame) -> DataFrame:
     """Add the event name as a column, so that later filters and joins do not parse again."""
-    return df.withColumn("event", F.get_json_object("value", "$.event"))
+    return df.withColumn("event", event_tag())
 
 
 def route_join(tagged: DataFrame, events: DataFrame) -> DataFrame:

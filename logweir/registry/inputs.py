@@ -7,8 +7,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.operators.projection import FieldSpec, fields_from_specs
 from logweir.sinks.workdir import new_folder
@@ -38,7 +39,7 @@ from events
 
 
 def envelopes(events: DataFrame) -> DataFrame:
-    """``events`` rows with their record text; works on a static and on a streaming frame."""
+    """``events`` rows with their record text."""
     k = F.get_json_object("props", "$.k")
     return events.select(
         "event_id",
@@ -71,22 +72,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def landed(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back."""
-    folder = new_folder(df.sparkSession, purpose)
-    spread(df).write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+_landing: dict[tuple[str, str], tuple[str, T.StructType]] = {}
 
 
-_landed: dict[tuple[str, str], DataFrame] = {}
+def landing_area(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """Folder and schema of the records as they land: written once per application into the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landing:
+        incoming = spread(envelopes(table(spark, sf_dir, "events")))
+        folder = new_folder(spark, "records")
+        incoming.write.parquet(folder)
+        _landing[key] = (folder, incoming.schema)
+    return _landing[key]
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records as they lie in the landing area: written once per application, then read by every query."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        _landed[key] = landed(envelopes(table(spark, sf_dir, "events")), "records")
-    return _landed[key]
+    """The landed records, as every query reads them."""
+    folder, schema = landing_area(spark, sf_dir)
+    return spark.read.schema(schema).parquet(folder)
 
 
 # Records as they look when a transfer was cut short: the text of low-value events misses its last three characters.
@@ -187,7 +190,7 @@ from (select l_orderkey * 10 + l_linenumber as id, l_orderkey as event_id, l_dis
 
 def event_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("event_"), F.col("o_custkey").cast("string")).alias("event_name"),
         F.when(status == "O", 0).when(status == "F", 1).otherwise(2).alias("event_type"),
@@ -203,7 +206,3 @@ def field_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         data_type.alias("data_type"),
         F.when(F.col("l_returnflag") == "R", F.concat(F.lit("src_"), name)).alias("json_field_name"),
     )
-
-
-def text(column: Column) -> Column:
-    return column.cast("string")

@@ -27,7 +27,7 @@ def config(folder, **settings):
 
 def all_tables(spark, sink, names=SEEN):
     """Every target table as one frame."""
-    tables = [sink.read(spark, name).withColumn("table_name", F.lit(name)) for name in names]
+    tables = [sink.read(spark, name, projection.table_schema(FIELDS)).withColumn("table_name", F.lit(name)) for name in names]
     union = tables[0]
     for other in tables[1:]:
         union = union.unionByName(other)
@@ -94,7 +94,7 @@ def _single_table(spark, df, **settings):
     sink = ParquetSink(folder)
     one = config(folder, target_table="app_events", **settings)
     single_table_batch(Batch(df.select("value"), 0), SET, FIELDS, sink, one, quiet)
-    return sink.read(spark, "app_events")
+    return sink.read(spark, "app_events", projection.table_schema(FIELDS))
 
 
 @register(f"select event_id, ts, asn, value, k from ({TYPED_SQL}) where event_type in ('click', 'view', 'signup')")
@@ -117,7 +117,7 @@ def sink_append(spark, sf_dir):
     rows = records(spark, sf_dir)
     for batch_id, event in enumerate(("click", "view")):
         sink.append(projection.project(routing.route(rows, event), FIELDS), "app_events", "append", batch_id)
-    return sink.read(spark, "app_events")
+    return sink.read(spark, "app_events", projection.table_schema(FIELDS))
 
 
 def _round_trip(spark, df, staging_format):

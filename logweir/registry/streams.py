@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from logweir.operators import projection
 from logweir.registry import register
-from logweir.registry.inputs import FIELDS, TYPED_SQL, envelopes, records, route_catalog, table
+from logweir.registry.inputs import FIELDS, TYPED_SQL, landing_area, records, route_catalog
 from logweir.registry.routes import SET
 from logweir.registry.sinks import TABLES_SQL, all_tables, config
 from logweir.sinks.tables import ParquetSink
@@ -14,10 +15,10 @@ STREAM_DDL = "event_id bigint, value string"
 ROWS_PER_FILE = 1_000_000
 
 
-def _events_stream(spark, sf_dir):
-    """The given events table itself as a file stream."""
-    schema = table(spark, sf_dir, "events").schema
-    return envelopes(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")).select("value")
+def _landing_stream(spark, sf_dir):
+    """The landing area as a file stream."""
+    folder, schema = landing_area(spark, sf_dir)
+    return spark.readStream.schema(schema).parquet(folder).select("value")
 
 
 def _files_config(folder, per_trigger=None, **settings):
@@ -42,7 +43,7 @@ def stream_append(spark, sf_dir):
     folder = new_folder(spark, "stream-append")
     sink = ParquetSink(folder)
     job = run_router(
-        spark, config(folder, available_now=True), route_catalog(spark), sink, stream=_events_stream(spark, sf_dir)
+        spark, config(folder, available_now=True), route_catalog(spark), sink, stream=_landing_stream(spark, sf_dir)
     )
     job.awaitTermination()
     return all_tables(spark, sink)
@@ -53,9 +54,9 @@ def stream_single_table(spark, sf_dir):
     folder = new_folder(spark, "stream-single")
     sink = ParquetSink(folder)
     settings = config(folder, available_now=True, target_table="app_events")
-    job = run_single_table(spark, settings, SET, FIELDS, sink, stream=_events_stream(spark, sf_dir))
+    job = run_single_table(spark, settings, SET, FIELDS, sink, stream=_landing_stream(spark, sf_dir))
     job.awaitTermination()
-    return sink.read(spark, "app_events")
+    return sink.read(spark, "app_events", projection.table_schema(FIELDS))
 
 
 @register("select cast(4 as bigint) as batches, count(*) as row_count, true as within_limit from events")

@@ -22,6 +22,7 @@ _CSV = {
     "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "lineSep": "\n",
 }
 # What the reader gives for a quoted empty cell. It would take an empty text for NULL otherwise; no warehouse text
 # holds a NUL character.

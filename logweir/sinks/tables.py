@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from logweir.config import unquote
 from logweir.sinks.staging import read_staged, stage
@@ -55,8 +56,10 @@ class ParquetSink:
     def append(self, df: DataFrame, table: str, source_id: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self.batch_path(table, source_id, batch_id))
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.option("mergeSchema", "true").parquet(self.path(table)).drop(*BATCH_COLUMNS)
+    def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """All batches of a table. With its declared schema given, no file is opened to find the columns."""
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(self.path(table)).drop(*BATCH_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -73,8 +76,8 @@ class StagedSink:
         staged = read_staged(df.sparkSession, path, df.schema, self.staging_format)
         self.target.append(staged, table, source_id, batch_id)
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return self.target.read(spark, table)
+    def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+        return self.target.read(spark, table, schema)
 
 
 @dataclass(frozen=True)

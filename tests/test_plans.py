@@ -230,7 +230,7 @@ def test_staged_sink_is_exact(spark, folder, staging_format):
 
 
 def test_hot_event_is_split_and_small_events_are_not(spark, folder):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "400k")
     try:
         hot = spark.range(20_000, numPartitions=8).select(
             F.concat(F.lit('{"event":"'), F.when(F.col("id") % 10 < 7, "click").otherwise("view"),
@@ -245,7 +245,7 @@ def test_hot_event_is_split_and_small_events_are_not(spark, folder):
     files = placed.groupBy("event").agg(F.countDistinct("file").alias("n"), F.count("*").alias("rows"))
     got = {r.event: (r.n, r.rows) for r in files.collect()}
     assert got["click"][1] == 14_000 and got["view"][1] == 6_000
-    assert got["click"][0] > got["view"][0] > 1
+    assert got["click"][0] > got["view"][0] >= 1
 
 
 def test_target_reads_only_its_partition_and_fields(spark, folder):

@@ -1,5 +1,7 @@
 """Streaming jobs on file sources, and the job configuration."""
 
+import time
+
 import pytest
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,6 +11,7 @@ from logweir.sinks.tables import ParquetSink, warehouse_options
 from logweir.sinks.workdir import shared_folder
 from logweir.sources.catalog import EventCatalog, mysql_options
 from logweir.sources.stream import stream_options
+from logweir.streaming.progress import ProgressListener
 from logweir.streaming.runner import run_router, run_single_table
 
 SPECS = fields_from_specs(["asn:int", "k:int"])
@@ -85,6 +88,23 @@ def test_failed_batch_is_repeated_without_doubling(spark, folder):
     assert asns(spark, folder, "click") == [1] and asns(spark, folder, "view") == [1]
 
 
+def test_progress_is_reported(spark, folder):
+    feed(spark, folder, value("click", 1), value("view", 2))
+    seen = []
+    listener = ProgressListener(seen.append)
+    spark.streams.addListener(listener)
+    try:
+        finish(run_router(spark, settings(folder), CATALOG, ParquetSink(folder)))
+        for _ in range(100):
+            if seen:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [(p.batch_id, p.end_offsets != ()) for p in seen] == [(0, True)]
+    assert seen[0].input_rows >= 2
+
+
 def test_new_checkpoint_appends_again(spark, folder):
     feed(spark, folder, value("click", 1))
     finish(run_router(spark, settings(folder), CATALOG, ParquetSink(folder)))
