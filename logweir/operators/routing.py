@@ -52,16 +52,19 @@ def tag(df: DataFrame) -> DataFrame:
 
 def route_join(tagged: DataFrame, events: DataFrame) -> DataFrame:
     """Records whose event is in the catalog."""
-    return tagged.join(_names(events), "event", "left_semi")
+    return _match(tagged, events, "left_semi")
 
 
 def unrouted(tagged: DataFrame, events: DataFrame) -> DataFrame:
     """Records that no catalog event claims, NULL tags included."""
-    return tagged.join(_names(events), "event", "left_anti")
+    return _match(tagged, events, "left_anti")
 
 
-def _names(events: DataFrame) -> DataFrame:
-    return broadcast_if_small(events.select(F.col("event_name").alias("event")))
+def _match(tagged: DataFrame, events: DataFrame, how: str) -> DataFrame:
+    """Join on a tag that is never NULL: Spark adds no null filter then, which would parse every record twice."""
+    names = events.where(F.col("event_name") != "").select(F.col("event_name").alias("catalog_name"))
+    tag_or_none = F.coalesce(F.col("event"), F.lit(""))
+    return tagged.join(broadcast_if_small(names), tag_or_none == F.coalesce(F.col("catalog_name"), F.lit("")), how)
 
 
 def sort_out(

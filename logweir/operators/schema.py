@@ -50,22 +50,22 @@ def collect_schemas(tagged: DataFrame) -> dict[str, T.StructType]:
 
 
 def observed_paths(tagged: DataFrame) -> DataFrame:
-    """``event, path, doc`` for every key of every record, nested objects one level deep, from one parse.
+    """``event, path, doc`` for every key of every record, nested objects one level deep.
 
-    The row of an object repeats once per member, which does not change any merged type.
+    Two passes over the records: measured faster than carrying every value through a second, outer explode.
     """
-    tvf = tagged.sparkSession.tvf
-    docs = tagged.select("event", F.try_parse_json("value").alias("doc")).alias("d")
-    top = docs.lateralJoin(tvf.variant_explode(F.col("d.doc").outer()).alias("top"))
-    both = top.lateralJoin(tvf.variant_explode_outer(F.col("top.value").outer()).alias("in"))
-
-    def pair(path: Column, doc: Column) -> Column:
-        return F.struct(path.alias("path"), doc.alias("doc"))
-
-    key, member = F.col("top.key"), F.col("in.key")
-    nested = pair(F.concat(key, F.lit("."), member), F.col("in.value"))
-    pairs = F.array(pair(key, F.col("top.value")), F.when(member.isNotNull(), nested))
-    return both.select("d.event", F.inline(F.array_compact(pairs)))
+    docs = tagged.select("event", F.lit("").alias("prefix"), F.try_parse_json("value").alias("doc"))
+    top = _explode(docs)
+    nested = top.where(F.schema_of_variant("doc").startswith("OBJECT<"))
+    return top.unionByName(_explode(nested.select("event", F.concat("path", F.lit(".")).alias("prefix"), "doc")))
+
+
+def _explode(docs: DataFrame) -> DataFrame:
+    """One row per key; a NULL document gives none."""
+    members = docs.sparkSession.tvf.variant_explode(F.col("d.doc").outer()).alias("x")
+    return docs.alias("d").lateralJoin(members).select(
+        "d.event", F.concat("d.prefix", "x.key").alias("path"), F.col("x.value").alias("doc")
+    )
 
 
 def classify_columns(tagged: DataFrame) -> DataFrame:

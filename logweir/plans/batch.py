@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,9 +76,9 @@ def finish(batch: Batch, report: BatchReport, config: IngestConfig) -> BatchRepo
     return report
 
 
-def rejected(df: DataFrame, failed: Sequence[TableStatus]) -> DataFrame:
-    """Raw records of failed tables, with the table's error as the reason. Expects ``value, event``."""
+def rejected(df: DataFrame, reasons: Mapping[str, str]) -> DataFrame:
+    """Raw records of events that reached no table, with the reason of their event. Expects ``value, event``."""
     reason = F.lit(None).cast("string")
-    for table in failed:
-        reason = F.when(F.col("event") == table.table_name, F.lit(f"write failed: {table.exception}")).otherwise(reason)
-    return df.where(F.col("event").isin([t.table_name for t in failed])).select("value", reason.alias("reason"))
+    for event, text in reasons.items():
+        reason = F.when(F.col("event") == event, F.lit(text)).otherwise(reason)
+    return df.where(F.col("event").isin(list(reasons))).select("value", reason.alias("reason"))

@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,14 +104,27 @@ def tag_batch(df: DataFrame, catalog: EventCatalog, config: IngestConfig) -> Dat
     if config.routing_mode == "regex":
         matches = [F.when(routing.matches_text(F.col("value"), [name]), F.lit(name)) for name in names]
         event = F.explode_outer(F.array_compact(F.array(*matches)))
-    kept = {
-        ROUTED: parsed is None or config.on_error == "quarantine",
-        UNROUTED: config.unrouted_location,
-        QUARANTINED: config.quarantine_location,
-    }
-    value = F.when(F.col("outcome").isin([name for name, wanted in kept.items() if wanted]), F.col("value"))
-    record = [] if parsed is None else [F.when(routed, F.col("record")).alias("record")]
-    return tagged.select(*record, value.alias("value"), "reason", "outcome", event.alias("event"))
+    return tagged.select(
+        *([] if parsed is None else [F.when(routed, F.col("record")).alias("record")]),
+        F.col("value"),
+        "reason",
+        "outcome",
+        event.alias("event"),
+    ).withColumn("value", F.when(_text_is_needed(parsed, catalog, config), F.col("value")))
+
+
+def _text_is_needed(parsed: T.StructType | None, catalog: EventCatalog, config: IngestConfig) -> Column:
+    """Whether the raw text of a sorted record goes to a table, to the quarantine or to the unrouted output."""
+    outcome = F.col("outcome")
+    needed = F.lit(False)
+    if parsed is None or config.on_error == "quarantine":
+        needed = needed | (outcome == ROUTED)
+    if config.unrouted_location:
+        needed = needed | (outcome == UNROUTED)
+    if config.quarantine_location:
+        bare = [name for name, fields in catalog.fields.items() if not fields]
+        needed = needed | (outcome == QUARANTINED) | F.coalesce(F.col("event").isin(bare), F.lit(False))
+    return needed
 
 
 @contextmanager
@@ -156,9 +169,12 @@ def _side_outputs(batch: Batch, tagged: DataFrame, report: BatchReport, config:
         write_side(tagged.where(F.col("outcome") == UNROUTED).select("value"), config.unrouted_location, batch)
     if not config.quarantine_location:
         return
+    reasons = {t.table_name: "event has no fields" for t in report.tables if t.status == status.NO_FIELDS and t.row_count}
+    if config.on_error == "quarantine":
+        reasons.update({t.table_name: f"write failed: {t.exception}" for t in report.failed})
     bad = tagged.where(F.col("outcome") == QUARANTINED).select("value", "reason")
-    if report.failed and config.on_error == "quarantine":
-        bad = bad.unionByName(rejected(tagged.where(F.col("outcome") == ROUTED), report.failed))
+    if reasons:
+        bad = bad.unionByName(rejected(tagged.where(F.col("outcome") == ROUTED), reasons))
     elif not report.quarantined:
         return
     write_side(bad, config.quarantine_location, batch)

@@ -137,6 +137,7 @@ def test_a_failed_table_can_be_quarantined(spark, texts, folder, fanout):
             (VALUES[0], "write failed: no space in warehouse"),
             (VALUES[1], "write failed: no space in warehouse"),
             (VALUES[4], "malformed json"),
+            (VALUES[7], "event has no fields"),
             ("-", "null value"),
         ]
     )
@@ -144,7 +145,7 @@ def test_a_failed_table_can_be_quarantined(spark, texts, folder, fanout):
 
 def test_side_outputs_only_when_asked_for(spark, texts, folder):
     run(texts(*VALUES), folder, quarantine_location=f"{folder}/bad", unrouted_location=f"{folder}/rest")
-    assert spark.read.parquet(f"{folder}/bad").count() == 2
+    assert spark.read.parquet(f"{folder}/bad").count() == 3
     assert rows(spark.read.parquet(f"{folder}/rest").select("value")) == sorted([(VALUES[3],), (VALUES[6],)])
 
 
