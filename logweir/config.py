@@ -71,7 +71,10 @@ class IngestConfig:
 
     @classmethod
     def from_properties(cls, properties: Mapping[str, str], **overrides) -> IngestConfig:
-        """From the keys of a job properties file; unknown keys are for the sink and the catalog source."""
+        """From a job properties file: its fixed keys, and any field of this class under its own name.
+
+        Other keys are for the sink and the catalog source.
+        """
         p = {key: unquote(value) for key, value in properties.items()}
         values = {
             "checkpoint_location": p["checkpoint_location"],
@@ -88,8 +91,9 @@ class IngestConfig:
             "target_table": p.get("target_table"),
             "event_types": p["metadata_event_type"],
         }
-        names = {f.name for f in fields(cls)}
-        values.update({key: value for key, value in p.items() if key in names and key not in values})
+        own = {f.name: f.default for f in fields(cls)}
+        values.update({key: _like(own[key], text) for key, text in p.items() if key in own and key not in values})
+        values["cast_rules"] = CastRules(p.get("cast_mode", "try"), p.get("width_unit", "bytes"))
         values.update(overrides)
         return cls(**values)
 
@@ -99,6 +103,11 @@ def _one_of(name: str, value: str, allowed: tuple[str, ...]) -> None:
         raise ValueError(f"{name} must be one of {allowed}, got {value!r}")
 
 
+def _like(default, text: str):
+    """Property text as the type of the field's default."""
+    return text.lower() == "true" if isinstance(default, bool) else text
+
+
 def unquote(text: str) -> str:
     text = text.strip()
     return text[1:-1] if len(text) >= 2 and text[0] == text[-1] and text[0] in "\"'" else text

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from logweir.config import IngestConfig, load_properties, redacted
-from logweir.sinks.tables import ConnectorSink, warehouse_options
+from logweir.sinks.tables import ConnectorSink, ParquetSink, StagedSink, TableSink, warehouse_options
 from logweir.sources import catalog as catalogs
 from logweir.streaming.runner import run_router, run_single_table
 
@@ -15,31 +17,47 @@ from logweir.streaming.runner import run_router, run_single_table
 WAREHOUSE_FORMAT = "io.github.spark_redshift_community.spark.redshift"
 
 
-def main(argv: list[str]) -> None:
-    if len(argv) != 3 or argv[0] not in ("router", "single"):
-        sys.exit("usage: python -m logweir.job router|single <region> <properties path>")
-    job, region, path = argv
-    spark = SparkSession.builder.appName(f"logweir-{job}").getOrCreate()
-    properties = {"aws_region": region, **load_properties(spark, path)}
-    print(f"properties: {redacted(properties)}")
+def make_sink(properties: Mapping[str, str], config: IngestConfig) -> TableSink:
+    """The warehouse connector, or parquet tables under ``table_root`` (by way of ``staging_root``, if given)."""
+    if "table_root" not in properties:
+        fmt = properties.get("sink_format", WAREHOUSE_FORMAT)
+        return ConnectorSink(fmt, config.target_schema, warehouse_options(properties))
+    tables = ParquetSink(properties["table_root"], config.target_schema)
+    staging = properties.get("staging_root")
+    return StagedSink(tables, staging, config.staging_format) if staging else tables
+
+
+def catalog_tables(spark: SparkSession, properties: Mapping[str, str], names: tuple[str, str]) -> list[DataFrame]:
+    """The two catalog tables from the metadata database, or from files under ``catalog_root``."""
+    fmt = properties.get("catalog_format", "jdbc")
+    options = {"root": properties["catalog_root"]} if "catalog_root" in properties else catalogs.mysql_options(properties)
+    return [catalogs.read_table(spark, name, fmt, options) for name in names]
+
+
+def start(spark: SparkSession, job: str, properties: Mapping[str, str]) -> StreamingQuery:
     config = IngestConfig.from_properties(properties)
-    sink = ConnectorSink(
-        properties.get("sink_format", WAREHOUSE_FORMAT), config.target_schema, warehouse_options(properties)
-    )
-    options = catalogs.mysql_options(properties)
-    tables = catalogs.ROUTER_TABLES if job == "router" else catalogs.SINGLE_TABLES
-    events, fields = (catalogs.read_table(spark, table, "jdbc", options) for table in tables)
+    sink = make_sink(properties, config)
+    settings = (config.event_types, config.delimiter, config.use_json_field_name)
     if job == "router":
-        catalog = catalogs.load_catalog(events, fields, config.event_types, config.delimiter, config.use_json_field_name)
+        catalog = catalogs.load_catalog(*catalog_tables(spark, properties, catalogs.ROUTER_TABLES), *settings)
         query = run_router(spark, config, catalog, sink, on_report=print)
     else:
-        catalog, shared = catalogs.load_shared_catalog(
-            events, fields, config.event_types, config.delimiter, config.use_json_field_name
-        )
+        tables = catalog_tables(spark, properties, catalogs.SINGLE_TABLES)
+        catalog, shared = catalogs.load_shared_catalog(*tables, *settings)
         query = run_single_table(spark, config, catalog.event_names, shared, sink, on_report=print)
     for warning in catalog.warnings:
         print(f"warning: {warning}")
-    query.awaitTermination()
+    return query
+
+
+def main(argv: list[str]) -> None:
+    if len(argv) != 3 or argv[0] not in ("router", "single"):
+        sys.exit("usage: python -m logweir.job router|single <region> <properties path>")
+    job, region, path = argv
+    spark = SparkSession.builder.appName(f"logweir-{job}").getOrCreate()
+    properties = {"aws_region": region, **load_properties(spark, path)}
+    print(f"properties: {redacted(properties)}")
+    start(spark, job, properties).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.config import unquote
@@ -21,6 +22,7 @@ from logweir.sinks.staging import read_staged, stage
 
 BATCH_COLUMNS = ("source_id", "batch_id")
 
+_SOURCE_ID = re.compile(r"^[A-Za-z0-9_-]+$")
 _IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_$-]*$")
 
 
@@ -62,6 +64,33 @@ class ParquetSink:
         return reader.parquet(self.path(table)).drop(*BATCH_COLUMNS)
 
 
+@dataclass(frozen=True)
+class MetastoreSink:
+    """Tables of the session catalog, partitioned by source and batch; ``root`` makes them external tables."""
+
+    schema: str = "default"
+    root: str | None = None
+
+    def append(self, df: DataFrame, table: str, source_id: str, batch_id: int) -> None:
+        spark, name = df.sparkSession, qualified(self.schema, table)
+        if not spark.catalog.tableExists(name):
+            self._create(df, name)
+        if not _SOURCE_ID.match(source_id):
+            raise ValueError(f"not a valid source id: {source_id!r}")
+        partition = f"source_id = '{source_id}', batch_id = {int(batch_id)}"
+        spark.sql(f"INSERT OVERWRITE {name} PARTITION ({partition}) SELECT * FROM {{batch}}", batch=df)
+
+    def _create(self, df: DataFrame, name: str) -> None:
+        marks = {"source_id": F.lit("").cast("string"), "batch_id": F.lit(0).cast("bigint")}
+        writer = df.withColumns(marks).limit(0).write.mode("ignore").partitionBy(*BATCH_COLUMNS)
+        if self.root:
+            writer = writer.option("path", f"{self.root}/{name.replace('.', '/')}")
+        writer.saveAsTable(name)
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        return spark.read.table(qualified(self.schema, table)).drop(*BATCH_COLUMNS)
+
+
 @dataclass(frozen=True)
 class StagedSink:
     """Stage the typed rows as text files first, then load the target table from exactly those files."""

@@ -13,7 +13,7 @@ from logweir.plans.batch import Batch, BatchFailed
 from logweir.plans.router import route_batch
 from logweir.plans.single_table import single_table_batch
 from logweir.registry.inputs import SEEN, damaged, records, route_catalog
-from logweir.sinks.tables import ConnectorSink, ParquetSink, StagedSink, identifier, qualified
+from logweir.sinks.tables import ConnectorSink, MetastoreSink, ParquetSink, StagedSink, identifier, qualified
 from logweir.sources.catalog import EventCatalog
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -258,6 +258,15 @@ def test_target_reads_only_its_partition_and_fields(spark, folder):
     assert "PartitionFilters: [isnotnull(outcome" in plan and "ReadSchema: struct<record:struct<asn:string>>" in plan
 
 
+def test_metastore_tables_repeat_batches_without_doubling(spark, texts, folder):
+    sink = MetastoreSink("default", folder)
+    table = f"t{uuid.uuid4().hex}"
+    for batch_id, value in ((0, "a"), (1, "b"), (0, "a"), (1, "c")):
+        sink.append(texts(value), table, "s", batch_id)
+    assert rows(sink.read(spark, table)) == [("a",), ("c",)]
+    spark.sql(f"drop table default.{table}")
+
+
 def test_connector_options_and_names():
     sink = ConnectorSink("jdbc", "public", {"url": "jdbc:x"})
     assert sink.table_options('"app_events"') == {"url": "jdbc:x", "dbtable": "public.app_events"}

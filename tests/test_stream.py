@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql.streaming import StreamingQuery
 
+from logweir import job
 from logweir.config import IngestConfig, load_properties, redacted
 from logweir.operators.projection import fields_from_specs
 from logweir.sinks.tables import ParquetSink, warehouse_options
@@ -176,6 +177,47 @@ def test_properties(properties):
     assert options["tempformat"] == "CSV GZIP" and "TRUNCATECOLUMNS" in options["extracopyoptions"]
 
 
+def _job(spark, folder, properties, **more):
+    """The properties of a job that works on files only."""
+    feed(spark, folder, value("click", 1), value("view", 2), value("else", 3))
+    schema = "id int, event_id int, field_name string, data_type string, json_field_name string"
+    fields = [(1, 1, "asn", "int", None), (2, 1, "k", "int", None), (3, 2, "asn", "int", None)]
+    tables = {
+        "event_list": spark.createDataFrame([(1, "click", 0), (2, "view", 2), (3, "x", 1)], "id int, event_name string, event_type int"),
+        "event_field_list": spark.createDataFrame(fields, schema),
+    }
+    tables["realtime_events_event_list"] = tables["event_list"]
+    tables["realtime_events_event_field_list"] = tables["event_field_list"].where("event_id = 1").drop("event_id")
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/catalog/{name}")
+    path = f"{folder}/files.properties"
+    own = {
+        "checkpoint_location": f"{folder}/checkpoint", "stream_format": "json", "stream_path": f"{folder}/in",
+        "stream_schema": "value string", "available_now": "true", "catalog_format": "parquet",
+        "catalog_root": f"{folder}/catalog", "table_root": folder, **more,
+    }
+    with open(path, "w") as out:
+        out.writelines(f"{key} = {text}\n" for key, text in {**properties, **own}.items())
+    return path
+
+
+def test_router_job_from_the_command_line(spark, folder, properties, capsys):
+    job.main(["router", "eu-test-1", _job(spark, folder, properties)])
+    assert asns(spark, folder, "click") == [1] and asns(spark, folder, "view") == [2]
+    assert "pass=word" not in capsys.readouterr().out
+
+
+def test_single_table_job_from_the_command_line(spark, folder, properties):
+    job.main(["single", "eu-test-1", _job(spark, folder, properties, staging_root=f"{folder}/staging")])
+    assert asns(spark, folder, "realtime_events") == [1, 2]
+
+
+def test_command_line_needs_three_arguments():
+    for argv in ([], ["router"], ["other", "a", "b"]):
+        with pytest.raises(SystemExit):
+            job.main(argv)
+
+
 def test_message_source_options(properties):
     options = stream_options(IngestConfig.from_properties(properties))
     assert options == {
