@@ -87,7 +87,8 @@ def auto_timestamp(text: Column, target: str = "timestamp") -> Column:
     """
     t = F.trim(text)
     iso = F.coalesce(*[F.when(t.rlike(shape), rewrite(t)) for shape, rewrite in _LAYOUTS])
-    epoch = F.when(t.rlike(r"^\d{9,11}$"), F.timestamp_seconds(t.try_cast("bigint")).cast(target))
+    seconds = F.timestamp_seconds(t.try_cast("decimal(20,6)"))
+    epoch = F.when(t.rlike(r"^\d{9,11}(\.\d+)?$"), seconds.cast(target))
     return F.coalesce(t.try_cast(target), iso.try_cast(target), epoch)
 
 

@@ -30,7 +30,8 @@ def make_sink(properties: Mapping[str, str], config: IngestConfig) -> TableSink:
 def catalog_tables(spark: SparkSession, properties: Mapping[str, str], names: tuple[str, str]) -> list[DataFrame]:
     """The two catalog tables from the metadata database, or from files under ``catalog_root``."""
     fmt = properties.get("catalog_format", "jdbc")
-    options = {"root": properties["catalog_root"]} if "catalog_root" in properties else catalogs.mysql_options(properties)
+    root = properties.get("catalog_root")
+    options = {"root": root} if root else catalogs.mysql_options(properties)
     return [catalogs.read_table(spark, name, fmt, options) for name in names]
 
 

@@ -169,7 +169,8 @@ def _side_outputs(batch: Batch, tagged: DataFrame, report: BatchReport, config:
         write_side(tagged.where(F.col("outcome") == UNROUTED).select("value"), config.unrouted_location, batch)
     if not config.quarantine_location:
         return
-    reasons = {t.table_name: "event has no fields" for t in report.tables if t.status == status.NO_FIELDS and t.row_count}
+    bare = [t.table_name for t in report.tables if t.status == status.NO_FIELDS and t.row_count]
+    reasons = dict.fromkeys(bare, "event has no fields")
     if config.on_error == "quarantine":
         reasons.update({t.table_name: f"write failed: {t.exception}" for t in report.failed})
     bad = tagged.where(F.col("outcome") == QUARANTINED).select("value", "reason")

@@ -23,9 +23,8 @@ def _counts(spark, sf_dir):
 
 
 def _report(spark, sf_dir):
-    declared = routes(spark).join(
-        route_fields(spark).groupBy(F.col("event_id").alias("id")).agg(F.count(F.lit(1)).alias("field_count")), "id", "left"
-    )
+    counted = route_fields(spark).groupBy(F.col("event_id").alias("id")).agg(F.count(F.lit(1)).alias("field_count"))
+    declared = routes(spark).join(counted, "id", "left")
     return status.status_report(_counts(spark, sf_dir), declared, batch_id=0)
 
 
@@ -44,6 +43,9 @@ def status_report(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
-@register(f"select status, count(*) as tables, cast(sum(row_count) as bigint) as row_count from ({STATUS_SQL}) group by status")
+@register(
+    f"""select status, count(*) as tables, cast(sum(row_count) as bigint) as row_count
+    from ({STATUS_SQL}) group by status"""
+)
 def status_summary(spark, sf_dir):
     return status.status_summary(_report(spark, sf_dir))

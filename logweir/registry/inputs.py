@@ -102,14 +102,15 @@ from ({ENVELOPE_SQL})
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("value")
     cut = F.left(value, F.length(value) - 3)
-    return records(spark, sf_dir).select("event_id", F.when(F.col("event_value") < 10, cut).otherwise(value).alias("value"))
+    text = F.when(F.col("event_value") < 10, cut).otherwise(value)
+    return records(spark, sf_dir).select("event_id", text.alias("value"))
 
 
 # Records that quote an earlier event in a nested object: textual and structural routing disagree on them.
 NESTED_SQL = f"""
 select event_id, event_type,
-  concat('{{"prev":{{"event":"', case when event_value < 50 then 'purchase' else 'view' end, '"}},', substring(value, 2))
-    as value
+  concat('{{"prev":{{"event":"', case when event_value < 50 then 'purchase' else 'view' end, '"}},',
+    substring(value, 2)) as value
 from ({ENVELOPE_SQL})
 """
 

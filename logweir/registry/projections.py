@@ -23,7 +23,8 @@ def _as_one(tagged):
 
 
 @register(
-    f"select event_type as event, event_id, cast(asn as varchar) as asn, value, cast(k as bigint) as k from ({TYPED_SQL})"
+    f"""select event_type as event, event_id, cast(asn as varchar) as asn, value, cast(k as bigint) as k
+    from ({TYPED_SQL})"""
 )
 def parse_flatten(spark, sf_dir):
     rows = records(spark, sf_dir).select("value")
@@ -67,7 +68,10 @@ def project_props(spark, sf_dir):
     return rows.select("event_id", *projection.property_columns(F.col("record"), fields))
 
 
-@register(f"select event_id, value, k, cast(null as integer) as clicks, cast(null as timestamp) as seen from ({TYPED_SQL})")
+@register(
+    f"""select event_id, value, k, cast(null as integer) as clicks, cast(null as timestamp) as seen
+    from ({TYPED_SQL})"""
+)
 def project_props_missing(spark, sf_dir):
     fields = projection.fields_from_specs([*SPECS, "clicks:int", "seen:timestamp_ntz"])
     typed = projection.project(records(spark, sf_dir), fields)
@@ -102,8 +106,8 @@ def classify_columns(spark, sf_dir):
 
 @register(
     """select event_type as event, count(*) as row_count, cast(0 as bigint) as rows_skipped,
-      'STRUCT<asn: STRING, event: STRING, event_id: NUMBER, properties_raw: STRUCT<k: NUMBER, value: NUMBER>, ts: STRING>'
-        as families
+      concat('STRUCT<asn: STRING, event: STRING, event_id: NUMBER, ',
+        'properties_raw: STRUCT<k: NUMBER, value: NUMBER>, ts: STRING>') as families
     from events group by event_type"""
 )
 def infer_schema(spark, sf_dir):

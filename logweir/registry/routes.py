@@ -22,8 +22,8 @@ SET_PATTERN = '"event":"click|view|signup"'
 
 @register(f"select value from ({ENVELOPE_SQL})")
 def decode_value(spark, sf_dir):
-    payload = records(spark, sf_dir).select(F.col("value").cast("binary").alias("value"), F.col("event_id").alias("key"))
-    return decode(payload)
+    payload = F.col("value").cast("binary").alias("value")
+    return decode(records(spark, sf_dir).select(payload, F.col("event_id").alias("key")))
 
 
 @register("select event_id, ts, event_type from events where ts >= timestamp '2024-01-15 00:00:00'")

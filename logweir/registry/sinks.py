@@ -27,7 +27,8 @@ def config(folder, **settings):
 
 def all_tables(spark, sink, names=SEEN):
     """Every target table as one frame."""
-    tables = [sink.read(spark, name, projection.table_schema(FIELDS)).withColumn("table_name", F.lit(name)) for name in names]
+    schema = projection.table_schema(FIELDS)
+    tables = [sink.read(spark, name, schema).withColumn("table_name", F.lit(name)) for name in names]
     union = tables[0]
     for other in tables[1:]:
         union = union.unionByName(other)

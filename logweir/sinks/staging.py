@@ -49,7 +49,8 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType, staging_fo
         return reader.json(path)
     csv = reader.options(**{**_CSV, "emptyValue": _EMPTY}).option("multiLine", "true").csv(path)
     texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    return csv.withColumns({name: F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`")) for name in texts})
+    restored = {name: F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`")) for name in texts}
+    return csv.withColumns(restored)
 
 
 def _parse(staging_format: str) -> tuple[str, str]:

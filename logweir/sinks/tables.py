@@ -1,8 +1,8 @@
 """Append-only target tables.
 
 ``append(df, table, source_id, batch_id)`` is the whole contract. File tables write each batch into its own
-``source_id=…/batch_id=…`` directory and overwrite just that directory, so running a failed batch again replaces what
-it had written instead of doubling it. ``source_id`` belongs to the checkpoint: a restart from the same checkpoint
+``source_id=…/batch_id=…`` directory and overwrite just that directory, so running a failed batch again replaces
+what it had written instead of doubling it. ``source_id`` belongs to the checkpoint: a restart from the same checkpoint
 keeps it, a new checkpoint starts a new one and so really appends.
 """
 

@@ -1,6 +1,9 @@
 """Literal records: one case for each routing, parsing and casting rule."""
 
 import datetime as dt
+import json
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -131,6 +134,7 @@ def test_byte_truncation_matches_brute_force(texts, text, width):
         ("May 5, 2024 07:08:09.5", dt.datetime(2024, 5, 5, 7, 8, 9, 500000)),
         ("September 30 2024", dt.datetime(2024, 9, 30)),
         ("1704438489", dt.datetime(2024, 1, 5, 7, 8, 9)),
+        ("1704438489.25", dt.datetime(2024, 1, 5, 7, 8, 9, 250000)),
         ("13/45/2024", None),
         ("yesterday", None),
         ("", None),
@@ -214,6 +218,36 @@ def test_classified_columns(texts):
     }
 
 
+def _random_record(rng):
+    """A record text and what it must become: its outcome and, if routed, its row."""
+    event = rng.choice(["aa", "bb", "zz", None, "a\"a", "é"])
+    asn = rng.choice([rng.randint(-(2**31), 2**31 - 1), str(rng.randint(0, 9)), None, "x", True, 2**40])
+    text = rng.choice(["", "plain", 'q"uo\\te', "żółw\n\t", "😀", None])
+    record = {"event": event, "asn": asn, "properties_raw": {"s": text, "n": {"deep": [1, {"event": "aa"}]}}}
+    if rng.random() < 0.2:
+        del record["properties_raw"]
+        text = None
+    value = json.dumps(record, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+    if rng.random() < 0.15:
+        return value[: rng.randint(1, len(value) - 1)], "quarantined", None
+    if event not in ("aa", "bb"):
+        return value, "unrouted", None
+    number = int(asn) if isinstance(asn, (int, str)) and not isinstance(asn, bool) and str(asn).lstrip("-").isdigit() else None
+    fits = number is not None and -(2**31) <= number < 2**31
+    return value, "routed", (event, number if fits else None, text)
+
+
+def test_random_records_match_a_plain_reading(texts):
+    rng = random.Random(7)
+    cases = [_random_record(rng) for _ in range(600)]
+    df = texts(*[value for value, _, _ in cases])
+    got = routing.sort_out(df, ["aa", "bb"]).groupBy("outcome").count().collect()
+    assert {r.outcome: r["count"] for r in got} == Counter(outcome for _, outcome, _ in cases)
+    fields = fields_from_specs(["event:varchar", "asn:int", "s:varchar"])
+    rows = projection.project(routing.route(df, ["aa", "bb"]), fields).collect()
+    assert Counter(tuple(row) for row in rows) == Counter(row for _, _, row in cases if row)
+
+
 def test_preview_cuts_cells(texts):
     df = texts("short", "x" * 21, "y" * 20)
     assert [r.value for r in projection.preview_rows(df, ["value"]).collect()] == ["short", "x" * 17 + "...", "y" * 20]
