@@ -11,8 +11,8 @@ from logweir.operators.bounds import collect_metadata
 from logweir.operators.catalog import DELIMITER
 from logweir.operators.projection import CastRules
 
-# Property keys whose values must never be shown.
-SECRET_KEYS = ("redshift_password", "redshift_secret_id", "redshift_iam_role", "metadata_password")
+# Values of property keys with one of these parts must never be shown.
+SECRET_PARTS = ("password", "secret", "role", "user", "token")
 
 # The staging formats a job can name.
 STAGING_FORMATS = ("CSV", "CSV GZIP", "JSON", "JSON GZIP")
@@ -63,6 +63,7 @@ class IngestConfig:
 
     def __post_init__(self):
         _one_of("fanout", self.fanout, FANOUT)
+        _one_of("routing_mode", self.routing_mode, ("exact", "regex"))
         _one_of("on_error", self.on_error, ON_ERROR)
         _one_of("staging_format", self.staging_format, STAGING_FORMATS)
         _one_of("missing_outer", self.missing_outer, ("null", "drop"))
@@ -73,7 +74,7 @@ class IngestConfig:
     def from_properties(cls, properties: Mapping[str, str], **overrides) -> IngestConfig:
         """From a job properties file: its fixed keys, and any field of this class under its own name.
 
-        Other keys are for the sink and the catalog source.
+        Keys that begin with ``stream.`` are reader options. Other keys are for the sink and the catalog source.
         """
         p = {key: unquote(value) for key, value in properties.items()}
         values = {
@@ -93,6 +94,7 @@ class IngestConfig:
         }
         own = {f.name: f.default for f in fields(cls)}
         values.update({key: _like(own[key], text) for key, text in p.items() if key in own and key not in values})
+        values["stream_options"] = {key[7:]: text for key, text in p.items() if key.startswith("stream.")}
         values["cast_rules"] = CastRules(p.get("cast_mode", "try"), p.get("width_unit", "bytes"))
         values.update(overrides)
         return cls(**values)
@@ -115,7 +117,9 @@ def unquote(text: str) -> str:
 
 def redacted(properties: Mapping[str, str]) -> dict[str, str]:
     """The properties as they may appear in a log."""
-    return {key: "***" if key in SECRET_KEYS else value for key, value in properties.items()}
+    return {
+        key: "***" if any(part in key.lower() for part in SECRET_PARTS) else value for key, value in properties.items()
+    }
 
 
 def load_properties(spark: SparkSession, path: str) -> dict[str, str]:

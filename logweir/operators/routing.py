@@ -2,12 +2,14 @@
 
 ``exact`` routing reads the top-level ``event`` key. ``regex`` routing is textual, for users who depend on that
 behaviour: the pattern ``"event":"<name>"`` may match anywhere in the text, and a list of names becomes one
-alternation over the *whole* pattern. All of it is native expressions, so filters stay in generated code.
+alternation over the *whole* pattern. ``each`` is textual too, with one pattern per name. All of it is native
+expressions, so filters stay in generated code.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 from logweir.functions import records
 from logweir.operators.bounds import broadcast_if_small
 
-ROUTING_MODES = ("exact", "regex")
+ROUTING_MODES = ("exact", "regex", "each")
 
 # Fixed value: the text pattern of regex routing.
 TEXT_PATTERN = '"event":"{}"'
@@ -35,14 +37,24 @@ def matches_text(value: Column, names: Sequence[str]) -> Column:
     return value.rlike(TEXT_PATTERN.format("|".join(names)))
 
 
+def belongs(value: Column, record: Column, names: Sequence[str], mode: str) -> Column:
+    """Whether a record is of one of the events; never NULL."""
+    if mode == "exact":
+        match = is_event(record, names)
+    elif mode == "regex":
+        match = matches_text(value, names)
+    elif mode == "each":
+        match = reduce(Column.__or__, [matches_text(value, [name]) for name in names], F.lit(False))
+    else:
+        raise ValueError(f"routing mode must be one of {ROUTING_MODES}, got {mode!r}")
+    return F.coalesce(match, F.lit(False))
+
+
 def route(df: DataFrame, names: str | Sequence[str], mode: str = "exact") -> DataFrame:
     """Records of one event or of a set of events."""
     wanted = [names] if isinstance(names, str) else list(names)
-    if mode == "exact":
-        return df.where(event_tag().isin(wanted))
-    if mode == "regex":
-        return df.where(matches_text(F.col("value"), wanted))
-    raise ValueError(f"routing mode must be one of {ROUTING_MODES}, got {mode!r}")
+    record = records.parse_record("value", records.record_type())
+    return df.where(belongs(F.col("value"), record, wanted, mode))
 
 
 def tag(df: DataFrame) -> DataFrame:
@@ -75,10 +87,9 @@ def sort_out(
     With a wider ``schema`` than the bare event tag, the same parse also reads the fields.
     """
     value, record = F.col("value"), F.col("record")
-    wanted = is_event(record, names) if mode == "exact" else matches_text(value, names)
     return (
         df.withColumn("record", records.parse_record("value", schema or records.record_type()))
-        .withColumn("wanted", F.coalesce(wanted, F.lit(False)))
+        .withColumn("wanted", belongs(value, record, names, mode))
         .withColumn("reason", F.when(~F.col("wanted"), records.defect(value, record)))
         .withColumn("outcome", records.outcome(F.col("wanted"), F.col("reason")))
         .withColumn("event", records.event_of(record))
@@ -95,8 +106,7 @@ def having(df: DataFrame, names: Sequence[str], wanted: str, mode: str = "exact"
     value = F.col("value")
 
     def judge(record: Column) -> Column:
-        match = is_event(record, names) if mode == "exact" else matches_text(value, names)
-        match = F.coalesce(match, F.lit(False))
+        match = belongs(value, record, names, mode)
         reason = F.when(~match, records.defect(value, record))
         return F.struct(records.outcome(match, reason).alias("outcome"), reason.alias("reason"))
 

@@ -98,7 +98,8 @@ def tag_batch(df: DataFrame, catalog: EventCatalog, config: IngestConfig) -> Dat
     """
     names = catalog.event_names
     parsed = parsed_schema(catalog, config)
-    tagged = routing.sort_out(df.select("value"), names, config.routing_mode, parsed)
+    mode = "each" if config.routing_mode == "regex" else config.routing_mode
+    tagged = routing.sort_out(df.select("value"), names, mode, parsed)
     routed = F.col("outcome") == ROUTED
     event = F.when(routed, F.col("event"))
     if config.routing_mode == "regex":

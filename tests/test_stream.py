@@ -227,6 +227,8 @@ def test_message_source_options(properties):
         "maxOffsetsPerTrigger": "1000",
         "kafka.consumer.commit.groupid": "group",
     }
+    more = stream_options(IngestConfig.from_properties({**properties, "stream.minPartitions": "64"}))
+    assert more["minPartitions"] == "64"
     at_time = stream_options(IngestConfig.from_properties({**properties, "startingOffsets": "1704067200000"}))
     assert at_time["startingTimestamp"] == "1704067200000" and "startingOffsets" not in at_time
 
