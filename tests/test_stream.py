@@ -154,7 +154,7 @@ metadata_username = user
 metadata_password = secret
 metadata_database = meta
 metadata_event_type = 0,2
-target_table = "realtime_events"
+target_table = "all_events"
 """
 
 
@@ -167,7 +167,7 @@ def properties(spark, folder):
 
 def test_properties(properties):
     config = IngestConfig.from_properties(properties)
-    assert (config.topic, config.target_table, config.staging_format) == ("app_events", "realtime_events", "CSV GZIP")
+    assert (config.topic, config.target_table, config.staging_format) == ("app_events", "all_events", "CSV GZIP")
     assert (config.max_concurrent_writes, config.preview, config.event_types) == (4, False, "0,2")
     assert properties["redshift_password"] == "pass=word"
     shown = str(redacted(properties))
@@ -209,7 +209,7 @@ def test_router_job_from_the_command_line(spark, folder, properties, capsys):
 
 def test_single_table_job_from_the_command_line(spark, folder, properties):
     job.main(["single", "eu-test-1", _job(spark, folder, properties, staging_root=f"{folder}/staging")])
-    assert asns(spark, folder, "realtime_events") == [1, 2]
+    assert asns(spark, folder, "all_events") == [1, 2]
 
 
 def test_command_line_needs_three_arguments():
