@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 
 def block_pairs(rows: DataFrame, bucket: str, identity: str, block: int) -> DataFrame:
-    """Adds ``left`` and ``right`` (a pair of blocks) and ``side``; a row goes to every pair that holds its block.
+    """Adds ``left`` and ``right`` (a pair of blocks) and ``own``, the row's block; a row goes to every pair that holds it.
 
-    Buckets of one row are left out, they have nothing to compare.
+    Only buckets of more than ``block`` rows are cut; their names are few, so the join with them is cheap.
     """
-    sizes = rows.groupBy(bucket).agg(F.count("*").alias("rows")).where("rows > 1")
-    cut = rows.join(sizes, bucket).withColumn("blocks", F.ceil(F.col("rows") / F.lit(block)).cast("int"))
+    sizes = rows.groupBy(bucket).agg(F.count("*").alias("rows")).where(F.col("rows") > block)
+    blocks = F.coalesce(F.ceil(F.col("rows") / F.lit(block)).cast("int"), F.lit(1))
+    cut = rows.join(sizes, bucket, "left").withColumn("blocks", blocks)
     own = F.pmod(F.xxhash64(identity), F.col("blocks")).cast("int")
     cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return cut.select(

@@ -3,7 +3,7 @@
 A window is ``window`` consecutive words of one document. First pass: every task counts window hashes in a sketch of
 ``depth`` rows; the partition sketches are merged by cell ranges into "counted twice or more" bitmaps. A count-min
 estimate is never below the true count, so every window that repeats passes. Second pass: only windows that pass are
-grouped exactly, by 128-bit fingerprints of their word sequence; those that turn out to be alone are the prefilter's
+grouped exactly, by 96-bit fingerprints of their word sequence, in buckets sized to the input; those that turn out to be alone are the prefilter's
 errors. Third pass: each document takes its errors back and removes the words that the remaining windows cover.
 
 The sketch has about two cells a window up to ``max_cells`` a row, which bounds what is sent to every task (an eighth
@@ -23,12 +23,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweir.llm.buckets import runs
 from logweir.llm.words import Words, blocks, hash_words, mix, powers, split_words
 
 #: Fixed value: odd base of the rolling window hash.
 BASE = 0x9E3779B97F4A7C15
-#: Cells of a sketch row in one merge range.
-RANGE = 1 << 20
+#: Cells of a sketch row in one merge range, bytes of text for a bucket of the exact grouping.
+RANGE, BUCKET_BYTES = 1 << 20, 1 << 26
 
 
 def rolling(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,10 +115,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def sketch(docs: DataFrame, window: int, depth: int, max_cells: int, text: str = "text") -> tuple[Broadcast, int]:
+def sketch(
+    docs: DataFrame, size: int, window: int, depth: int, max_cells: int, text: str = "text"
+) -> tuple[Broadcast, int]:
     """Broadcast bitmaps, one for each row, and the logarithm of their length."""
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    width = int(np.clip(int(total // 3).bit_length(), RANGE.bit_length() - 1, int(max_cells).bit_length() - 1))
+    width = int(np.clip(int(size // 3).bit_length(), RANGE.bit_length() - 1, int(max_cells).bit_length() - 1))
     parts = docs.select(text).mapInArrow(
         lambda x: _partial_sketch(x, window, depth, width), "row int, part int, once binary, twice binary"
     )
@@ -145,23 +147,71 @@ def _estimated(words: Words, window: int, bitmaps: np.ndarray, width: int) -> tu
     return first[keep], at[keep]
 
 
-def _windows(batches: Iterator[pa.RecordBatch], window: int, bitmaps: Broadcast, width: int) -> Iterator[pa.RecordBatch]:
-    """(high, low, doc, place) of the windows that pass."""
+PACKED = ("high", "low", "doc", "place", "place_top", "again")
+KINDS = ("<u8", "<u4", "<i8", "<u2", "<u2", "u1")
+
+
+def _windows(
+    batches: Iterator[pa.RecordBatch], window: int, bitmaps: Broadcast, width: int, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """The windows that pass, packed by bucket; a window that a piece holds more than once is sent once and marked."""
+    held: list[list[np.ndarray]] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        high, low, doc, place = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        order = np.lexsort((low, high))
+        new = np.ones(len(order), bool)
+        new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+        again = np.zeros(len(order), bool)
+        again[order[:-1]] = ~new[1:]
+        keep = np.sort(order[new])
+        bucket = (high[keep] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        keep, bucket = keep[order], bucket[order]
+        columns = (high[keep], low[keep], doc[keep], place[keep] & 0xFFFF, place[keep] >> 16, again[keep])
+        names, at = np.unique(bucket, return_index=True)
+        for name, begin, end in zip(names.tolist(), at.tolist(), [*at[1:].tolist(), len(bucket)]):
+            packed = [pa.array([c[begin:end].astype(k).tobytes()], pa.binary()) for c, k in zip(columns, KINDS)]
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), *packed], names=["bucket", *PACKED])
+
+    size = 0
     for batch in blocks(batches):
         words = split_words(batch.column("text"))
         high, at = _estimated(words, window, bitmaps.value, width)
         if len(at) == 0:
             continue
         total, place = rolling(words, hash_words(words, 1), window)
-        low = total[np.searchsorted(place, at)]
+        low = (total[np.searchsorted(place, at)] >> np.uint64(32)).astype(np.uint32)
         doc = words.documents()[at]
-        columns = [
-            pa.array(high.view(np.int64)),
-            pa.array(low.view(np.int64)),
-            batch.column("doc").take(pa.array(doc)),
-            pa.array((at - words.bounds[doc]).astype(np.int32)),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["high", "low", "doc", "place"])
+        held.append([high, low, batch.column("doc").to_numpy()[doc], at - words.bounds[doc]])
+        size += len(at)
+        if size > 1 << 20:
+            yield from flush()
+            size = 0
+    if held:
+        yield from flush()
+
+
+def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, place) of windows that occur once: input sorted by bucket, each of which is grouped exactly."""
+    for piece in runs(batches, ["bucket"]):
+        bucket = piece.column("bucket").to_numpy()
+        bounds = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        for begin, end in zip(bounds, [*bounds[1:], len(bucket)]):
+            part = piece.slice(begin, end - begin)
+            values = [
+                np.concatenate([np.frombuffer(x.as_buffer(), k) for x in part.column(c)]) for c, k in zip(PACKED, KINDS)
+            ]
+            high, low, doc, place, top, again = values
+            order = np.lexsort((low, high))
+            same = (high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])
+            single = again[order] == 0
+            single[1:] &= ~same
+            single[:-1] &= ~same
+            at = order[single]
+            places = place[at].astype(np.int32) | top[at].astype(np.int32) << 16
+            yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(places)], names=["doc", "place"])
 
 
 def _remove(
@@ -204,12 +254,15 @@ def remove_repeats(
     source = docs.select(
         F.col(key), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("doc")
     )
-    bitmaps, width = sketch(source, window, depth, max_cells)
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bitmaps, width = sketch(source, size, window, depth, max_cells)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, size // BUCKET_BYTES + 1)
     found = source.select("text", "doc").mapInArrow(
-        lambda x: _windows(x, window, bitmaps, width), "high bigint, low bigint, doc bigint, place int"
+        lambda x: _windows(x, window, bitmaps, width, buckets), "bucket int, " + ", ".join(f"{c} binary" for c in PACKED)
     )
-    exact = found.groupBy("high", "low").agg(F.count("*").alias("n"), F.min("doc").alias("doc"), F.min("place").alias("place"))
-    errors = exact.where("n = 1").groupBy("doc").agg(F.collect_list("place").alias("errors"))
+    grouped = found.repartition("bucket").sortWithinPartitions("bucket")
+    errors = grouped.mapInArrow(_alone, "doc bigint, place int").groupBy("doc").agg(F.collect_list("place").alias("errors"))
     joined = source.join(errors, "doc", "left").select(key, "text", "errors")
     kind = docs.schema[key].dataType.simpleString()
     return joined.mapInArrow(

@@ -113,6 +113,15 @@ def kernel_with(codes: list[list[int]], table: np.ndarray, decay: float) -> np.n
     return out
 
 
+def folded_decisions(codes: list[list[int]], weights: np.ndarray, decay: float) -> np.ndarray:
+    """Inner product of each stretch with one weight for each triple."""
+    out = np.zeros(len(codes))
+    for at, matrix in by_length(codes):
+        numbers, values = features(matrix, decay)
+        out[at] = (values * weights[numbers]).sum(axis=1)
+    return out
+
+
 def landmark_table(codes: list[list[int]], decay: float) -> np.ndarray:
     table = np.zeros((SYMBOLS**3, len(codes)), np.float32)
     for at, matrix in by_length(codes):
@@ -159,11 +168,7 @@ class ToxicityModel:
         owner = np.repeat(np.arange(len(words)), [len(c) for c in codes])
         flat = [x for c in codes for x in c]
         out = np.full(len(words), self.floor)
-        values = np.zeros(len(flat))
-        for at, matrix in by_length(flat):
-            numbers, weights = features(matrix, self.decay)
-            values[at] = (weights * self.weights[numbers]).sum(axis=1) + self.shift
-        np.maximum.at(out, owner, values)
+        np.maximum.at(out, owner, folded_decisions(flat, self.weights, self.decay) + self.shift)
         return out
 
     def probability(self, decisions: np.ndarray) -> np.ndarray:
@@ -215,16 +220,11 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
     words = sorted({w for t in texts for s in t for w in s})
     place = {w: i for i, w in enumerate(words)}
     first = [stretches(w)[0] if stretches(w) else [0, 31] for w in words]
-    phi = np.concatenate(
-        [kernel_with(first[a : a + 20000], table, decay) @ whiten for a in range(0, max(1, len(first)), 20000)]
-    )
     sentences = [(d, [place[w] for w in s]) for d, t in enumerate(texts) for s in t if s]
-    toxic_marks = set(names[: sum(1 for n in names if n)])
-    # first witnesses: the words nearest to what tells toxic texts
+    # first witnesses: the words nearest to those that tell toxic texts
     telling = [i for i, n in enumerate([w for w in names if stretches(w)]) if _rate(n, core, labels) > 0]
-    decision = (phi @ (vector[telling][:, use] * np.sqrt(value[use])).T).max(axis=1) if telling else np.zeros(len(words))
-    weights, shift = np.zeros(phi.shape[1]), 0.0
-    del toxic_marks
+    decision = folded_decisions(first, table[:, telling].sum(axis=1), decay)
+    weights, shift = np.zeros(whiten.shape[1]), 0.0
     for _ in range(rounds):
         witness: dict[int, int] = {}
         negative: set[int] = set()
@@ -240,7 +240,8 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
         y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
         amount = np.array([*positive.values(), *[1.0] * len(negative)], float)
         amount[y < 0] *= amount[y > 0].sum() / max(1, (y < 0).sum())
-        x = np.concatenate([phi[index], np.ones((len(index), 1))], axis=1)
+        phi = kernel_with([first[i] for i in index], table, decay) @ whiten
+        x = np.concatenate([phi, np.ones((len(index), 1))], axis=1)
 
         def loss(w: np.ndarray):
             margin = np.maximum(0, 1 - y * (x @ w))
@@ -252,7 +253,7 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
 
         solved = newton(loss, np.append(weights, shift))
         weights, shift = solved[:-1], float(solved[-1])
-        decision = phi @ weights + shift
+        decision = folded_decisions(first, (table @ (whiten @ weights)).astype(np.float32), decay) + shift
     folded = (table @ (whiten @ weights)).astype(np.float32)
     model = ToxicityModel(folded, shift, 1.0, 0.0, decay, -10.0)
     scores = text_decisions(model, [t for t, _ in rows])
@@ -308,7 +309,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[st
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, held_out: Column, passed: list[str], text: str = "text", rows_per_class: int = 1500
+    docs: DataFrame, labels: DataFrame, held_out: Column, passed: list[str], text: str = "text", rows_per_class: int = 700
 ) -> DataFrame:
     """``passed`` columns and score of every row of ``docs``, learnt from labels outside ``held_out``."""
     model = fit(training_sample(docs, labels, "toxic", held_out, rows_per_class, [text]))
