@@ -133,5 +133,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def without_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` of which no word is hit, with all their columns."""
-    hit = contaminated_words(docs, benchmark, key, text, **options).select(F.col(key).alias("hit_key")).distinct()
-    return docs.join(hit, docs[key].eqNullSafe(hit.hit_key), "left_anti")
+    hit = contaminated_words(docs, benchmark, key, text, **options).select(F.col(key).alias("__hit")).distinct()
+    return docs.join(hit, docs[key].eqNullSafe(hit["__hit"]), "left_anti")

@@ -174,14 +174,16 @@ def fit(
     return QualityModel(bias, weights, factors, mean, spread)
 
 
-def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[str]) -> Iterator[pa.RecordBatch]:
+def _score(
+    batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[str], name: str
+) -> Iterator[pa.RecordBatch]:
     model: QualityModel = shared.value
-    for batch in blocks(batches):
+    for batch in blocks(batches, "__text"):
         if model.constant is None:
-            score = sigmoid(model.decisions(extract(batch.column("text"), batch.column("stated"))))
+            score = sigmoid(model.decisions(extract(batch.column("__text"), batch.column("__stated"))))
         else:
             score = np.full(batch.num_rows, model.constant)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(score)], names=[*passed, "score"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(score)], names=[*passed, name])
 
 
 def score_quality(
@@ -192,10 +194,11 @@ def score_quality(
     text: str = "text",
     stated: str = "n_chars",
     rows_per_class: int = 1500,
+    name: str = "score",
 ) -> DataFrame:
-    """``passed`` columns and score of every row of ``docs``, learnt from labels outside ``held_out``."""
+    """``passed`` columns and the score, as ``name``, of every row of ``docs``, learnt from labels outside ``held_out``."""
     model = fit(training_sample(docs, labels, "quality", held_out, rows_per_class, [text, stated]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
-    source = docs.select(*passed, F.col(text).alias("text"), F.col(stated).cast("bigint").alias("stated"))
-    return source.mapInArrow(lambda x: _score(x, shared, passed), f"{kinds}, score double")
+    source = docs.select(*passed, F.col(text).alias("__text"), F.col(stated).cast("bigint").alias("__stated"))
+    return source.mapInArrow(lambda x: _score(x, shared, passed, name), f"{kinds}, `{name}` double")
