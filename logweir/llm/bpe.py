@@ -57,10 +57,16 @@ class Merges:
         self.symbols = byte_symbols()
         self.inner = {t: i for t, i in self.ids.items() if not t.endswith(self.suffix)}
         self.final = {t.removesuffix(self.suffix): i for t, i in self.ids.items() if t.endswith(self.suffix)}
-        self.longest = max(map(len, self.ids))
+        #: Length of the longest inner token for each start of three symbols.
+        self.reach: dict[str, int] = {}
+        for token in self.inner:
+            if len(token) > 2:
+                self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 0))
         self._tables(pairs)
-        self.sound = {i for t, i in self.ids.items() if self.exact(self._letters(t)) == [i]}
+        self.unsound = np.zeros(max(self.names) + 1, bool)
+        self.unsound[[i for t, i in self.ids.items() if self.exact(self._letters(t)) != [i]]] = True
         self.compatible: dict[int, bool] = {}
+        self.words: dict[str, list[int]] = {}
 
     def _letters(self, token: str) -> list[int]:
         if token.endswith(self.suffix) and token != self.suffix:
@@ -95,6 +101,21 @@ class Merges:
 
     def exact(self, letters: list[int]) -> list[int]:
         """Merging by rank, the leftmost pair first among equals."""
+        return self._exact_short(letters) if len(letters) <= 24 else self._exact_long(letters)
+
+    def _exact_short(self, letters: list[int]) -> list[int]:
+        """Looks for the first of the best pairs again after each merge."""
+        ranks, out = self.ranks, list(letters)
+        while len(out) > 1:
+            found = [(*pair, i) for i, p in enumerate(zip(out, out[1:])) if (pair := ranks.get(p))]
+            if not found:
+                break
+            best = min(found, key=lambda x: x[0])
+            out[best[2] : best[2] + 2] = [best[1]]
+        return out
+
+    def _exact_long(self, letters: list[int]) -> list[int]:
+        """The same with a heap of pairs, for words of any length."""
         count = len(letters)
         token, after, before = list(letters), [*range(1, count + 1)], [*range(-1, count - 1)]
         heap = [(*self.ranks[p], i) for i, p in enumerate(zip(letters, letters[1:])) if p in self.ranks]
@@ -120,7 +141,8 @@ class Merges:
             if (last := self.final.get(word[at:])) is not None:
                 out.append(last)
                 return out
-            for stop in range(min(size - 1, at + self.longest), at, -1):
+            reach = self.reach.get(word[at : at + 3], 2)
+            for stop in range(min(size - 1, at + reach), at, -1):
                 if (token := self.inner.get(word[at:stop])) is not None:
                     out.append(token)
                     at = stop
@@ -156,9 +178,8 @@ class Merges:
         self.compatible.update(zip(new.tolist(), self.check_pairs(new).tolist()))
         fits = np.array([self.compatible[c] for c in codes.tolist()], bool)
         wrong[owner[inside][~fits[back]]] = True
-        unsound = np.array([t not in self.sound for t in flat.tolist()], bool)
-        wrong[owner[unsound]] = True
-        if len(self.compatible) > 2_000_000:
+        wrong[owner[self.unsound[flat]]] = True
+        if len(self.compatible) > 300_000:
             self.compatible.clear()
         return [
             self.exact(self._letters(w + self.suffix)) if bad else tokens for w, tokens, bad in zip(words, proposed, wrong)
@@ -166,7 +187,13 @@ class Merges:
 
     def pieces(self, run: str) -> list[str | int]:
         """Words of byte symbols and special ids of a run without ASCII white space."""
-        if self.split_special and any(x in run for x in self.special):
+        if run.isascii():
+            text = run.lower()
+            if text.isalpha():
+                return [text]
+            if text[:-1].isalpha() and text[-1] in ".,;:!?":
+                return [text[:-1], text[-1]]
+        if self.split_special and self.split_special.search(run):
             return [
                 p for part in self.split_special.split(run) if part
                 for p in ([self.special[part]] if part in self.special else self.pieces(part))
@@ -179,8 +206,11 @@ class Merges:
 
     def encode_runs(self, runs: list[str]) -> list[list[int]]:
         parts = [self.pieces(r) for r in runs]
-        words = list({p for part in parts for p in part if isinstance(p, str)})
-        known = dict(zip(words, self.encode_words(words)))
+        known = self.words
+        if len(known) > 150_000:
+            known.clear()
+        words = list({p for part in parts for p in part if isinstance(p, str) and p not in known})
+        known.update(zip(words, self.encode_words(words)))
         return [[t for p in part for t in ([p] if isinstance(p, int) else known[p])] for part in parts]
 
     def decode(self, ids: list[int]) -> str:
@@ -188,11 +218,11 @@ class Merges:
 
 
 @lru_cache(maxsize=2)
-def _merges(path: str) -> tuple[Merges, dict[bytes, tuple[str, str, int]]]:
+def _merges(path: str) -> tuple[Merges, dict[bytes, tuple[str, str]]]:
     return Merges(path), {}
 
 
-def encode_texts(texts: list[str | None], path: str, memory: int = 400_000) -> list[tuple[int, str, str]]:
+def encode_texts(texts: list[str | None], path: str, memory: int = 150_000) -> list[tuple[int, str, str]]:
     """(number of ids, ids joined by spaces, decoded text) of each text."""
     merges, known = _merges(path)
     if len(known) > memory:
@@ -202,11 +232,12 @@ def encode_texts(texts: list[str | None], path: str, memory: int = 400_000) -> l
     for at in range(0, len(new), 8192):
         part = new[at : at + 8192]
         for w, ids in zip(part, merges.encode_runs([w.decode("utf-8") for w in part])):
-            known[w] = (" ".join(map(str, ids)), merges.decode(ids), len(ids))
+            known[w] = (" ".join(map(str, ids)), merges.decode(ids))
     out = []
     for run in runs:
-        found = [f for f in map(known.__getitem__, run) if f[2]]
-        out.append((sum(f[2] for f in found), " ".join([f[0] for f in found]), " ".join([f[1] for f in found])))
+        found = [f for w in run if (f := known[w])[0]]
+        ids = " ".join([f[0] for f in found])
+        out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join([f[1] for f in found])))
     return out
 
 

@@ -103,7 +103,7 @@ def _encoder(path: str) -> tuple[object, int, dict[bytes, bytes]]:
     return tokenizer, 2 if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4, {}
 
 
-def encode_texts(texts: list[str | None], path: str, memory: int = 800_000) -> tuple[list[bytes], int]:
+def encode_texts(texts: list[str | None], path: str, memory: int = 500_000) -> tuple[list[bytes], int]:
     """Ids of each text as bytes, and the bytes of an id. ``memory`` bounds the remembered runs of a worker."""
     tokenizer, width, known = _encoder(path)
     runs = [(x or "").encode("utf-8", "surrogatepass").split() for x in texts]

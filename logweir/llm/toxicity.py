@@ -287,7 +287,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[st
         if model.constant is None and len(words.start):
             docs = words.documents()
             names, where, back = np.unique(hash_words(words), return_index=True, return_inverse=True)
-            if len(seen) > 1_000_000:
+            if len(seen) > 500_000:
                 seen.clear()
             new = [i for i, h in enumerate(names.tolist()) if h not in seen]
             spans = zip(words.start[where[new]].tolist(), words.end[where[new]].tolist())
