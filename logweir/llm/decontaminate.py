@@ -28,7 +28,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def normalised(text: Column) -> Column:
     """Words separated by one space, with a space at the end; empty without words."""
     spaced = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BREAK, " ")
-    return F.when(F.trim(spaced) == "", "").otherwise(F.concat(F.ltrim(F.rtrim(spaced)), F.lit(" ")))
+    return F.ltrim(F.concat(F.rtrim(spaced), F.lit(" ")))
 
 
 def word_count(text: Column) -> Column:
@@ -74,7 +74,8 @@ def contaminated_words(
     flat = docs.select(F.col(key), normalised(F.col(text)).alias("flat"))
     pieces = F.regexp_extract_all("flat", F.lit("(?:[^ ]+ ){1,%d}" % BLOCK), F.lit(0))
     blocked = flat.select(key, pieces.alias("pieces"))
-    each = blocked.select(key, "pieces", F.posexplode("pieces").alias("at", "piece"))
+    # an outer explode: the filter that Spark infers for an inner one would cut every text a second time
+    each = blocked.select(key, "pieces", F.posexplode_outer("pieces").alias("at", "piece"))
     near = each.join(F.broadcast(heads), "piece").select(
         key,
         (F.greatest(F.col("at") - 1, F.lit(0)) * BLOCK).alias("from"),
@@ -94,7 +95,7 @@ def contaminated_words(
     )
 
     short = named.where(F.col("n") < WINDOW).select("n", "words", "items", F.element_at("words", 1).alias("word"))
-    single = flat.select(key, words_in(F.col("flat")).alias("all")).select(key, "all", F.posexplode("all").alias("place", "word"))
+    single = flat.select(key, words_in(F.col("flat")).alias("all")).select(key, "all", F.posexplode_outer("all").alias("place", "word"))
     narrow = single.join(F.broadcast(short), "word").where(
         F.slice("all", F.col("place") + 1, F.col("n")) == F.col("words")
     ).select(key, "place", "n", "items")
