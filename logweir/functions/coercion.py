@@ -18,7 +18,7 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 # English month abbreviations in calendar order, three letters each.
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
 def coerce(text: Column, declared: DeclaredType, cast_mode: str = "try", width_unit: str = "bytes") -> Column:
@@ -44,11 +44,19 @@ def coerce(text: Column, declared: DeclaredType, cast_mode: str = "try", width_u
 
 
 def integral(text: Column, ddl: str, cast_mode: str = "try") -> Column:
-    """Whole numbers. ``3``, ``3.0`` and ``3e0`` all give 3; ``12.7`` gives NULL, or 12 in legacy mode."""
-    exact = text.try_cast("decimal(38,10)")
+    """Whole numbers. ``3``, ``3.0`` and ``3e0`` all give 3; ``12.7`` gives NULL, or 12 in legacy mode.
+
+    A fraction is judged and cut as text, so no digit is rounded away first.
+    """
+    shape = r"^\s*([+-]?\d*)\.(\d*)\s*$"
+    whole = F.regexp_extract(text, shape, 1)
+    whole = F.when(whole.rlike(r"^[+-]?$"), "0").otherwise(whole)
+    decimal, double = text.try_cast("decimal(38,10)"), text.try_cast("double")
     if cast_mode == "try":
-        exact = F.when(exact == F.floor(exact), exact)
-    return F.coalesce(text.try_cast(ddl), exact.try_cast(ddl))
+        whole = F.when(F.regexp_extract(text, shape, 2).rlike("^0*$"), whole)
+        decimal = F.when((decimal == F.floor(decimal)) & (double == F.floor(double)), decimal)
+    cut = F.when(text.rlike(shape) & text.rlike(r"\d"), whole.try_cast(ddl)).when(text.rlike("[eE]"), decimal.try_cast(ddl))
+    return F.coalesce(F.when(~text.contains("."), text.try_cast(ddl)), cut)
 
 
 def truncate(text: Column, width: int, unit: str = "bytes") -> Column:
@@ -79,17 +87,25 @@ def truncate_bytes(text: Column, width: int) -> Column:
     return F.when(F.octet_length(text) <= width, text).otherwise(cut)
 
 
+#: 9999-12-31 23:59:59 as seconds since the epoch.
+LAST_SECOND = 253_402_300_799
+
+
 def auto_timestamp(text: Column, target: str = "timestamp") -> Column:
     """Date/time text in any of the usual layouts, or epoch seconds.
 
     The ISO form goes straight through ``try_cast``. Other layouts are rewritten to ISO text and cast the same way,
-    which neither throws per row nor passes a zone-less time through the session time zone.
+    which neither throws per row nor passes a zone-less time through the session time zone. A plain number is a year
+    (four digits) or one of the numeric layouts if it is a date in it, and else seconds since the epoch, with any sign
+    and number of digits up to the end of the year 9999.
     """
     t = F.trim(text)
     iso = F.coalesce(*[F.when(t.rlike(shape), rewrite(t)) for shape, rewrite in _LAYOUTS])
     seconds = F.timestamp_seconds(t.try_cast("decimal(20,6)"))
-    epoch = F.when(t.rlike(r"^\d{9,11}(\.\d+)?$"), seconds.cast(target))
-    return F.coalesce(t.try_cast(target), iso.try_cast(target), epoch)
+    number = t.rlike(r"^[+-]?\d+(\.\d+)?$")
+    epoch = F.when(number & t.try_cast("double").between(-LAST_SECOND, LAST_SECOND), seconds.cast(target))
+    direct = F.when(~number | t.rlike(r"^\d{4}$"), t.try_cast(target))
+    return F.coalesce(direct, iso.try_cast(target), epoch)
 
 
 def _numeric(shape: str, iso: str):
@@ -99,7 +115,7 @@ def _numeric(shape: str, iso: str):
 def _named_month(shape: str, day: int, month: int, year: int, rest: int):
     def rewrite(t: Column) -> Column:
         part = lambda group: F.regexp_extract(t, shape, group)
-        number = ((F.position(_short(part(month)), F.lit(_MONTHS)) + 2) / 3).cast("int")
+        number = F.array_position(F.array(*map(F.lit, _MONTHS)), _short(part(month)))
         return F.concat(part(year), F.lit("-"), number.cast("string"), F.lit("-"), part(day), part(rest))
 
     return shape, rewrite

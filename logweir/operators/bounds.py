@@ -1,22 +1,12 @@
-"""Size checks in front of anything that is broadcast or brought to the driver."""
+"""Size check in front of what is brought to the driver."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
 METADATA_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it is proven to hold at most ``max_rows`` rows.
-
-    Beyond that it is left alone: Spark then plans a shuffle join, and adaptive execution splits the hot keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def collect_metadata(df: DataFrame, what: str, max_rows: int = METADATA_ROWS) -> list[Row]:
     """Collect planning metadata, refusing (never cutting) anything larger than the bound."""
     rows = df.limit(max_rows + 1).collect()

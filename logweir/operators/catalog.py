@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweir.functions import specs
-from logweir.operators.bounds import broadcast_if_small
 
 DELIMITER = "asn"
 
@@ -26,12 +25,7 @@ PROPERTY = "property"
 
 
 def join_fields(events: DataFrame, fields: DataFrame) -> DataFrame:
-    """Events left-joined to their fields, one row per field; events without fields keep one row of NULLs.
-
-    Written as matches plus leftovers. A plain left join can be split only on its left side, so a hot event on the
-    right would be one task; here the matches broadcast the event side when it is small (the field rows are then
-    not shuffled at all) and are splittable on both sides when it is not.
-    """
+    """Events left-joined to their fields, one row per field; events without fields keep one row of NULLs."""
     e = events.select(F.col("id").alias("event_id"), "event_name", "event_type")
     f = fields.select(
         F.col("id").alias("field_id"),
@@ -41,11 +35,7 @@ def join_fields(events: DataFrame, fields: DataFrame) -> DataFrame:
         "json_field_name",
     )
     columns = ["event_id", "event_name", "event_type", "field_id", "field_name", "data_type", "json_field_name"]
-    matched = f.join(broadcast_if_small(e), F.col("of_event") == F.col("event_id")).select(*columns)
-    bare = events_without_fields(events, fields)
-    return matched.unionByName(
-        bare.select(F.col("id").alias("event_id"), "event_name", "event_type"), allowMissingColumns=True
-    )
+    return e.join(f, F.col("of_event") == F.col("event_id"), "left").select(*columns)
 
 
 def events_without_fields(events: DataFrame, fields: DataFrame) -> DataFrame:
@@ -64,9 +54,9 @@ def with_specs(joined: DataFrame) -> DataFrame:
 
 
 def filter_types(events: DataFrame, event_types: str | Sequence[int]) -> DataFrame:
-    """Keep the events whose type is in the configured list, e.g. ``"0,1"``."""
+    """Keep the named events whose type is in the configured list, e.g. ``"0,1"``."""
     wanted = specs.int_list(event_types) if isinstance(event_types, str) else list(event_types)
-    return events.where(F.col("event_type").isin(wanted))
+    return events.where(F.col("event_type").isin(wanted) & F.col("event_name").isNotNull())
 
 
 def first_declarations(joined: DataFrame) -> DataFrame:
@@ -77,7 +67,7 @@ def first_declarations(joined: DataFrame) -> DataFrame:
     """
     declared = F.struct("field_id", "field_name", "data_type", "json_field_name")
     return (
-        joined.where(F.col("field_name").isNotNull())
+        joined.where(F.col("field_name").isNotNull() & F.col("event_name").isNotNull())
         .groupBy("event_name", F.lower("field_name").alias("field_key"))
         .agg(F.min(declared).alias("first"))
         .select("event_name", "field_key", "first.*")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.functions import records
-from logweir.operators.bounds import broadcast_if_small
 
 ROUTING_MODES = ("exact", "regex", "each")
 
@@ -76,7 +75,7 @@ def _match(tagged: DataFrame, events: DataFrame, how: str) -> DataFrame:
     """Join on a tag that is never NULL: Spark adds no null filter then, which would parse every record twice."""
     names = events.where(F.col("event_name") != "").select(F.col("event_name").alias("catalog_name"))
     tag_or_none = F.coalesce(F.col("event"), F.lit(""))
-    return tagged.join(broadcast_if_small(names), tag_or_none == F.coalesce(F.col("catalog_name"), F.lit("")), how)
+    return tagged.join(names, tag_or_none == F.coalesce(F.col("catalog_name"), F.lit("")), how)
 
 
 def sort_out(

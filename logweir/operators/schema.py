@@ -34,8 +34,9 @@ def infer_schemas(tagged: DataFrame) -> DataFrame:
 
 def _ddl(variant_schema: Column) -> Column:
     """Variant schema text → Spark DDL: objects are structs, and an always-null key is read as text."""
-    ddl = F.regexp_replace(variant_schema, r"\bOBJECT<", "STRUCT<")
-    return F.regexp_replace(ddl, r"\bVOID\b", "STRING")
+    at_type = r"(?<=: |ARRAY<|^)"  # keys follow a comma or an opening OBJECT<, and stay as they are
+    ddl = F.regexp_replace(variant_schema, at_type + "OBJECT<", "STRUCT<")
+    return F.regexp_replace(ddl, at_type + r"VOID(?=[,>]|$)", "STRING")
 
 
 def struct_of(schema_ddl: str) -> T.StructType:

@@ -32,9 +32,6 @@ from logweir.sinks.tables import TableSink
 from logweir.sinks.workdir import shared_folder
 from logweir.sources.catalog import EventCatalog
 
-# Beyond this many different keys the parsed records would be mostly NULL columns.
-MAX_PARSED_KEYS = 500
-
 # Row groups small enough that also a single file of a hot event is read by several tasks.
 STAGE_OPTIONS = {"partitionOverwriteMode": "static", "parquet.block.size": str(16 * 1024 * 1024)}
 
@@ -86,7 +83,7 @@ def parsed_schema(catalog: EventCatalog, config: IngestConfig) -> T.StructType |
     outer = {f.key for f in fields if f.scope == OUTER} | {EVENT_KEY}
     properties = {f.key for f in fields if f.scope == PROPERTY}
     collide = any(len({key.lower() for key in keys}) < len(keys) for keys in (outer, properties))
-    if collide or len(outer) + len(properties) > MAX_PARSED_KEYS or config.missing_outer == "drop":
+    if collide or config.missing_outer == "drop":
         return None
     return record_schema(fields)
 

@@ -66,12 +66,6 @@ def envelopes(events: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores also when the input has fewer splits than there are cores; larger inputs are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 _landing: dict[tuple[str, str], tuple[str, T.StructType]] = {}
 
 
@@ -79,7 +73,8 @@ def landing_area(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
     """Folder and schema of the records as they land: written once per application into the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landing:
-        incoming = spread(envelopes(table(spark, sf_dir, "events")))
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        incoming = envelopes(table(spark, sf_dir, "events")).repartition(files)
         folder = new_folder(spark, "records")
         incoming.write.parquet(folder)
         _landing[key] = (folder, incoming.schema)

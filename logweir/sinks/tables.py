@@ -59,8 +59,8 @@ class ParquetSink:
         df.write.mode("overwrite").parquet(self.batch_path(table, source_id, batch_id))
 
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """All batches of a table. With its declared schema given, no file is opened to find the columns."""
-        reader = spark.read if schema is None else spark.read.schema(schema)
+        """All batches of a table, with the columns of every batch. A declared schema saves looking into the files."""
+        reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
         return reader.parquet(self.path(table)).drop(*BATCH_COLUMNS)
 
 
@@ -77,8 +77,13 @@ class MetastoreSink:
             self._create(df, name)
         if not _SOURCE_ID.match(source_id):
             raise ValueError(f"not a valid source id: {source_id!r}")
+        known = [c for c in spark.table(name).columns if c not in BATCH_COLUMNS]
+        if new := set(df.columns) - set(known):
+            raise ValueError(f"table {name} has no columns {sorted(new)}")
+        kinds = {f.name: f.dataType for f in spark.table(name).schema}
+        named = df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in known))
         partition = f"source_id = '{source_id}', batch_id = {int(batch_id)}"
-        spark.sql(f"INSERT OVERWRITE {name} PARTITION ({partition}) SELECT * FROM {{batch}}", batch=df)
+        spark.sql(f"INSERT OVERWRITE {name} PARTITION ({partition}) SELECT * FROM {{batch}}", batch=named)
 
     def _create(self, df: DataFrame, name: str) -> None:
         marks = {"source_id": F.lit("").cast("string"), "batch_id": F.lit(0).cast("bigint")}

@@ -78,4 +78,7 @@ def _start(
 
 def source_id(df: DataFrame) -> str:
     """The id a streaming query keeps across restarts from the same checkpoint."""
-    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    found = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("no streaming query id: batches of two checkpoints would overwrite each other")
+    return found

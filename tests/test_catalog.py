@@ -36,10 +36,20 @@ def test_left_join_keeps_bare_events(events, fields):
     assert {r.event_name for r in rows if r.field_id is None} == {"ghost", "other"}
 
 
-def test_join_is_the_same_without_broadcast(events, fields, monkeypatch):
+def test_join_is_the_same_without_broadcast(spark, events, fields):
     broadcast = sorted(map(str, catalog.join_fields(events, fields).collect()))
-    monkeypatch.setattr(catalog, "broadcast_if_small", lambda df: df)
-    assert sorted(map(str, catalog.join_fields(events, fields).collect())) == broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, catalog.join_fields(events, fields).collect())) == broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_events_without_a_name_are_left_out(spark, events, fields):
+    nameless = events.unionByName(spark.createDataFrame([(77, None, 1)], events.schema))
+    more = fields.unionByName(fields.limit(1).withColumn("event_id", F.lit(77).cast(fields.schema["event_id"].dataType)))
+    assert load_catalog(nameless, more, "0,1").fields == load_catalog(events, fields, "0,1").fields
+    assert None not in {r.event_name for r in catalog.field_lists(catalog.join_fields(nameless, more)).collect()}
 
 
 def test_same_name_under_two_ids_merges_and_keeps_the_first(events, fields):
@@ -86,18 +96,6 @@ def test_metadata_is_refused_not_cut(spark):
         bounds.collect_metadata(spark.range(6), "rows", max_rows=5)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    plan = lambda df: df._jdf.queryExecution().toString()
-    big = spark.range(100).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = big.join(bounds.broadcast_if_small(spark.range(5), 5), F.col("k") == F.col("id"))
-        large = big.join(bounds.broadcast_if_small(spark.range(6), 5), F.col("k") == F.col("id"))
-        assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_catalog_tables_from_files(spark, events, folder):
     events.write.parquet(f"{folder}/event_list")
     assert read_table(spark, "event_list", "parquet", {"root": folder}).count() == len(EVENTS)
