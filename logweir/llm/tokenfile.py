@@ -14,10 +14,12 @@ in any order; further columns are ignored; an empty table gives no blocks.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -94,7 +96,11 @@ BLOCK_DDL = (
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> tuple[object, int, dict[bytes, bytes]]:
-    """Tokenizer, bytes of an id, and what each run of characters was encoded to."""
+    """Tokenizer, bytes of an id, and what each run of characters was encoded to.
+
+    A task has one core, so the library's own threads would only wait for each other.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -114,7 +120,10 @@ def encode_texts(texts: list[str | None], path: str, memory: int = 500_000) -> t
     for at in range(0, len(new), 4096):
         part = new[at : at + 4096]
         codes = tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-        known.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(part, codes))
+        ids = [e.ids for e in codes]
+        flat = np.fromiter(chain.from_iterable(ids), kind).tobytes()
+        stops = np.cumsum([len(x) * width for x in ids]).tolist()
+        known.update((w, flat[a:b]) for w, a, b in zip(part, [0, *stops], stops))
     return [b"".join([known[w] for w in r]) for r in runs], width
 
 
