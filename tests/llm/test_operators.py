@@ -17,7 +17,7 @@ import corpus_pipeline
 from logweir.llm import capfilter, simhash, toxicity
 from logweir.llm.bpe import Merges
 from logweir.llm.queries import QUERIES
-from logweir.llm.tokenfile import EliasFano
+from logweir.llm.tokenfile import EliasFano, encode_texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row int, spans string, score double, word string, n int, `key` int"
@@ -275,6 +275,16 @@ def test_token_files(spark, folder):
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == sums
 
 
+def test_token_runs_are_those_of_the_library():
+    tokenizer, pick = Tokenizer.from_file(PATH), random.Random(9)
+    letters = "aaAbBeEilnorstthxyz019'!?.,;:-$ßéñöİΣ日\u0301\u0307ﬁ² "
+    texts = ["".join(pick.choices(letters, k=pick.randint(1, 40))) for _ in range(3000)]
+    texts += ["<|ENDOFTEXT|>a. B.", "<|endoftext|>A. b.", "x<|StartOfText|>y,", "İ. I. A.. a.. A'S. 1.", "<|endoftext|>."]
+    codes, width = encode_texts(texts, PATH)
+    got = [np.frombuffer(x, f"<u{width}").tolist() for x in codes]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("values", [[], [0], [5], [1, 1, 1], [0, 3, 3, 900], list(range(0, 9000, 7)), [2**40, 2**40 + 1]])
 def test_elias_fano(values):
     packed = EliasFano.encode(np.array(values, np.int64))
