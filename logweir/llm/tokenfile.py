@@ -8,25 +8,29 @@ gives an end back without a table of 64-bit offsets.
 
 Blocks follow the order of the keys: the input is range-partitioned and sorted by key, nulls first. Texts are encoded by
 the tokenizers library; runs of ASCII white space are never part of a token, so each different run of other characters
-is encoded once a worker. Defined results: a null or empty text has the end id only; repeated keys keep all their rows,
+is encoded once a worker, and of plain runs each different piece. Defined results: a null or empty text has the end id only; repeated keys keep all their rows,
 in any order; further columns are ignored; an empty table gives no blocks.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweir.llm.bpe import byte_symbols
 from logweir.llm.words import blocks
 
 
@@ -94,37 +98,88 @@ BLOCK_DDL = (
 )
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> tuple[object, int, dict[bytes, bytes]]:
-    """Tokenizer, bytes of an id, and what each run of characters was encoded to.
+#: Runs whose lower case, composition and character classes are the same to every engine.
+PLAIN = re.compile(r"[!-~À-ÿ]+")
+
+
+class Encoder:
+    """Ids of runs of characters other than white space, as little-endian numbers of ``width`` bytes.
 
-    A task has one core, so the library's own threads would only wait for each other.
+    Plain runs are lower-cased and cut into pieces by the file's own pattern, and each different piece goes to the
+    library's merging alone; all other runs, and all runs of a file of another layout, go to the whole library. A task
+    has one core, so the library's own threads would only wait for each other.
     """
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    return tokenizer, 2 if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4, {}
+    def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        with open(path, encoding="utf-8") as file:
+            data = json.load(file)
+        self.added = re.compile("|".join(re.escape(x["content"]) for x in data["added_tokens"]) or r"(?!)")
+        self.cut = self._pattern(data)
+        self.symbols = byte_symbols()
+        self.runs: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    @staticmethod
+    def _pattern(data: dict) -> regex.Pattern | None:
+        """The pattern of a lower-casing file that splits by it and maps bytes to symbols; None for other files."""
+        steps = [x["type"] for x in (data.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (data.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        plain_added = all(not (x["normalized"] or x["lstrip"] or x["rstrip"]) for x in data["added_tokens"])
+        if steps != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in cuts] != ["Split", "ByteLevel"] or not plain_added:
+            return None
+        split, symbols = cuts
+        if split["behavior"] != "Removed" or not split["invert"] or symbols["add_prefix_space"] or symbols["use_regex"]:
+            return None
+        return regex.compile(split["pattern"]["Regex"])
+
+    def _bytes(self, ids: list[list[int]]) -> list[bytes]:
+        flat = np.fromiter(chain.from_iterable(ids), f"<u{self.width}").tobytes()
+        stops = np.cumsum([len(x) * self.width for x in ids], dtype=np.int64).tolist()
+        return [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        find, merge, known = self.cut.findall, self.tokenizer.model.tokenize, self.pieces
+        parts = [[low] if (low := t.lower()).isalpha() else find(low) for t in texts]
+        new = list({p for part in parts for p in part if p not in known})
+        spelt = [p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(self.symbols) for p in new]
+        known.update(zip(new, self._bytes([[t.id for t in merge(s)] for s in spelt])))
+        return [b"".join([known[p] for p in part]) for part in parts]
+
+    def learn(self, runs: list[bytes], memory: int) -> None:
+        """Encodes runs that are not known; ``memory`` bounds the pieces kept."""
+        for at in range(0, len(runs), 4096):
+            if len(self.pieces) > memory:
+                self.pieces.clear()
+            part = runs[at : at + 4096]
+            texts = [w.decode("utf-8") for w in part]
+            plain = [bool(self.cut and PLAIN.fullmatch(t) and not self.added.search(t)) for t in texts]
+            self.runs.update(zip(compress(part, plain), self._plain(list(compress(texts, plain)))))
+            other = [not x for x in plain]
+            codes = self.tokenizer.encode_batch_fast(list(compress(texts, other)), add_special_tokens=False)
+            self.runs.update(zip(compress(part, other), self._bytes([e.ids for e in codes])))
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def encode_texts(texts: list[str | None], path: str, memory: int = 500_000) -> tuple[list[bytes], int]:
     """Ids of each text as bytes, and the bytes of an id. ``memory`` bounds the remembered runs of a worker."""
-    tokenizer, width, known = _encoder(path)
+    encoder = _encoder(path)
+    known = encoder.runs
     runs = [(x or "").encode("utf-8", "surrogatepass").split() for x in texts]
     if len(known) > memory:
         known.clear()
-    new = list({w for r in runs for w in r if w not in known})
-    kind = f"<u{width}"
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        codes = tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-        ids = [e.ids for e in codes]
-        flat = np.fromiter(chain.from_iterable(ids), kind).tobytes()
-        stops = np.cumsum([len(x) * width for x in ids]).tolist()
-        known.update((w, flat[a:b]) for w, a, b in zip(part, [0, *stops], stops))
-    return [b"".join([known[w] for w in r]) for r in runs], width
+    encoder.learn(list({w for r in runs for w in r if w not in known}), memory)
+    return [b"".join([known[w] for w in r]) for r in runs], encoder.width
 
 
 def _block(part: int, number: int, begin: int, keys: list, ids: list[bytes], width: int) -> pa.RecordBatch:
