@@ -277,7 +277,7 @@ def test_token_files(spark, folder):
 
 def test_token_runs_are_those_of_the_library():
     tokenizer, pick = Tokenizer.from_file(PATH), random.Random(9)
-    letters = "aaAbBeEilnorstthxyz019'!?.,;:-$ßéñöİΣ日\u0301\u0307ﬁ² "
+    letters = "aaAbBeEilnorstthxyz019'!?.,;:-$ßéñöİΣ日\u0301\u0307ﬁ² ÀÞÿ×÷ªµº¼|<\x1c\x85\xa0"
     texts = ["".join(pick.choices(letters, k=pick.randint(1, 40))) for _ in range(3000)]
     texts += ["<|ENDOFTEXT|>a. B.", "<|endoftext|>A. b.", "x<|StartOfText|>y,", "İ. I. A.. a.. A'S. 1.", "<|endoftext|>."]
     codes, width = encode_texts(texts, PATH)
