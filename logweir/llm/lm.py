@@ -1,283 +1,378 @@
-"""Language-model scoring with a weighted backoff automaton.
+"""Language-model scoring with a weighted backoff automaton, whose n-grams are all those seen twice or more.
 
-Counting: one job counts every word of the training texts. Words of at least ``word_share`` of all tokens are frequent,
-so there are at most ``1 / word_share`` of them; n-grams of frequent words with at least ``gram_share`` of all tokens are
-kept, at most ``1 / gram_share`` of each length. Both bounds make the automaton fit a broadcast at every corpus size.
+Model: a word has (c + 0.5) / (N + 0.5 (V + 1)). A pair or triple is kept from ``LEAST`` occurrences on, at every corpus
+size, and has (c - discount) / c(context); what the kept ones of a context leave is given to all other words in
+proportion to the shorter context. The count of every word is exact, however rare it is.
 
-Model: a word has (c + 0.5) / (N + 0.5 (V + 1)). A kept n-gram has (c - discount) / c(context); what the kept ones of a
-context leave is given to all other words in proportion to the shorter context.
+Exchange: texts are cut into blocks of bounded size. A block sends the sorted hashes of its different n-grams, with its
+own counts, to buckets of the hash range, one packed row for each bucket. A bucket adds the counts up and answers with
+the totals in the order of the block's own hashes, so no hash travels back. Words and pairs go first; only triples of
+two kept pairs can be kept, so no others are sent. The first block of a kept n-gram adds its probability to the sums of
+its context; a last exchange of contexts turns these sums into backoff weights. Both blocks and buckets are bounded,
+their number grows with the texts, nothing is broadcast, and a hot n-gram gives one value for each block.
 
 Automaton: states are kept contexts, arcs consume a word, failure arcs go to the next shorter context and carry its
-backoff weight. One pass over a text, left to right, carries the state and adds log10 weights. A rare word takes all
-failure arcs down to the empty context; its own log-probability comes from a join of the text's rare words with the full
-count table, so the score uses the exact count of every word of the corpus.
+backoff weight. The last two words tell the state before each word, so the path of all words of a block is taken at
+once: the failure arcs down to the longest context with an arc for the word, and that arc.
 
 Defined results: a null text is empty and has the end token only; without training texts every token has probability
 one; a null ``doc_id`` counts as empty text when texts are divided; repeated rows are all counted and scored; further
-columns are ignored.
+columns are ignored. Words and n-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.staging import stage
-from logweir.llm.words import Words, blocks, hash_words, split_words
+from logweir.llm.staging import release, stage
+from logweir.llm.words import blocks, hash_words, split_words
 
+#: Occurrences from which on a pair or triple is kept; bytes of text of a block and, at most, of a bucket; least buckets.
+LEAST = 2
+BLOCK, BUCKET, BUCKETS = 8 << 20, 24 << 20, 128
+#: What stands for the begin and the end of a text among the hashes of words, and what joins hashes.
+BEGIN, END = np.uint64(0xB5026F5AA96619E9), np.uint64(0x5851F42D4C957F2D)
+JOIN, JOIN_PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, size=16 << 20):
-        values, counts = np.unique(hash_words(split_words(batch.column("text"), lower=True)), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["word", "n"])
+SENT = "block bigint, kind int, bucket int, size int, keys binary, data binary"
+ANSWER = "block bigint, kind int, bucket int, data binary, own binary, tokens bigint, types bigint"
 
 
 @dataclass
-class Vocabulary:
-    """Frequent words: sorted hashes. Numbers after them are the end and the begin of a text; -1 is a rare word."""
-
-    words: np.ndarray
-    counts: np.ndarray
-
-    @property
-    def end(self) -> int:
-        return len(self.words)
-
-    @property
-    def begin(self) -> int:
-        return len(self.words) + 1
-
-    @property
-    def size(self) -> int:
-        return len(self.words) + 2
-
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        if len(self.words) == 0:
-            return np.full(len(hashes), -1, np.int64)
-        place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[place] == hashes, place, -1)
-
-    def sequences(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin, words and end of all texts in a row, and where each text starts in it."""
-        texts = len(words.bounds) - 1
-        starts = words.bounds[:-1] + 2 * np.arange(texts)
-        out = np.empty(len(hashes) + 2 * texts, np.int64)
-        out[starts] = self.begin
-        out[words.bounds[1:] + 2 * np.arange(texts) + 1] = self.end
-        out[np.arange(len(hashes)) + 2 * words.documents() + 1] = self.number(hashes)
-        return out, starts
-
-
-def _count_grams(
-    batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, shorter: Broadcast | None
-) -> Iterator[pa.RecordBatch]:
-    """Counts of word pairs, or of triples whose two pairs are both in ``shorter``; coded as one number."""
-    known: Vocabulary = vocabulary.value
-    for batch in blocks(batches, size=16 << 20):
-        words = split_words(batch.column("text"), lower=True)
-        line, _ = known.sequences(words, hash_words(words))
-        a, b = line[:-1], line[1:]
-        valid = (a >= 0) & (b >= 0) & (a != known.end)
-        codes = a * known.size + b
-        if shorter is not None and len(shorter.value):
-            place = np.minimum(np.searchsorted(shorter.value, codes), len(shorter.value) - 1)
-            kept = valid & (shorter.value[place] == codes)
-            valid = kept[:-1] & kept[1:]
-            codes = place[:-1] * known.size + line[2:]
-        values, counts = np.unique(codes[valid], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], names=["gram", "n"])
-
-
-def _shares(sums: np.ndarray) -> np.ndarray:
-    return np.maximum(1 - sums, 1e-12)
+class Grams:
+    """Different n-grams of one length, sorted; ``place`` has the n-gram of each position ``at``."""
 
+    keys: np.ndarray
+    first: np.ndarray
+    place: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, at: np.ndarray) -> Grams:
+        values, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        return cls(values, at[first], place, at)
+
+    def everywhere(self, size: int) -> np.ndarray:
+        """The n-gram that ends at each place of the line, -1 where none does."""
+        out = np.full(size, -1, np.int64)
+        out[self.at] = self.place
+        return out
+
+
+class Line:
+    """Begin, words and end of all texts of a block in a row, and the n-grams that end at each of them."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        words = split_words(texts, lower=True)
+        self.texts = len(words.bounds) - 1
+        self.starts = words.bounds[:-1] + 2 * np.arange(self.texts)
+        self.counts = words.counts()
+        self.line = np.empty(len(words.start) + 2 * self.texts, np.uint64)
+        self.line[self.starts] = BEGIN
+        self.line[words.bounds[1:] + 2 * np.arange(self.texts) + 1] = END
+        self.line[np.arange(len(words.start)) + 2 * words.documents() + 1] = hash_words(words)
+        self.text = np.repeat(np.arange(self.texts), self.counts + 2)
+        self.inner = np.ones(len(self.line), bool)
+        self.inner[self.starts] = False
+
+    @cached_property
+    def words(self) -> Grams:
+        return Grams.of(self.line, np.arange(len(self.line)))
+
+    @cached_property
+    def pairs(self) -> Grams:
+        at = np.flatnonzero(self.inner)
+        return Grams.of(self.line[at - 1] * JOIN + self.line[at], at)
+
+    def triples(self, kept: np.ndarray) -> Grams:
+        """Triples whose two pairs are ``kept``, which tells it of the pair that ends at each place."""
+        at = np.flatnonzero(self.inner & kept)
+        at = at[self.inner[at - 1] & kept[at - 1]]
+        line = self.line
+        return Grams.of((line[at - 2] * JOIN + line[at - 1]) * JOIN_PAIR + line[at], at)
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's part of sorted hashes begins, and where the last one ends."""
+    edges = np.arange(1, buckets, dtype=np.uint64) * np.uint64(2**64 // buckets)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+
+
+def _pack_keys(keys: np.ndarray, bucket: int, buckets: int) -> tuple[int, bytes]:
+    """Number of sorted hashes of a bucket, and the gaps between them in as few bytes each as the largest needs."""
+    gaps = np.diff(keys, prepend=np.uint64(bucket * (2**64 // buckets)))
+    width = max(1, -(-int(gaps.max()).bit_length() // 8))
+    return len(keys), np.ascontiguousarray(gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
-@dataclass
-class Automaton:
-    """``arcs[state * width + word] = (next, log10 weight)``; ``fail`` and ``weight`` are the failure arcs."""
-
-    width: int
-    vocabulary: Vocabulary
-    arcs: dict[int, tuple[int, float]]
-    fail: list[int]
-    weight: list[float]
-    word_score: np.ndarray
-    drop: list[float] = field(default_factory=list)
-
-    def __post_init__(self) -> None:
-        for state, below in enumerate(self.fail):  # shorter contexts come first
-            self.drop.append(0.0 if state == 0 else self.weight[state] + self.drop[below])
-
-    def walk(self, line: list[int]) -> float:
-        """log10 weight of the words after the begin; rare words (-1) give their backoff weights only."""
-        arcs, width, fail, weight, drop = self.arcs, self.width, self.fail, self.weight, self.drop
-        state, total = self.vocabulary.begin + 1, 0.0
-        for word in line:
-            if word < 0:
-                total += drop[state]
-                state = 0
-                continue
-            while (arc := arcs.get(state * width + word)) is None:
-                total += weight[state]
-                state = fail[state]
-            state = arc[0]
-            total += arc[1]
-        return total
+
+def _unpack_keys(size: int, data: bytes, bucket: int, buckets: int) -> np.ndarray:
+    wide = np.zeros((size, 8), np.uint8)
+    wide[:, : len(data) // size] = np.frombuffer(data, np.uint8).reshape(size, -1)
+    return np.cumsum(wide.view("<u8")[:, 0], dtype=np.uint64) + np.uint64(bucket * (2**64 // buckets))
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs."""
+    most = int(counts.max(initial=0))
+    return counts.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if most < 256 ** np.dtype(t).itemsize)).tobytes()
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64) if size else np.zeros(0, np.int64)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [(name, kinds[kind]) for name, kind in (f.split() for f in schema.split(", "))]
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.table({name: pa.array(list(c), kind) for (name, kind), c in zip(fields, columns)}, pa.schema(fields))
+
+
+def _sent(block: int, kind: int, keys: np.ndarray, buckets: int, pack) -> list[tuple]:
+    """One row for each bucket that has some of the sorted hashes; ``pack`` gives its data from the part of them."""
+    cuts = _cuts(keys, buckets).tolist()
+    return [
+        (block, kind, bucket, *_pack_keys(keys[a:b], bucket, buckets), pack(a, b))
+        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:]))
+        if a < b
+    ]
+
+
+def _send_grams(texts: pa.Table, buckets: int, kinds: list[tuple[int, Grams]], line: Line) -> pa.Table:
+    block, trained, rows = texts.column("block")[0].as_py(), texts.column("trained").to_numpy()[line.text], []
+    for kind, grams in kinds:
+        counts = np.bincount(grams.place[trained[grams.at]], minlength=len(grams.keys))
+        rows += _sent(block, kind, grams.keys, buckets, lambda a, b: _packed(counts[a:b]))
+    return _table(rows, SENT)
 
 
 @dataclass
-class Model:
-    """Counts that fit a broadcast; :meth:`automaton` builds the automaton from them in each worker."""
-
-    vocabulary: Vocabulary
-    tokens: int
-    types: int
-    texts: int
-    pairs: np.ndarray
-    pair_counts: np.ndarray
-    triples: np.ndarray
-    triple_counts: np.ndarray
-    discount: float
-    _built: Automaton | None = None
-
-    @property
-    def mass(self) -> float:
-        return self.tokens + 0.5 * (self.types + 1)
-
-    def automaton(self) -> Automaton:
-        if self._built is None:
-            self._built = self._build()
-        return self._built
-
-    def _build(self) -> Automaton:
-        size, words = self.vocabulary.size, self.vocabulary
-        counts = np.concatenate([words.counts, [self.texts, 0]]).astype(float)
-        single = (counts + 0.5) / self.mass
-        context = np.concatenate([words.counts, [0, self.texts]]).astype(float)
-        a, b = self.pairs // size, self.pairs % size
-        pair = (self.pair_counts - self.discount) / context[a] if len(a) else np.zeros(0)
-        left = _shares(np.bincount(a, pair, size)) / _shares(np.bincount(a, single[b], size))
-        place, c = self.triples // size, self.triples % size
-        count = len(self.pairs)
-        triple = (self.triple_counts - self.discount) / self.pair_counts[place] if count else np.zeros(0)
-        inner = np.searchsorted(self.pairs, b[place] * size + c)
-        left2 = _shares(np.bincount(place, triple, count)) / _shares(np.bincount(place, pair[inner], count)) if count else np.zeros(0)
-        arcs: dict[int, tuple[int, float]] = {}
-        log = np.log10
-        for w, p in enumerate(log(single[:-1]).tolist()):
-            arcs[w] = (w + 1, p)
-        first = size + 1  # states: empty, one for each word, one for each pair
-        for n, (code, p) in enumerate(zip(self.pairs.tolist(), log(pair).tolist())):
-            arcs[(code // size + 1) * size + code % size] = (first + n, p)
-        for n, w, to, p in zip(place.tolist(), c.tolist(), inner.tolist(), log(triple).tolist()):
-            arcs[(first + n) * size + w] = (first + to, p)
-        fail = [0] * (size + 1) + (b + 1).tolist()
-        weight = [0.0, *log(left).tolist(), *log(left2).tolist()]
-        return Automaton(size, words, arcs, fail, weight, log(single[: words.end + 1]))
-
-
-def train(docs: DataFrame, text: str = "text", word_share: float = 5e-7, gram_share: float = 2e-6, discount: float = 0.75):
-    """Model of ``docs``, and the staged count table (word hash, n) of all its words."""
+class Bucket:
+    """The hashes of all blocks in one bucket: ``order`` sorts them, blocks in their order, ``begin`` starts equal ones."""
+
+    rows: list[dict]
+    sizes: list[int]
+    order: np.ndarray
+    begin: np.ndarray
+    group: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def of(cls, sent: pa.Table, buckets: int) -> Bucket:
+        rows = sent.sort_by("block").to_pylist()
+        keys = np.concatenate([_unpack_keys(r["size"], r.pop("keys"), r["bucket"], buckets) for r in rows])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        begin = np.flatnonzero(new)
+        return cls(rows, [r["size"] for r in rows], order, begin, np.cumsum(new) - 1, keys[begin])
+
+    def back(self, values: np.ndarray) -> list[np.ndarray]:
+        """One value for each different hash, dealt to the blocks in the order in which they sent the hashes."""
+        out = np.empty(len(self.order), values.dtype)
+        out[self.order] = values[self.group]
+        return np.split(out, np.cumsum(self.sizes)[:-1])
+
+
+def _answer_counts(sent: pa.Table, buckets: int) -> pa.Table:
+    """Totals of all n-grams, zero for those not kept, and which of them a block is the first to have."""
+    bucket = Bucket.of(sent, buckets)
+    counts = np.concatenate([_unpacked(r["data"], n) for r, n in zip(bucket.rows, bucket.sizes)])
+    sums = np.add.reduceat(counts[bucket.order], bucket.begin)
+    tokens = types = 0
+    if bucket.rows[0]["kind"] == 1:
+        word = bucket.keys != BEGIN
+        tokens, types = int(sums[word].sum()), int((sums[word] > 0).sum())
+    else:
+        sums[sums < LEAST] = 0
+    own = np.zeros(len(counts), bool)
+    own[bucket.order[bucket.begin]] = True
+    rows = []
+    for n, (row, total, first) in enumerate(zip(bucket.rows, bucket.back(sums), np.split(own, np.cumsum(bucket.sizes)[:-1]))):
+        found = (tokens, types) if n == 0 else (0, 0)
+        rows.append((row["block"], row["kind"], row["bucket"], _packed(total), np.packbits(first).tobytes(), *found))
+    return _table(rows, ANSWER)
+
+
+class Known:
+    """A block with the totals of its words and pairs, and then of the triples whose pairs are kept."""
+
+    def __init__(self, texts: pa.Table, answers: pa.Table, buckets: int) -> None:
+        self.line = Line(texts.column("text").combine_chunks())
+        self.rows = {(r["kind"], r["bucket"]): r for r in answers.to_pylist()}
+        self.buckets = buckets
+        words, pairs = self.line.words, self.line.pairs
+        size = len(self.line.line)
+        self.word, self.pair = words.everywhere(size), pairs.everywhere(size)
+        self.words, _ = self._totals(1, words.keys)
+        self.pairs, self.own_pairs = self._totals(2, pairs.keys)
+        self.grams = self.line.triples((self.pair >= 0) & (self.pairs[self.pair] > 0))
+
+    def weigh(self, mass: float, discount: float) -> Known:
+        """Probabilities of all words and of kept pairs and triples."""
+        pairs, triples = self.line.pairs, self.grams
+        self.triples, self.own_triples = self._totals(3, triples.keys)
+        self.single = (self.words + 0.5) / mass
+        before = self.word[pairs.first - 1]
+        self.pair_p = np.where(self.pairs > 0, self.pairs - discount, 0) / np.maximum(self.words[before], 1)
+        before = self.pair[triples.first - 1]
+        self.triple_p = np.where(self.triples > 0, self.triples - discount, 0) / np.maximum(self.pairs[before], 1)
+        return self
+
+    def _totals(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total, own = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        cuts = _cuts(keys, self.buckets).tolist()
+        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                row = self.rows[kind, bucket]
+                total[a:b] = _unpacked(row["data"], b - a)
+                own[a:b] = np.unpackbits(np.frombuffer(row["own"], np.uint8), count=b - a)
+        return total, own
+
+    def contexts(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(kind, hashes of contexts, sums of this block's own n-grams after them and of their shorter ones)."""
+        words, pairs, triples = self.line.words, self.line.pairs, self.grams
+        own = np.flatnonzero(self.own_pairs & (self.pairs > 0))
+        at = pairs.first[own]
+        a, b = self.word[at - 1], self.word[at]
+        after_word = np.stack([np.bincount(a, p, len(words.keys)) for p in (self.pair_p[own], self.single[b])], axis=1)
+        own = np.flatnonzero(self.own_triples & (self.triples > 0))
+        at = triples.first[own]
+        a, b = self.pair[at - 1], self.pair[at]
+        after_pair = np.stack([np.bincount(a, p, len(pairs.keys)) for p in (self.triple_p[own], self.pair_p[b])], axis=1)
+        kept = self.pairs > 0
+        return [(11, words.keys, after_word), (12, pairs.keys[kept], after_pair[kept])]
+
+    def backoff(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys))
+        cuts = _cuts(keys, self.buckets).tolist()
+        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                out[a:b] = np.frombuffer(self.rows[kind, bucket]["data"], np.float64)
+        return out
+
+    def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """n_known, base score and score of each text."""
+        words, pairs, triples = self.line.words, self.line.pairs, self.grams
+        after_word = self.backoff(11, words.keys)
+        after_pair = np.zeros(len(pairs.keys))
+        after_pair[self.pairs > 0] = self.backoff(12, pairs.keys[self.pairs > 0])
+        single = np.log10(self.single)[self.word]
+        with np.errstate(divide="ignore"):
+            pair_log, triple_log = np.log10(self.pair_p), np.log10(self.triple_p)
+        value = np.zeros(len(self.line.line))
+        at = pairs.at
+        value[at] = np.where(self.pairs[pairs.place] > 0, pair_log[pairs.place], after_word[self.word[at - 1]] + single[at])
+        at = pairs.at[self.line.inner[pairs.at - 1]]
+        value[at] += after_pair[self.pair[at - 1]]
+        kept = self.triples[triples.place] > 0
+        value[triples.at[kept]] = triple_log[triples.place[kept]]
+        single[self.line.starts] = 0
+        known = (self.words > 0)[self.word] & self.line.inner
+
+        def sums(x: np.ndarray) -> np.ndarray:
+            return np.bincount(self.line.text, x, self.line.texts)
+
+        return sums(known).astype(np.int64), sums(single), sums(value)
+
+
+def _send_contexts(known: Known, block: int) -> pa.Table:
+    rows = []
+    for kind, keys, sums in known.contexts():
+        rows += _sent(block, kind, keys, known.buckets, lambda a, b: sums[a:b].tobytes())
+    return _table(rows, SENT)
+
+
+def _answer_contexts(sent: pa.Table, buckets: int) -> pa.Table:
+    """log10 backoff weight of each context; zero where no kept n-gram goes on."""
+    bucket = Bucket.of(sent, buckets)
+    sums = np.concatenate([np.frombuffer(r["data"], np.float64).reshape(-1, 2) for r in bucket.rows])
+    left = np.maximum(1 - np.add.reduceat(sums[bucket.order], bucket.begin, axis=0), 1e-12)
+    weight = np.log10(left[:, 0]) - np.log10(left[:, 1])
+    rows = [
+        (row["block"], row["kind"], row["bucket"], own.tobytes(), None, 0, 0)
+        for row, own in zip(bucket.rows, bucket.back(weight))
+    ]
+    return _table(rows, ANSWER)
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task, n = TaskContext.get().partitionId(), 0
+    for batch in blocks(batches, size=BLOCK):
+        yield batch.append_column("block", pa.array(np.full(batch.num_rows, task << 32 | n)))
+        n += 1
+
+
+def score(
+    docs: DataFrame, trained: Column, passed: list[str], text: str = "text", discount: float = 0.75
+) -> tuple[DataFrame, int]:
+    """``passed`` columns, n_tokens, n_known, base_score and score of every row by the model of the ``trained`` rows.
+
+    The second value is the number of training tokens.
+    """
     spark = docs.sparkSession
-    source = docs.select(F.col(text).alias("text"))
-    counts = source.mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    table = stage(counts)
-    totals = table.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    texts = source.count()
-    tokens, types = totals[1] + texts, totals[0] + (texts > 0)
-
-    def kept(frame: DataFrame, name: str, share: float) -> tuple[np.ndarray, np.ndarray]:
-        """At most 1 / share rows."""
-        found = frame.where(F.col("n") >= max(2, math.ceil(share * tokens))).select(name, "n").toArrow()
-        values, n = (found.column(c).to_numpy().astype(np.int64) for c in (name, "n"))
-        values = values.view(np.uint64) if name == "word" else values
-        order = np.argsort(values)
-        return values[order], n[order]
-
-    vocabulary = Vocabulary(*kept(table, "word", word_share))
-    shared = spark.sparkContext.broadcast(vocabulary)
-
-    def grams(shorter: Broadcast | None) -> tuple[np.ndarray, np.ndarray]:
-        found = source.mapInArrow(lambda x: _count_grams(x, shared, shorter), "gram bigint, n bigint")
-        return kept(found.groupBy("gram").agg(F.sum("n").alias("n")), "gram", gram_share)
-
-    pairs, pair_counts = grams(None)
-    none = np.zeros(0, np.int64)
-    triples, triple_counts = grams(spark.sparkContext.broadcast(pairs)) if len(pairs) else (none, none)
-    return Model(vocabulary, tokens, types, texts, pairs, pair_counts, triples, triple_counts, discount), table
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Broadcast, passed: list[str]) -> Iterator[pa.RecordBatch]:
-    automaton = model.value.automaton()
-    known = automaton.vocabulary
-    for batch in blocks(batches):
-        words = split_words(batch.column("text"), lower=True)
-        hashes = hash_words(words)
-        line, starts = known.sequences(words, hashes)
-        counts = words.counts()
-        ends = starts + counts + 2
-        walks = [automaton.walk(line[a + 1 : b].tolist()) for a, b in zip(starts.tolist(), ends.tolist())]
-        common = np.where(line >= 0, automaton.word_score[np.clip(line, 0, known.end)], 0)
-        common[line == known.begin] = 0
-        base = np.add.reduceat(common, starts) if len(starts) else np.zeros(0)
-        rare = line < 0
-        n_rare = np.add.reduceat(rare, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
-        number = known.number(hashes) < 0
-        docs, values = words.documents()[number], hashes[number]
-        order = np.lexsort((values, docs))
-        docs, values = docs[order], values[order]
-        new = np.ones(len(docs), bool)
-        new[1:] = (docs[1:] != docs[:-1]) | (values[1:] != values[:-1])
-        at = np.flatnonzero(new)
-        often = np.diff(np.append(at, len(docs)))
-        offsets = np.searchsorted(docs[at], np.arange(len(starts) + 1)).astype(np.int32)
-        pairs = pa.StructArray.from_arrays(
-            [pa.array(values[at].view(np.int64)), pa.array(often.astype(np.int32))], names=["word", "times"]
-        )
-        columns = [
-            *(batch.column(c) for c in passed),
-            pa.array(counts + 1),
-            pa.array(n_rare),
-            pa.array(base),
-            pa.array(np.array(walks, float)),
-            pa.ListArray.from_arrays(pa.array(offsets), pairs),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=[*passed, "n_tokens", "n_rare", "base", "walk", "rare"])
-
-
-def score(docs: DataFrame, model: Model, table: DataFrame, passed: list[str], text: str = "text") -> DataFrame:
-    """``passed`` columns, n_tokens, n_known, base_score and score of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
-    source = docs.select(*passed, F.col(text).alias("text"))
-    scored = stage(
-        source.mapInArrow(
-            lambda x: _score(x, shared, passed),
-            f"{kinds}, n_tokens bigint, n_rare bigint, base double, walk double, rare array<struct<word:bigint,times:int>>",
-        ).withColumn("row", F.monotonically_increasing_id())
-    )
-    rare = scored.select("row", F.inline("rare")).join(table, "word", "left")
-    count = F.coalesce("n", F.lit(0))
-    sums = rare.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(count + 0.5)).alias("logs"), F.sum(F.when(count > 0, F.col("times"))).alias("known")
-    )
-    mass = math.log10(model.mass)
-    found = F.coalesce("logs", F.lit(0.0))
-    end_known = F.lit(0 if model.texts else 1)
-    return scored.join(sums, "row", "left").select(
-        *passed,
-        "n_tokens",
-        (F.col("n_tokens") - F.col("n_rare") + F.coalesce("known", F.lit(0)) - end_known).alias("n_known"),
-        (F.col("base") + found - F.col("n_rare") * mass).alias("base_score"),
-        (F.col("walk") + found - F.col("n_rare") * mass).alias("score"),
+    named = [f"p{i}" for i in range(len(passed))]
+    types = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(named, passed))
+    source = docs.select(*(F.col(c).alias(n) for n, c in zip(named, passed)), F.col(text).alias("text"), trained.alias("trained"))
+    texts = stage(source.mapInArrow(_in_blocks, f"{types}, text string, trained boolean, block bigint").withColumn(
+        "at", F.monotonically_increasing_id()
+    ))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(BUCKETS, -(-size // BUCKET))
+
+    def ordered(table: pa.Table) -> pa.Table:
+        return table.sort_by("at")
+
+    def words_and_pairs(table: pa.Table) -> pa.Table:
+        table = ordered(table)
+        line = Line(table.column("text").combine_chunks())
+        return _send_grams(table, buckets, [(1, line.words), (2, line.pairs)], line)
+
+    def triples(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = ordered(left)
+        known = Known(left, right, buckets)
+        return _send_grams(left, buckets, [(3, known.grams)], known.line)
+
+    def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = Known(ordered(left), right, buckets).weigh(mass, discount)
+        return _send_contexts(known, left.column("block")[0].as_py())
+
+    def answered(sent: DataFrame, answer) -> DataFrame:
+        found = stage(sent.groupBy("kind", "bucket").applyInArrow(lambda t: answer(t, buckets), ANSWER))
+        del sent
+        release(spark)
+        return found
+
+    lines = texts.select("block", "at", "text", "trained")
+    counts = answered(lines.groupBy("block").applyInArrow(words_and_pairs, SENT), _answer_counts)
+    totals = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    tokens, mass = totals[0], totals[0] + 0.5 * (totals[1] + 1)
+    by_block = lines.groupBy("block").cogroup(counts.groupBy("block"))
+    counts = counts.unionByName(answered(by_block.applyInArrow(triples, SENT), _answer_counts))
+    by_block = lines.groupBy("block").cogroup(counts.groupBy("block"))
+    weights = answered(by_block.applyInArrow(contexts, SENT), _answer_contexts)
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = ordered(left)
+        known = Known(left, right, buckets).weigh(mass, discount)
+        columns = [left.column(n) for n in named] + [pa.array(known.line.counts + 1), *map(pa.array, known.scores())]
+        return pa.table(columns, names=[*passed, "n_tokens", "n_known", "base_score", "score"])
+
+    answers = counts.unionByName(weights).groupBy("block")
+    found = texts.drop("trained").groupBy("block").cogroup(answers).applyInArrow(
+        scored, f"{kinds}, n_tokens bigint, n_known bigint, base_score double, score double"
     )
+    return found, tokens
 
 
 def held_out(key: Column, parts: int, part: int) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logweir.llm.bpe import encode_decode
 from logweir.llm.capfilter import near_embeddings
 from logweir.llm.decontaminate import decontaminate
-from logweir.llm.lm import held_out, score, train
+from logweir.llm.lm import held_out, score
 from logweir.llm.quality import score_quality
 from logweir.llm.secrets import KINDS, listed, scan_secrets
 from logweir.llm.simhash import near_duplicates
@@ -63,10 +63,9 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(F.col("doc_id"), 5, 1)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", out.alias("held_out"))
-    model, table = train(docs.where(~F.col("held_out")))
-    found = score(docs, model, table, ["doc_id", "held_out"])
+    found, tokens = score(docs, ~F.col("held_out"), ["doc_id", "held_out"])
     return found.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score",
     )
 

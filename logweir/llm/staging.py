@@ -7,7 +7,9 @@ a temporary folder of the machine serves then. Staged tables are deleted when th
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,14 @@ def stage(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of frames that are no longer referenced, which else wait for the JVM's garbage."""
+    for _ in range(2):  # the first round frees the frames, the second what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def drop_staged() -> None:
     """Deletes all staged tables of this process; results that still read them must have been written before."""
     while _staged:

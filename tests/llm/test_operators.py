@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -260,6 +261,19 @@ def test_language_model(spark, folder):
             assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=1e-6), i
 
 
+def test_language_model_keeps_every_repeated_gram(spark):
+    """A pair and a triple seen twice stay, however many other tokens the corpus has."""
+    from logweir.llm.lm import score
+
+    filler = [(i, " ".join(f"w{(i * 7919 + k * k) % 50_000}" for k in range(5_000))) for i in range(250)]
+    rows = spark.createDataFrame([*filler, (900, "zig zag zug"), (901, "zig zag zug")], "doc_id int, text string")
+    found, tokens = score(rows, F.lit(True), ["doc_id"])
+    assert tokens == 250 * 5_001 + 8
+    got = {r.doc_id: r for r in found.where("doc_id >= 900").collect()}
+    p1 = (2 - 0.75) / 252
+    assert got[900].score == got[901].score == pytest.approx(math.log10(p1) + 3 * math.log10(1.25 / 2), abs=1e-9)
+
+
 def test_token_files(spark, folder):
     tokenizer = Tokenizer.from_file(PATH)
     rows = sorted(documents(), key=lambda r: (r[0] is not None, r[0] or 0))
