@@ -443,5 +443,19 @@ def test_pipeline(spark, folder):
     assert Counter((r.doc_id, tuple(r.ids)) for r in final.collect()) == want
 
 
+def test_pipeline_near_copies_of_similarity_08(spark, folder):
+    """Of two copies at five-word Jaccard 0.8 to 0.9 one goes; a document below 0.8 stays."""
+
+    def changed(at: list[int]) -> str:
+        return " ".join(f"x{i}" if i in at else f"w{copy}_{i}" for i in range(200))
+
+    rows, want = [], set()
+    for copy in range(20):
+        rows += [(10 * copy, changed([])), (10 * copy + 1, changed([50, 100, 150, 196][: 1 + copy % 4])), (10 * copy + 2, changed(list(range(10, 200, 25))))]
+        want |= {10 * copy, 10 * copy + 2}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()} == want
+
+
 def test_pipeline_of_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
