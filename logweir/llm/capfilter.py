@@ -6,8 +6,11 @@ scores at least ``alpha``; list decoding finds them from the sorted scores of th
 that pass a common filter are compared in double precision. A pair is counted in the first filter that both pass.
 
 ``alpha`` and the number of filters follow from the number of different vectors: each filter should pass about
-``bucket`` vectors and each vector about ``passes`` filters, at every size. Equal vectors are one node with a
-multiplicity. Pairs can be missed (recall is measured in the tests); no pair below the threshold is ever linked.
+``bucket`` vectors and each vector about ``passes`` filters, at every size. Filters share codewords, so one codebook finds
+a smaller part of the pairs the more vectors there are; therefore several independent ones are used. Their number
+follows from the part of random pairs at the threshold that one misses at this size and dimension, so that all together
+find ``recall`` of them. Equal vectors are one node with a multiplicity. Pairs can be missed (the tests measure how
+many); no pair below the threshold is ever linked.
 
 Defined results: a null or zero vector, or one with null or non-finite components, has no links and is its own
 component; vectors of different lengths never link; every row of a repeated ``vec_id`` counts as a vector; a null
@@ -58,6 +61,32 @@ def list_decode(units: np.ndarray, codes: int, alpha: float, seed: int) -> tuple
     return np.concatenate(rows), np.concatenate(filters).astype(np.int64)
 
 
+@lru_cache(maxsize=64)
+def repetitions(dimension: int, codes: int, alpha: float, seed: int, cosine: float, recall: float, pairs: int = 1000) -> int:
+    """Number of codebooks that together find ``recall`` of random pairs at ``cosine``, by the part that the first misses."""
+    if dimension < 2 or cosine >= 1:
+        return 1
+    a, b = np.random.default_rng([seed, dimension]).standard_normal((2, pairs, dimension))
+    a = _unit(a)
+    b = _unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    b = cosine * a + math.sqrt(1 - cosine * cosine) * b
+    missed = 0
+    for at in range(0, pairs, 100):
+        (row, own), (row_b, own_b) = (list_decode(x[at : at + 100], codes, alpha, seed) for x in (a, b))
+        both = np.intersect1d(row * codes * codes + own, row_b * codes * codes + own_b)
+        missed += 100 - len(np.unique(both // (codes * codes)))
+    return max(1, math.ceil(math.log(1 - recall) / math.log((missed + 1) / (pairs + 2))))
+
+
+def passed_filters(
+    units: np.ndarray, codes: int, alpha: float, seed: int, cosine: float, recall: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) of all filters that each unit vector passes, numbered through all codebooks."""
+    count = repetitions(units.shape[1], codes, alpha, seed, cosine, recall)
+    found = [list_decode(units, codes, alpha, seed + i) for i in range(count)]
+    return np.concatenate([r for r, _ in found]), np.concatenate([f + i * codes * codes for i, (_, f) in enumerate(found)])
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -68,7 +97,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _emit(batches: Iterator[pa.RecordBatch], codes: int, alpha: float, seed: int) -> Iterator[pa.RecordBatch]:
+def _emit(
+    batches: Iterator[pa.RecordBatch], codes: int, alpha: float, seed: int, cosine: float, recall: float
+) -> Iterator[pa.RecordBatch]:
     """(dimension, bucket, node, copies, embedding) for each filter that a vector passes; input sorted by dimension."""
     for piece in runs(batches, ["dimension"]):
         sizes = piece.column("dimension").to_numpy()
@@ -76,13 +107,13 @@ def _emit(batches: Iterator[pa.RecordBatch], codes: int, alpha: float, seed: int
             own = piece.filter(pa.array(sizes == at))
             for begin in range(0, own.num_rows, 1024):
                 part = own.slice(begin, 1024)
-                row, bucket = list_decode(_unit(matrix(part.column("embedding"))), codes, alpha, seed)
+                row, bucket = passed_filters(_unit(matrix(part.column("embedding"))), codes, alpha, seed, cosine, recall)
                 taken = part.take(pa.array(row)).append_column("bucket", pa.array(bucket))
                 yield from taken.select(["dimension", "bucket", "node", "copies", "embedding"]).to_batches()
 
 
 def _compare(
-    batches: Iterator[pa.RecordBatch], codes: int, alpha: float, seed: int, cosine: float
+    batches: Iterator[pa.RecordBatch], codes: int, alpha: float, seed: int, cosine: float, recall: float
 ) -> Iterator[pa.RecordBatch]:
     """Counts (a = node, links) and spanning edges (a, b) of each group."""
     keys = ["dimension", "bucket", "left", "right"]
@@ -105,7 +136,7 @@ def _compare(
             if len(some) == 0:
                 continue
             near = near[np.ix_(some, some)]
-            row, bucket = list_decode(units[some], codes, alpha, seed)
+            row, bucket = passed_filters(units[some], codes, alpha, seed, cosine, recall)
             earlier = bucket < values[1][at]
             names, column = np.unique(bucket[earlier], return_inverse=True)
             passed = np.zeros((len(some), len(names)), np.float32)
@@ -134,6 +165,7 @@ def near_embeddings(
     bucket: float = 64,
     block: int = 1024,
     seed: int = 17,
+    recall: float = 0.999,
 ) -> DataFrame:
     """(key, n_links, component_id, kept) of every row."""
     value = F.col(vector)
@@ -156,14 +188,14 @@ def near_embeddings(
 
     sized = nodes.select(F.size("embedding").alias("dimension"), "node", "copies", "embedding")
     kind = "dimension int, bucket bigint, node bigint, copies bigint, embedding array<double>"
-    passing = sized.sortWithinPartitions("dimension").mapInArrow(lambda x: _emit(x, codes, alpha, seed), kind)
+    passing = sized.sortWithinPartitions("dimension").mapInArrow(lambda x: _emit(x, codes, alpha, seed, cosine, recall), kind)
     keyed = passing.withColumn("place", F.struct("dimension", "bucket"))
     groups = block_pairs(keyed, "place", "node", block).drop("place")
     order = ["dimension", "bucket", "left", "right"]
     found = stage(
         groups.repartition(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(lambda x: _compare(x, codes, alpha, seed, cosine), "a bigint, b bigint, links bigint")
+        .mapInArrow(lambda x: _compare(x, codes, alpha, seed, cosine, recall), "a bigint, b bigint, links bigint")
     )
     links = found.where("b < 0").groupBy("a").agg(F.sum("links").alias("links"))
     root = components(found.where("b >= 0"))

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from statistics import NormalDist
 
 import numpy as np
 import public_tokenizers
@@ -204,6 +205,20 @@ def test_list_decoding_is_complete():
     assert set(zip(*(x.tolist() for x in capfilter.list_decode(units, 12, 1.5, 17)))) == want
 
 
+@pytest.mark.parametrize("count", [10_256, 1_000_000])
+def test_cap_filters_keep_their_recall(count):
+    """Of fresh random pairs at the threshold, at least 99.5 % share a filter at every number of vectors."""
+    share = 64 / count
+    alpha, codes = NormalDist().inv_cdf(1 - share), math.ceil(math.sqrt(24 / share))
+    a, b = np.random.default_rng(99).standard_normal((2, 600, 64))
+    a = capfilter._unit(a)
+    b = 0.95 * a + math.sqrt(1 - 0.95**2) * capfilter._unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    sides = [set(zip(*(x.tolist() for x in capfilter.passed_filters(v, codes, alpha, 17, 0.95, 0.999)))) for v in (a, b)]
+    found = len({row for row, _ in sides[0] & sides[1]})
+    print(count, capfilter.repetitions(64, codes, alpha, 17, 0.95, 0.999), found / 600)
+    assert found >= 0.995 * 600
+
+
 def test_language_model(spark, folder):
     rows = documents()
     lines = [[w.encode() for w in []] or [x for x in (t or "").encode().lower().split()] + ["end"] for _, t, *_ in rows]
