@@ -472,5 +472,12 @@ def test_pipeline_near_copies_of_similarity_08(spark, folder):
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()} == want
 
 
+def test_pipeline_decontamination_keeps_clean_rows_of_a_repeated_id(spark, folder):
+    rows = [(i, t) for i in (1, None) for t in (ITEMS[2][1], f"clean words {i}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.decontamination(spark, docs, folder).collect()
+    assert {tuple(r) for r in kept} == {(1, "clean words 1"), (None, "clean words None")}
+
+
 def test_pipeline_of_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
