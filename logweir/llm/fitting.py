@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows_per_class: int, columns: list[str], key: str = "doc_id"
 ) -> list[tuple]:
-    """(columns..., label) of at most ``rows_per_class`` labelled rows of each class outside ``held_out``.
+    """(columns..., label) of at most ``rows_per_class`` labelled keys of each class outside ``held_out``, one row a key.
 
     The rows with the smallest hash of their key are taken, so the choice depends on neither order nor partitions.
     Only keys and labels are sorted; the chosen keys, whose number is bounded, are broadcast to find the texts.
+    Of a key's rows the smallest one is taken, so at most ``2 * rows_per_class`` rows reach the driver.
     """
     named = labels.select(F.col(key), F.col(label).alias("label")).where(~held_out & F.col("label").isin(0, 1))
     chosen = None
     for value in (0, 1):
         part = named.where(F.col("label") == value).orderBy(F.xxhash64(key), key).limit(rows_per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    found = docs.join(F.broadcast(chosen.dropDuplicates([key])), key).select(*columns, "label")
+    joined = docs.join(F.broadcast(chosen.dropDuplicates([key])), key)
+    found = joined.groupBy(key).agg(F.min(F.struct(*columns, "label")).alias("row")).select("row.*")
     rows = [tuple(r) for r in found.collect()]
     return sorted(rows, key=lambda r: tuple(map(str, r)))
 

@@ -395,6 +395,14 @@ def test_simhash_splits_hot_buckets(spark):
     assert reach == set(values) and all((a ^ b).bit_count() <= 4 for a, b in edges)
 
 
+def test_training_sample_takes_one_row_a_key(spark):
+    from logweir.llm.fitting import training_sample
+
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(50)] + [(2, "b")], "doc_id int, text string")
+    marks = spark.createDataFrame([(1, 0), (2, 1)], "doc_id int, toxic int")
+    assert training_sample(docs, marks, "toxic", F.lit(False), 5, ["text"]) == [("b", 1), ("t0", 0)]
+
+
 def test_quality(spark, folder):
     rows = QUERIES["op9_quality"](spark, folder).collect()
     assert len(rows) == len(documents()) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
