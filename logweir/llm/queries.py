@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 from logweir.llm.bpe import encode_decode
 from logweir.llm.capfilter import near_embeddings
 from logweir.llm.decontaminate import decontaminate
+from logweir.llm.lloyd import compress, digest, label_errors
 from logweir.llm.lm import held_out, score
 from logweir.llm.quality import score_quality
+from logweir.llm.ranked import search
 from logweir.llm.secrets import KINDS, listed, scan_secrets
 from logweir.llm.simhash import near_duplicates
-from logweir.llm.staging import staged_path
+from logweir.llm.staging import stage, staged_path
 from logweir.llm.substring import remove_repeats
 from logweir.llm.tokenfile import read_tokens, write_tokens
 from logweir.llm.toxicity import score_toxicity
+from logweir.llm.wholetoken import count_tokens
 
 #: Where the public vocabulary is; the environment may name another copy.
 TOKENIZER = os.environ.get("LOGWEIR_TOKENIZER", public_tokenizers.path("word_bpe_49k.json"))
+PIECE_MODEL = os.environ.get("LOGWEIR_PIECE_MODEL", public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,11 +102,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(read(spark, sf_dir, "embeddings"))
+    return label_errors(stage(coded)).select(
+        "vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_toxicity, op3_substring_dedup, op4_embedding_near_dedup, op5_lm_scoring, op6_token_files,
-        op7_decontamination, op8_simhash_near_dedup, op9_quality, op10_bpe,
+        op7_decontamination, op8_simhash_near_dedup, op9_quality, op10_bpe, op11_token_counts, op12_ranked_search,
+        op13_vector_codes,
     )
 }
 
@@ -165,8 +185,70 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH dt AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), it AS (
+  SELECT item_id, row_number() OVER () AS q,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark
+), total AS (SELECT count_if(len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM dt
+), tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM dt) GROUP BY r, t
+), df AS (SELECT t, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, total GROUP BY t, n
+), wanted AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(w) AS t FROM it) GROUP BY q, t
+), docs AS (SELECT doc_id, r, 100 - 25 + ((25 * len(w) * n) // l) AS m FROM dt, total WHERE len(w) > 0
+), scored AS (
+  SELECT q, r, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM wanted JOIN tf USING (t) JOIN df USING (t) JOIN docs USING (r) GROUP BY q, r
+), ranked AS (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored JOIN docs USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN it USING (q) WHERE rank <= 20
+"""
+
+
+def _op13_sql() -> str:
+    """SQL for vectors of 64 components: 16 parts of x1 to x4."""
+    each = lambda form: ", ".join(form.format(i=i) for i in (1, 2, 3, 4))
+    apart = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in (1, 2, 3, 4))
+    assign = (
+        "SELECT vec_id, p, any_value(label) AS label, {x}, min(d * 64 + e) % 64 AS e, min(d * 64 + e) // 64 AS d FROM "
+        "(SELECT a.vec_id, a.label, a.p, a.x1, a.x2, a.x3, a.x4, b.e, {apart} AS d FROM parts a JOIN c{k} b ON a.p = b.p) "
+        "GROUP BY vec_id, p"
+    )
+    update = "SELECT c.p, c.e, {x} FROM c{k} c LEFT JOIN (SELECT p, e, count(*) AS n, {s} FROM a{k} GROUP BY p, e) s ON c.p = s.p AND c.e = s.e"
+    steps = []
+    for k in (0, 1, 2):
+        steps.append(f"a{k} AS MATERIALIZED (" + assign.format(x=each("any_value(x{i}) AS x{i}"), apart=apart, k=k) + ")")
+        if k < 2:
+            x = each("coalesce(floor(s.s{i} / s.n)::BIGINT, c.x{i}) AS x{i}")
+            steps.append(f"c{k + 1} AS MATERIALIZED (" + update.format(x=x, s=each("sum(x{i}) AS s{i}"), k=k) + ")")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, p, {each("v[p * 4 + {i}] AS x{i}")} FROM kept, (SELECT unnest(range(16)) AS p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, {each("x{i}")} FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+), {", ".join(steps)}, coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM a2 GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(concat_ws(',', x1, x2, x3, x4), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256
+FROM coded
+"""
+
+
 ORACLE_SQL = {
     "op3_substring_dedup": OP3_SQL,
     "op4_embedding_near_dedup": OP4_SQL,
     "op7_decontamination": OP7_SQL,
+    "op12_ranked_search": OP12_SQL,
+    "op13_vector_codes": _op13_sql(),
 }
