@@ -7,6 +7,7 @@ from logweir.operators.schema import infer_schemas
 from logweir.plans.batch import Batch, BatchFailed, BatchReport
 from logweir.plans.router import route_batch
 from logweir.plans.single_table import single_table_batch
+from logweir.sinks.ledger import LedgerSink
 from logweir.sinks.tables import ConnectorSink, MetastoreSink, ParquetSink, StagedSink
 from logweir.sources.catalog import EventCatalog, load_catalog, load_shared_catalog
 from logweir.streaming.runner import run_router, run_single_table
@@ -20,6 +21,7 @@ __all__ = [
     "EventCatalog",
     "FieldSpec",
     "IngestConfig",
+    "LedgerSink",
     "MetastoreSink",
     "ParquetSink",
     "StagedSink",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.config import IngestConfig, load_properties, redacted
+from logweir.sinks.ledger import LedgerSink
 from logweir.sinks.tables import ConnectorSink, ParquetSink, StagedSink, TableSink, warehouse_options
 from logweir.sources import catalog as catalogs
 from logweir.streaming.runner import run_router, run_single_table
@@ -18,10 +19,19 @@ WAREHOUSE_FORMAT = "io.github.spark_redshift_community.spark.redshift"
 
 
 def make_sink(properties: Mapping[str, str], config: IngestConfig) -> TableSink:
-    """The warehouse connector, or parquet tables under ``table_root`` (by way of ``staging_root``, if given)."""
+    """The warehouse connector, or parquet tables under ``table_root`` (by way of ``staging_root``, if given).
+
+    With ``ledger_location`` the connector's appends are exactly-once; its tables then need the two mark columns.
+    """
     if "table_root" not in properties:
         fmt = properties.get("sink_format", WAREHOUSE_FORMAT)
-        return ConnectorSink(fmt, config.target_schema, warehouse_options(properties))
+        own = {key[5:]: text for key, text in properties.items() if key.startswith("sink.")}
+        options = own or warehouse_options(properties)
+        target = ConnectorSink(
+            fmt, config.target_schema, options, properties.get("sink_table_option", "dbtable"), properties.get("sink_prefix", "")
+        )
+        ledger = properties.get("ledger_location")
+        return LedgerSink(target, ledger) if ledger else target
     tables = ParquetSink(properties["table_root"], config.target_schema)
     staging = properties.get("staging_root")
     return StagedSink(tables, staging, config.staging_format) if staging else tables

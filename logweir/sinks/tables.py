@@ -118,16 +118,21 @@ class StagedSink:
 class ConnectorSink:
     """Any Spark data source that appends to ``schema.table``: a warehouse connector, or ``jdbc``.
 
-    The connector decides about retries, so delivery is at-least-once.
+    On its own delivery is at-least-once: a repeated batch is appended again. ``LedgerSink`` makes it exactly-once.
+    ``prefix`` stands before the table name, for formats whose tables are paths.
     """
 
     format: str
     schema: str
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
     table_option: str = "dbtable"
+    prefix: str = ""
 
     def table_options(self, table: str) -> dict[str, str]:
-        return {**self.options, self.table_option: qualified(self.schema, table)}
+        return {**self.options, self.table_option: self.prefix + qualified(self.schema, table)}
+
+    def load(self, spark: SparkSession, table: str) -> DataFrame:
+        return spark.read.format(self.format).options(**self.table_options(table)).load()
 
     def append(self, df: DataFrame, table: str, source_id: str, batch_id: int) -> None:
         df.write.format(self.format).options(**self.table_options(table)).mode("append").save()
