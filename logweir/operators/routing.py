@@ -4,12 +4,17 @@
 behaviour: the pattern ``"event":"<name>"`` may match anywhere in the text, and a list of names becomes one
 alternation over the *whole* pattern. ``each`` is textual too, with one pattern per name. All of it is native
 expressions, so filters stay in generated code.
+
+The cost of textual routing does not grow with the number of names. ``each`` reads every event text of a record in one pass
+and looks the texts up in the set of names. ``regex`` folds the alternation into a prefix tree, so that a position of the
+text is left at the first character that begins no name. Names with regular-expression characters keep patterns of their own.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +37,87 @@ def is_event(record: Column, names: Sequence[str]) -> Column:
     return records.event_of(record).isin(list(names))
 
 
+# Every text after an event key, wherever it stands. The key is looked at without being consumed, because the closing
+# quote of one text can be the opening quote of the next key.
+_EVENT_TEXTS = r'(?="event":"([^"]*)")"'
+
+_PLAIN = re.compile(r'[^"\\.^$*+?()\[\]{}|]+')
+
+
+def is_plain(name: str) -> bool:
+    """Whether the name as a pattern matches just itself, and can stand between the quotes of an event text."""
+    return bool(_PLAIN.fullmatch(name))
+
+
 def matches_text(value: Column, names: Sequence[str]) -> Column:
-    return value.rlike(TEXT_PATTERN.format("|".join(names)))
+    """One alternation over the whole pattern: only the first name is bound to the key, only the last to the quote."""
+    return value.rlike(alternation(tuple(names)))
+
+
+@lru_cache(maxsize=64)
+def alternation(names: tuple[str, ...]) -> str:
+    """A pattern that finds something in the same texts as the plain alternation of the names does."""
+    head, tail = TEXT_PATTERN.split("{}")
+    if len(names) < 2:
+        return TEXT_PATTERN.format("|".join(names))
+    branches = [head + names[0], *names[1:-1], names[-1] + tail]
+    plain = [b for b, name in zip(branches, names) if is_plain(name)]
+    odd = [b for b, name in zip(branches, names) if not is_plain(name)]
+    return "|".join([*([prefix_tree(plain)] if plain else []), *odd])
+
+
+def prefix_tree(words: Sequence[str]) -> str:
+    """A pattern that is found in a text if and only if one of the words is.
+
+    A word that begins with another one adds nothing: where it is found, the shorter one is.
+    """
+    shortest: list[str] = []
+    for word in sorted(set(words)):
+        if not shortest or not word.startswith(shortest[-1]):
+            shortest.append(word)
+    return _branches(shortest, 0)
+
+
+def _branches(words: list[str], at: int) -> str:
+    """Sorted words that agree in their first ``at`` characters, none of them the beginning of another."""
+    if len(words) == 1:
+        return re.escape(words[0][at:])
+    end = at
+    while words[0][end : end + 1] and words[0][end] == words[-1][end : end + 1]:
+        end += 1
+    groups: dict[str, list[str]] = {}
+    for word in words:
+        groups.setdefault(word[end], []).append(word)
+    inner = "|".join(_branches(group, end) for group in groups.values())
+    return f"{re.escape(words[0][at:end])}(?:{inner})"
+
+
+def text_events(names: Sequence[str]) -> Column:
+    """The catalog names whose pattern the text in ``value`` contains, each once; never NULL.
+
+    The set of names is one SQL text, which Spark turns into a hash set; a call for each of thousands of names would
+    take seconds in the driver.
+    """
+    plain = [name for name in dict.fromkeys(names) if is_plain(name)]
+    odd = [name for name in dict.fromkeys(names) if not is_plain(name)]
+    none = F.array().cast("array<string>")
+    found = none
+    if plain:
+        known = ", ".join("'" + name.replace("'", "\\'") + "'" for name in plain)
+        texts = f"array_distinct(regexp_extract_all(value, r'{_EVENT_TEXTS}', 1))"
+        found = F.coalesce(F.expr(f"filter({texts}, text -> text IN ({known}))"), none)
+    matches = [F.when(matches_text(F.col("value"), [name]), F.lit(name)) for name in odd]
+    return F.concat(found, F.array_compact(F.array(*matches))) if odd else found
 
 
 def belongs(value: Column, record: Column, names: Sequence[str], mode: str) -> Column:
-    """Whether a record is of one of the events; never NULL."""
+    """Whether a record is of one of the events; never NULL. ``value`` is the column of that name."""
     if mode == "exact":
         match = is_event(record, names)
     elif mode == "regex":
         match = matches_text(value, names)
     elif mode == "each":
-        match = reduce(Column.__or__, [matches_text(value, [name]) for name in names], F.lit(False))
+        match = F.size(text_events(names)) > 0
     else:
         raise ValueError(f"routing mode must be one of {ROUTING_MODES}, got {mode!r}")
     return F.coalesce(match, F.lit(False))

@@ -100,8 +100,7 @@ def tag_batch(df: DataFrame, catalog: EventCatalog, config: IngestConfig) -> Dat
     routed = F.col("outcome") == ROUTED
     event = F.when(routed, F.col("event"))
     if config.routing_mode == "regex":
-        matches = [F.when(routing.matches_text(F.col("value"), [name]), F.lit(name)) for name in names]
-        event = F.explode_outer(F.array_compact(F.array(*matches)))
+        event = F.explode_outer(routing.text_events(names))
     return tagged.select(
         *([] if parsed is None else [F.when(routed, F.col("record")).alias("record")]),
         F.col("value"),

@@ -31,6 +31,6 @@ register = REGISTRY.register
 
 
 def load_all() -> Registry:
-    from logweir.registry import batches, catalogs, delivery, projections, routes, sinks, streams  # noqa: F401
+    from logweir.registry import batches, catalogs, delivery, projections, routes, sinks, streams, textual  # noqa: F401
 
     return REGISTRY
