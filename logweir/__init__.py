@@ -10,6 +10,7 @@ from logweir.plans.single_table import single_table_batch
 from logweir.sinks.ledger import LedgerSink
 from logweir.sinks.tables import ConnectorSink, MetastoreSink, ParquetSink, StagedSink
 from logweir.sources.catalog import EventCatalog, load_catalog, load_shared_catalog
+from logweir.sources.refresh import VersionedCatalog
 from logweir.streaming.runner import run_router, run_single_table
 
 __all__ = [
@@ -25,6 +26,7 @@ __all__ = [
     "MetastoreSink",
     "ParquetSink",
     "StagedSink",
+    "VersionedCatalog",
     "infer_schemas",
     "load_catalog",
     "load_shared_catalog",

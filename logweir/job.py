@@ -12,6 +12,8 @@ from logweir.config import IngestConfig, load_properties, redacted
 from logweir.sinks.ledger import LedgerSink
 from logweir.sinks.tables import ConnectorSink, ParquetSink, StagedSink, TableSink, warehouse_options
 from logweir.sources import catalog as catalogs
+from logweir.sources.catalog import EventCatalog
+from logweir.sources.refresh import VersionedCatalog
 from logweir.streaming.runner import run_router, run_single_table
 
 # Fixed value: the community warehouse connector's data source name; ``sink_format`` in the properties replaces it.
@@ -49,16 +51,24 @@ def start(spark: SparkSession, job: str, properties: Mapping[str, str]) -> Strea
     config = IngestConfig.from_properties(properties)
     sink = make_sink(properties, config)
     settings = (config.event_types, config.delimiter, config.use_json_field_name)
-    if job == "router":
-        catalog = catalogs.load_catalog(*catalog_tables(spark, properties, catalogs.ROUTER_TABLES), *settings)
-        query = run_router(spark, config, catalog, sink, on_report=print)
-    else:
-        tables = catalog_tables(spark, properties, catalogs.SINGLE_TABLES)
-        catalog, shared = catalogs.load_shared_catalog(*tables, *settings)
-        query = run_single_table(spark, config, catalog.event_names, shared, sink, on_report=print)
+    router = job == "router"
+    table_names = catalogs.ROUTER_TABLES if router else catalogs.SINGLE_TABLES
+
+    def load() -> EventCatalog:
+        tables = catalog_tables(spark, properties, table_names)
+        return catalogs.load_catalog(*tables, *settings) if router else catalogs.load_shared_catalog(*tables, *settings)[0]
+
+    catalog: EventCatalog | VersionedCatalog = load()
     for warning in catalog.warnings:
         print(f"warning: {warning}")
-    return query
+    names, fields = catalog.event_names, catalog.shared
+    if "catalog_refresh_seconds" in properties:
+        root = properties.get("catalog_versions", f"{config.checkpoint_location}-catalog")
+        seconds = float(properties["catalog_refresh_seconds"])
+        names = catalog = VersionedCatalog(spark, load, root, seconds, on_change=print)
+    if router:
+        return run_router(spark, config, catalog, sink, on_report=print)
+    return run_single_table(spark, config, names, fields, sink, on_report=print)
 
 
 def main(argv: list[str]) -> None:

@@ -21,10 +21,11 @@ SINGLE_TABLES = ("realtime_events_event_list", "realtime_events_event_field_list
 
 @dataclass(frozen=True)
 class EventCatalog:
-    """Event name → ordered fields; an event may have none."""
+    """Event name → ordered fields; an event may have none. ``shared`` is the one list of the single-table job."""
 
     fields: Mapping[str, tuple[FieldSpec, ...]]
     warnings: tuple[str, ...] = field(default=())
+    shared: tuple[FieldSpec, ...] = field(default=())
 
     @property
     def event_names(self) -> list[str]:
@@ -88,7 +89,7 @@ def load_shared_catalog(
     warnings = ()
     if rows and not rows[0].has_delimiter:
         warnings = (f"no {delimiter!r} field; all fields are outer fields",)
-    return EventCatalog({row.event_name: specs for row in names}, warnings), specs
+    return EventCatalog({row.event_name: specs for row in names}, warnings, specs), specs
 
 
 def _field(row, use_json_field_name: bool) -> FieldSpec:

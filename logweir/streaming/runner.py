@@ -18,6 +18,7 @@ from logweir.plans.router import route_batch
 from logweir.plans.single_table import single_table_batch
 from logweir.sinks.tables import TableSink
 from logweir.sources.catalog import EventCatalog
+from logweir.sources.refresh import VersionedCatalog, catalog_for
 from logweir.sources.stream import read_stream
 
 Report = Callable[[BatchReport], None]
@@ -26,16 +27,16 @@ Report = Callable[[BatchReport], None]
 def run_router(
     spark: SparkSession,
     config: IngestConfig,
-    catalog: EventCatalog,
+    catalog: EventCatalog | VersionedCatalog,
     sink: TableSink,
     on_report: Report | None = None,
     stream: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Start the job that writes one table per event."""
+    """Start the job that writes one table per event. A versioned catalog is asked at the beginning of every batch."""
     return _start(
         read_stream(spark, config) if stream is None else stream,
         config,
-        lambda batch: route_batch(batch, catalog, sink, config),
+        lambda batch: route_batch(batch, catalog_for(catalog, batch.source_id, batch.batch_id), sink, config),
         on_report,
     )
 
@@ -43,19 +44,21 @@ def run_router(
 def run_single_table(
     spark: SparkSession,
     config: IngestConfig,
-    names: Sequence[str],
+    names: Sequence[str] | VersionedCatalog,
     fields: Sequence[FieldSpec],
     sink: TableSink,
     on_report: Report | None = None,
     stream: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Start the job that writes many events into one table."""
-    return _start(
-        read_stream(spark, config) if stream is None else stream,
-        config,
-        lambda batch: single_table_batch(batch, names, fields, sink, config),
-        on_report,
-    )
+    """Start the job that writes many events into one table. A versioned catalog gives names and fields for every batch."""
+
+    def process(batch: Batch) -> BatchReport:
+        if not isinstance(names, VersionedCatalog):
+            return single_table_batch(batch, names, fields, sink, config)
+        catalog = names.for_batch(batch.source_id, batch.batch_id)
+        return single_table_batch(batch, catalog.event_names, catalog.shared, sink, config)
+
+    return _start(read_stream(spark, config) if stream is None else stream, config, process, on_report)
 
 
 def _start(

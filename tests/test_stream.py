@@ -241,3 +241,19 @@ def test_bad_settings_are_refused(bad):
 
 def test_shared_folder_is_stable(spark):
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_job_looks_at_the_catalog_again(spark, folder, properties):
+    """The properties alone make a stream that takes up an event added between two runs and keeps versions."""
+    path = _job(spark, folder, properties, catalog_refresh_seconds="0")
+    job.main(["router", "eu-test-1", path])
+    more = spark.createDataFrame([(4, "else", 0)], "id int, event_name string, event_type int")
+    more.write.mode("append").parquet(f"{folder}/catalog/event_list")
+    field = [(9, 4, "asn", "int", None)]
+    fields = spark.createDataFrame(field, "id int, event_id int, field_name string, data_type string, json_field_name string")
+    fields.write.mode("append").parquet(f"{folder}/catalog/event_field_list")
+    feed(spark, folder, value("else", 7), value("click", 8))
+    job.main(["router", "eu-test-1", path])
+    assert asns(spark, folder, "else") == [7] and asns(spark, folder, "click") == [1, 8]
+    versions = spark.read.json(f"{folder}/checkpoint-catalog/versions/*")
+    assert versions.select("event").distinct().count() == 3
