@@ -55,6 +55,7 @@ class IngestConfig:
     quarantine_location: str | None = None
     unrouted_location: str | None = None
     status_location: str | None = None
+    schema_location: str | None = None
 
     fanout: str = "staged"
     max_concurrent_writes: int = 30

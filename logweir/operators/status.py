@@ -21,11 +21,15 @@ def batch_count(df: DataFrame) -> DataFrame:
 
 
 def route_counts(tagged: DataFrame, events: DataFrame) -> DataFrame:
-    """Rows per catalog event, zero included: count first, then join the few counts to the catalog."""
-    counts = tagged.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
-    names = events.select(F.col("event_name").alias("event")).distinct()
-    return names.join(counts, "event", "left").select(
-        F.col("event").alias("event_name"), F.coalesce("n", F.lit(0)).alias("row_count")
+    """Rows per catalog event, zero included: count first, then join the few counts to the catalog.
+
+    Records without an event are counted under a name that is never NULL: a null filter for the join would be pushed
+    below the count, and parse every record once more.
+    """
+    counts = tagged.groupBy(F.coalesce("event", F.lit("")).alias("counted")).agg(F.count(F.lit(1)).alias("n"))
+    names = events.select("event_name").distinct()
+    return names.join(counts, F.col("event_name") == F.col("counted"), "left").select(
+        "event_name", F.coalesce("n", F.lit(0)).alias("row_count")
     )
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from logweir.config import IngestConfig
 from logweir.operators import status
+from logweir.operators.projection import preview_text
+from logweir.operators.schema import schema_json
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,11 @@ class TableStatus:
 
 @dataclass(frozen=True)
 class BatchReport:
-    """Per-table statuses plus the totals: ``total = routed + unrouted + quarantined`` under exact routing."""
+    """Per-table statuses plus the totals.
+
+    ``total`` counts records. ``routed`` counts rows of tables: under textual routing a record can have several, otherwise
+    ``total = routed + unrouted + quarantined``.
+    """
 
     batch_id: int
     tables: tuple[TableStatus, ...] = ()
@@ -77,8 +83,15 @@ def finish(batch: Batch, report: BatchReport, config: IngestConfig) -> BatchRepo
 
 
 def rejected(df: DataFrame, reasons: Mapping[str, str]) -> DataFrame:
-    """Raw records of events that reached no table, with the reason of their event. Expects ``value, event``."""
-    reason = F.lit(None).cast("string")
-    for event, text in reasons.items():
-        reason = F.when(F.col("event") == event, F.lit(text)).otherwise(reason)
-    return df.where(F.col("event").isin(list(reasons))).select("value", reason.alias("reason"))
+    """Raw records of events that reached no table, with the reason of their event. Expects ``value, event``.
+
+    The reasons are a table, so that the plan does not grow with the number of events.
+    """
+    table = df.sparkSession.createDataFrame(list(reasons.items()), "failed string, why string")
+    return df.select("value", "event").join(table, F.col("event") == F.col("failed")).select("value", F.col("why").alias("reason"))
+
+
+def preview(df: DataFrame, title: str, config: IngestConfig, log) -> None:
+    """First rows, schema tree and schema as JSON text, if the job is asked to show them."""
+    if config.preview:
+        log(f"{title}:\n{preview_text(df)}\n{schema_json(df)}")

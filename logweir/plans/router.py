@@ -1,13 +1,6 @@
 """Router plan: one target table per event name.
 
-The batch is parsed once, and then every target must read only its own records, however many targets there are:
-
-* ``staged`` (default) writes the sorted batch once into the shared folder, partitioned by outcome and event. The
-  rebalance hint lets adaptive execution split a hot event into many evenly sized files and put small events
-  together. Each target then reads one partition directory. Nothing depends on executor memory.
-* ``cached`` persists the sorted batch and filters it once per target. It saves one write for small batches with a
-  handful of targets.
-
+The batch is sorted once (``sorting``), and then every target reads only its own records, however many targets there are.
 What is kept of a routed record is its parsed fields, so that the targets only cast. A catalog too wide for that, or
 one whose keys collide, keeps the record text instead and every target parses its own records.
 """
@@ -15,9 +8,8 @@ one whose keys collide, keeps the record text instead and every target parses it
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,26 +18,28 @@ from logweir.config import IngestConfig
 from logweir.functions.records import EVENT_KEY, QUARANTINED, ROUTED, UNROUTED
 from logweir.operators import routing, schema, status
 from logweir.operators.catalog import OUTER, PROPERTY
-from logweir.operators.projection import preview_text, project, project_parsed, record_schema
-from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, rejected, write_side
+from logweir.operators.history import SchemaHistory
+from logweir.operators.projection import project, project_parsed, record_schema
+from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, preview
+from logweir.plans.sorting import COPY, count, side_outputs, sorted_batch
 from logweir.sinks.tables import TableSink
-from logweir.sinks.workdir import shared_folder
 from logweir.sources.catalog import EventCatalog
 
-# Row groups small enough that also a single file of a hot event is read by several tasks.
-STAGE_OPTIONS = {"partitionOverwriteMode": "static", "parquet.block.size": str(16 * 1024 * 1024)}
-
 
 def route_batch(
     batch: Batch, catalog: EventCatalog, sink: TableSink, config: IngestConfig, log=print
 ) -> BatchReport:
     if batch.df.isEmpty():
         return finish(batch, BatchReport(batch.batch_id), config)
-    with materialised(batch, catalog, config) as tagged:
-        counts = {(r.outcome, r.event): r.n for r in _counts(tagged).collect()}
-        rows = {event: n for (outcome, event), n in counts.items() if outcome == ROUTED}
+    preview(batch.df, "source", config, log)
+    with sorted_batch(tag_batch(batch.df, catalog, config), batch, config) as tagged:
+        counts = count(tagged)
+        rows = counts.rows
         routed = tagged.where(F.col("outcome") == ROUTED)
         present = _present(routed, config)
+        if config.schema_location:
+            history = SchemaHistory(batch.df.sparkSession, config.schema_location)
+            history.record(routed.select("event", "value"), batch.source_id, batch.batch_id)
 
         def write(event: str) -> TableStatus:
             fields = catalog.fields[event]
@@ -55,10 +49,11 @@ def route_batch(
                 return TableStatus(event, status.NO_DATA)
             try:
                 mine = routed.where(F.col("event") == event)
+                if "record" in mine.columns:
+                    preview(mine.select("record.*"), f"records of {event}", config, log)
                 read = project_parsed if "record" in mine.columns else project
                 typed = read(mine, fields, config.cast_rules, present and present.get(event, ()))
-                if config.preview:
-                    log(f"table {event}:\n{preview_text(typed)}")
+                preview(typed, f"table {event}", config, log)
                 sink.append(typed, event, batch.source_id, batch.batch_id)
             except Exception as err:
                 return TableStatus(event, status.ERROR, str(err), rows[event])
@@ -66,14 +61,9 @@ def route_batch(
 
         tables = _concurrently(write, catalog.event_names, batch.df.sparkSession, config.max_concurrent_writes)
         report = BatchReport(
-            batch.batch_id,
-            tuple(tables),
-            total=sum(counts.values()),
-            routed=sum(rows.values()),
-            unrouted=counts.get((UNROUTED, None), 0),
-            quarantined=counts.get((QUARANTINED, None), 0),
+            batch.batch_id, tuple(tables), counts.total, sum(rows.values()), counts.unrouted, counts.quarantined
         )
-        _side_outputs(batch, tagged, report, config)
+        side_outputs(batch, tagged, report, _reasons(report, config), config)
     return finish(batch, report, config)
 
 
@@ -98,23 +88,27 @@ def tag_batch(df: DataFrame, catalog: EventCatalog, config: IngestConfig) -> Dat
     mode = "each" if config.routing_mode == "regex" else config.routing_mode
     tagged = routing.sort_out(df.select("value"), names, mode, parsed)
     routed = F.col("outcome") == ROUTED
-    event = F.when(routed, F.col("event"))
+    events = [F.when(routed, F.col("event")).alias("event")]
     if config.routing_mode == "regex":
-        event = F.explode_outer(routing.text_events(names))
-    return tagged.select(
+        events = [F.posexplode_outer(routing.text_events(names)).alias(COPY, "event")]
+    sorted_out = tagged.select(
         *([] if parsed is None else [F.when(routed, F.col("record")).alias("record")]),
         F.col("value"),
         "reason",
         "outcome",
-        event.alias("event"),
-    ).withColumn("value", F.when(_text_is_needed(parsed, catalog, config), F.col("value")))
+        *events,
+    )
+    needed = F.when(_text_is_needed(parsed, catalog, config), F.col("value"))
+    if config.routing_mode == "regex":
+        sorted_out = sorted_out.withColumn(COPY, F.coalesce(COPY, F.lit(0)))
+    return sorted_out.withColumn("value", needed)
 
 
 def _text_is_needed(parsed: T.StructType | None, catalog: EventCatalog, config: IngestConfig) -> Column:
     """Whether the raw text of a sorted record goes to a table, to the quarantine or to the unrouted output."""
     outcome = F.col("outcome")
     needed = F.lit(False)
-    if parsed is None or config.on_error == "quarantine":
+    if parsed is None or config.on_error == "quarantine" or config.schema_location:
         needed = needed | (outcome == ROUTED)
     if config.unrouted_location:
         needed = needed | (outcome == UNROUTED)
@@ -124,31 +118,6 @@ def _text_is_needed(parsed: T.StructType | None, catalog: EventCatalog, config:
     return needed
 
 
-@contextmanager
-def materialised(batch: Batch, catalog: EventCatalog, config: IngestConfig):
-    tagged = tag_batch(batch.df, catalog, config)
-    if config.fanout == "cached":
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            yield tagged
-        finally:
-            tagged.unpersist()
-    else:
-        yield stage_tagged(tagged, f"{shared_folder(batch.df.sparkSession)}/logweir/{batch.source_id}/tagged")
-
-
-def stage_tagged(tagged: DataFrame, path: str) -> DataFrame:
-    """Write the tagged batch partitioned by target; each batch of a stream replaces the one before it."""
-    balanced = tagged.hint("rebalance", "outcome", "event")
-    balanced.write.mode("overwrite").options(**STAGE_OPTIONS).partitionBy("outcome", "event").parquet(path)
-    return tagged.sparkSession.read.schema(tagged.schema).parquet(path)
-
-
-def _counts(tagged: DataFrame) -> DataFrame:
-    """At most one row per catalog event and outcome; on staged files only partition values are read."""
-    return tagged.groupBy("outcome", "event").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _present(routed: DataFrame, config: IngestConfig) -> dict[str, set[str]] | None:
     if config.missing_outer == "null":
         return None
@@ -161,18 +130,9 @@ def _concurrently(write, events, spark, max_workers: int) -> list[TableStatus]:
         return list(pool.map(inheritable_thread_target(spark)(write), events))
 
 
-def _side_outputs(batch: Batch, tagged: DataFrame, report: BatchReport, config: IngestConfig) -> None:
-    if config.unrouted_location and report.unrouted:
-        write_side(tagged.where(F.col("outcome") == UNROUTED).select("value"), config.unrouted_location, batch)
-    if not config.quarantine_location:
-        return
-    bare = [t.table_name for t in report.tables if t.status == status.NO_FIELDS and t.row_count]
-    reasons = dict.fromkeys(bare, "event has no fields")
+def _reasons(report: BatchReport, config: IngestConfig) -> dict[str, str]:
+    """Why records of an event reached no table."""
+    reasons = {t.table_name: "event has no fields" for t in report.tables if t.status == status.NO_FIELDS and t.row_count}
     if config.on_error == "quarantine":
-        reasons.update({t.table_name: f"write failed: {t.exception}" for t in report.failed})
-    bad = tagged.where(F.col("outcome") == QUARANTINED).select("value", "reason")
-    if reasons:
-        bad = bad.unionByName(rejected(tagged.where(F.col("outcome") == ROUTED), reasons))
-    elif not report.quarantined:
-        return
-    write_side(bad, config.quarantine_location, batch)
+        reasons |= {t.table_name: f"write failed: {t.exception}" for t in report.failed}
+    return reasons

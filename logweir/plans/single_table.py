@@ -1,7 +1,9 @@
 """Single-table plan: a list of events that share one field list goes into one configured table.
 
-All events have the same columns, so one parse per record gives the route, the verdict and the typed row. The
-batch is read once, nothing is cached or shuffled, and the counts are observed while the table is written.
+All events have the same columns, so one parse per record gives the route, the verdict and the typed row. Without other
+outputs the batch is read once, nothing is cached or shuffled, and the counts are observed while the table is written.
+With other outputs the batch is sorted first (``sorting``), so that each of them reads its own records and the source is
+still read and parsed once.
 """
 
 from __future__ import annotations
@@ -14,10 +16,14 @@ from pyspark.sql import functions as F
 from logweir.config import IngestConfig
 from logweir.functions import records
 from logweir.operators import routing, schema, status
-from logweir.operators.projection import FieldSpec, preview_text, project, project_parsed, record_schema
-from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, write_side
+from logweir.operators.history import SchemaHistory
+from logweir.operators.projection import FieldSpec, project_parsed, record_schema
+from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, preview
+from logweir.plans.sorting import count, side_outputs, sorted_batch
 from logweir.sinks.tables import TableSink, identifier
 
+OUTCOMES = (records.ROUTED, records.UNROUTED, records.QUARANTINED)
+
 
 def single_table_batch(
     batch: Batch,
@@ -32,55 +38,82 @@ def single_table_batch(
         return finish(batch, BatchReport(batch.batch_id, (TableStatus(table, status.NO_DATA),)), config)
     if not fields:
         return finish(batch, BatchReport(batch.batch_id, (TableStatus(table, status.NO_FIELDS),)), config)
+    preview(batch.df, "source", config, log)
     ready = routing.sort_out(batch.df.select("value"), names, config.routing_mode, record_schema(fields))
-    seen = Observation()
-    outcomes = (records.ROUTED, records.UNROUTED, records.QUARANTINED)
-    watched = ready.observe(seen, *[F.count_if(F.col("outcome") == name).alias(name) for name in outcomes])
-    routed = watched.where(F.col("outcome") == records.ROUTED)
-    try:
-        typed = project_parsed(routed, fields, config.cast_rules, _present(batch.df, names, config))
-        if config.preview:
-            shown = project(routing.route(batch.df, names, config.routing_mode), fields, config.cast_rules)
-            log(f"table {table}:\n{preview_text(shown)}")
-        sink.append(typed, table, batch.source_id, batch.batch_id)
-        counts = seen.get
-        state = status.FINISHED if counts[records.ROUTED] else status.NO_DATA
-        result = TableStatus(table, state, row_count=counts[records.ROUTED])
-    except Exception as err:
-        tally = ready.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect() if _quarantines(config) else []
-        counts = {**dict.fromkeys(outcomes, 0), **{row.outcome: row.n for row in tally}}
-        result = TableStatus(table, status.ERROR, str(err), counts[records.ROUTED])
-    report = BatchReport(batch.batch_id, (result,), sum(counts.values()), **counts)
-    _side_outputs(batch, names, report, config)
+
+    def write(routed: DataFrame, present: set[str] | None) -> str | None:
+        """The error, if the table could not be written."""
+        try:
+            preview(routed.select("record.*"), f"records of {table}", config, log)
+            typed = project_parsed(routed, fields, config.cast_rules, present)
+            preview(typed, f"table {table}", config, log)
+            sink.append(typed, table, batch.source_id, batch.batch_id)
+        except Exception as err:
+            return str(err)
+        return None
+
+    report = _sorted(batch, table, ready, write, config) if _has_other_outputs(config) else _direct(batch, table, ready, write)
     return finish(batch, report, config)
 
 
-def _quarantines(config: IngestConfig) -> bool:
-    return config.on_error == "quarantine"
+def _has_other_outputs(config: IngestConfig) -> bool:
+    more = config.unrouted_location or config.quarantine_location or config.schema_location
+    return bool(more) or config.missing_outer == "drop"
 
 
-def _present(df: DataFrame, names: Sequence[str], config: IngestConfig) -> set[str] | None:
-    if config.missing_outer == "null":
-        return None
-    routed = routing.route(df, names, config.routing_mode).select("value", F.lit("*").alias("event"))
-    found = schema.collect_schemas(routed)
-    return set(found["*"].names) if found else set()
+def _direct(batch: Batch, table: str, ready: DataFrame, write) -> BatchReport:
+    """No shuffle lies between the source and the table, so every task's counts are taken once."""
+    seen = Observation()
+    watched = ready.observe(seen, *[F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES])
+    error = write(watched.where(F.col("outcome") == records.ROUTED), None)
+    if error is not None:
+        return BatchReport(batch.batch_id, (TableStatus(table, status.ERROR, error),))
+    counts = seen.get
+    state = status.FINISHED if counts[records.ROUTED] else status.NO_DATA
+    done = TableStatus(table, state, row_count=counts[records.ROUTED])
+    return BatchReport(batch.batch_id, (done,), sum(counts.values()), **counts)
+
+
+def _sorted(batch: Batch, table: str, ready: DataFrame, write, config: IngestConfig) -> BatchReport:
+    outcome = F.col("outcome")
+    kept = ready.select(
+        F.when(outcome == records.ROUTED, F.col("record")).alias("record"),
+        F.when(_text_is_needed(config), F.col("value")).alias("value"),
+        "reason",
+        "outcome",
+        F.when(outcome == records.ROUTED, F.lit(table)).alias("event"),
+        F.when(outcome == records.ROUTED, F.col("event")).alias("name"),
+    )
+    with sorted_batch(kept, batch, config) as tagged:
+        counts = count(tagged)
+        routed = tagged.where(outcome == records.ROUTED)
+        rows = counts.rows.get(table, 0)
+        error = write(routed, _present(routed, config))
+        if config.schema_location:
+            history = SchemaHistory(batch.df.sparkSession, config.schema_location)
+            named = routed.select(F.coalesce("name", F.lit(table)).alias("event"), "value")
+            history.record(named, batch.source_id, batch.batch_id)
+        state = status.ERROR if error is not None else status.FINISHED if rows else status.NO_DATA
+        done = TableStatus(table, state, error, rows)
+        report = BatchReport(batch.batch_id, (done,), counts.total, rows, counts.unrouted, counts.quarantined)
+        reasons = {table: f"write failed: {error}"} if error is not None and config.on_error == "quarantine" else {}
+        side_outputs(batch, tagged, report, reasons, config)
+    return report
 
 
-def _side_outputs(batch: Batch, names: Sequence[str], report: BatchReport, config: IngestConfig) -> None:
-    """A second read of the batch, only if there is something to write."""
+def _text_is_needed(config: IngestConfig):
+    outcome = F.col("outcome")
+    needed = F.lit(config.on_error == "quarantine" or config.missing_outer == "drop" or bool(config.schema_location))
+    needed = needed & (outcome == records.ROUTED)
+    if config.unrouted_location:
+        needed = needed | (outcome == records.UNROUTED)
+    if config.quarantine_location:
+        needed = needed | (outcome == records.QUARANTINED)
+    return needed
 
-    def having(outcome: str) -> DataFrame:
-        return routing.having(batch.df.select("value"), names, outcome, config.routing_mode)
 
-    if config.unrouted_location and report.unrouted:
-        write_side(having(records.UNROUTED).select("value"), config.unrouted_location, batch)
-    if not config.quarantine_location:
-        return
-    bad = having(records.QUARANTINED).select("value", "reason")
-    if report.failed and _quarantines(config):
-        reason = F.lit(f"write failed: {report.failed[0].exception}")
-        bad = bad.unionByName(having(records.ROUTED).select("value", reason.alias("reason")))
-    elif not report.quarantined:
-        return
-    write_side(bad, config.quarantine_location, batch)
+def _present(routed: DataFrame, config: IngestConfig) -> set[str] | None:
+    if config.missing_outer == "null":
+        return None
+    found = schema.collect_schemas(routed.select("value", F.lit("*").alias("event")))
+    return set(found["*"].names) if found else set()

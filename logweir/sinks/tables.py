@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from logweir.config import unquote
 from logweir.sinks.staging import read_staged, stage
+from logweir.sinks.workdir import empty_folder
 
 BATCH_COLUMNS = ("source_id", "batch_id")
 
@@ -98,17 +99,25 @@ class MetastoreSink:
 
 @dataclass(frozen=True)
 class StagedSink:
-    """Stage the typed rows as text files first, then load the target table from exactly those files."""
+    """Stage the typed rows as text files first, then load the target table from exactly those files.
+
+    The files are emptied once they are loaded, or if loading fails, unless ``keep`` says otherwise.
+    """
 
     target: ParquetSink
     staging_root: str
     staging_format: str = "JSON"
+    keep: bool = False
 
     def append(self, df: DataFrame, table: str, source_id: str, batch_id: int) -> None:
         path = f"{self.staging_root}/{identifier(table)}/source_id={source_id}/batch_id={batch_id}"
-        stage(df, path, self.staging_format)
-        staged = read_staged(df.sparkSession, path, df.schema, self.staging_format)
-        self.target.append(staged, table, source_id, batch_id)
+        try:
+            stage(df, path, self.staging_format)
+            staged = read_staged(df.sparkSession, path, df.schema, self.staging_format)
+            self.target.append(staged, table, source_id, batch_id)
+        finally:
+            if not self.keep:
+                empty_folder(df.sparkSession, path)
 
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
         return self.target.read(spark, table, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logweir.config import IngestConfig
 from logweir.operators import status
 from logweir.operators.projection import CastRules, fields_from_specs
-from logweir.plans import router
+from logweir.plans import router, sorting
 from logweir.plans.batch import Batch, BatchFailed
 from logweir.plans.router import route_batch
 from logweir.plans.single_table import single_table_batch
@@ -213,7 +213,10 @@ def test_preview_is_logged_on_request(texts, folder):
     route_batch(batch(texts(*VALUES)), CATALOG, ParquetSink(folder), config(folder, preview=True), lines.append)
     settings = config(folder, target_table="t", preview=True)
     single_table_batch(batch(texts(*VALUES)), ["click"], SPECS, ParquetSink(folder), settings, lines.append)
-    assert len(lines) == 3 and all("asn: integer" in line for line in lines)
+    tables = [line for line in lines if line.startswith("table ")]
+    assert len(tables) == 3 and all("asn: integer" in line and '"name":"asn"' in line for line in tables)
+    assert [line.split(":")[0] for line in lines if line.startswith("source")] == ["source", "source"]
+    assert sum(line.startswith("records of ") for line in lines) == 3
 
 
 @pytest.mark.parametrize("staging_format", ["CSV", "CSV GZIP", "JSON", "JSON GZIP"])
@@ -239,7 +242,7 @@ def test_hot_event_is_split_and_small_events_are_not(spark, folder):
                      F.lit('"}}')).alias("value")
         )
         tagged = router.tag_batch(hot, CATALOG, config(folder))
-        staged = router.stage_tagged(tagged, f"{folder}/tagged")
+        staged = sorting.stage_tagged(tagged, f"{folder}/tagged")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     placed = staged.withColumn("file", F.input_file_name())
@@ -250,7 +253,7 @@ def test_hot_event_is_split_and_small_events_are_not(spark, folder):
 
 
 def test_target_reads_only_its_partition_and_fields(spark, folder):
-    staged = router.stage_tagged(
+    staged = sorting.stage_tagged(
         router.tag_batch(records(spark, SF_DIR), route_catalog(spark), config(folder)), f"{folder}/tagged"
     )
     mine = staged.where((F.col("outcome") == "routed") & (F.col("event") == "click")).select("record.asn")
@@ -290,3 +293,82 @@ def test_rules_reach_the_tables(spark, texts, folder):
     df = texts('{"event":"click","asn":"7.9","properties_raw":{"k":"123456789"}}')
     run(df, folder, cast_rules=CastRules(cast_mode="legacy"))
     assert rows(ParquetSink(folder).read(spark, "click")) == [(7, "12345678")]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_source_is_read_and_parsed_once(spark, folder, monkeypatch):
+    """Tables, counts, side outputs and statuses all come from one sorted batch."""
+    sorted_frames = []
+    inner = sorting.stage_tagged
+
+    def watched(tagged, path):
+        sorted_frames.append(plan_of(tagged))
+        return inner(tagged, path)
+
+    monkeypatch.setattr(sorting, "stage_tagged", watched)
+    everything = {"quarantine_location": f"{folder}/bad", "unrouted_location": f"{folder}/rest", "schema_location": f"{folder}/schemas"}
+    source = records(spark, SF_DIR).select("value")
+    for mode in ("exact", "regex"):
+        run(source, f"{folder}/{mode}", route_catalog(spark), routing_mode=mode, **everything)
+    single(source, folder, **everything)
+    assert len(sorted_frames) == 3
+    for plan in sorted_frames:
+        assert plan.count("from_json") == 1 and plan.count("FileScan") == 1
+
+
+def test_counting_routes_parses_each_record_once(spark):
+    from logweir.operators import routing
+    from logweir.registry.inputs import routes
+
+    counted = status.route_counts(routing.tag(records(spark, SF_DIR)), routes(spark))
+    assert plan_of(counted).count("from_json") == 1
+
+
+def test_total_counts_records_under_textual_routing(spark, texts, folder):
+    both = '{"p":{"event":"view"},"event":"click","asn":5}'
+    report = run(texts(both, both, VALUES[2], VALUES[3], VALUES[4]), folder, routing_mode="regex")
+    assert (report.total, report.routed, report.unrouted, report.quarantined) == (5, 6, 1, 0)
+    assert {t.table_name: t.row_count for t in report.tables} == {"click": 3, "view": 3, "ghost": 0, "refund": 0}
+
+
+@pytest.mark.parametrize("policy", ["fail", "quarantine"])
+def test_no_record_text_stays_in_the_shared_folder(spark, texts, folder, policy):
+    one = batch(texts(*VALUES))
+    settings = config(folder, on_error=policy, quarantine_location=f"{folder}/bad")
+    sink = StagedSink(FailsFor(ParquetSink(folder), "view"), f"{folder}/staging", "JSON")
+    try:
+        route_batch(one, CATALOG, sink, settings, quiet)
+    except BatchFailed:
+        assert policy == "fail"
+    for left in (f"{sorting.shared_folder(spark)}/logweir/{one.source_id}/tagged", f"{folder}/staging/click", f"{folder}/staging/view"):
+        assert spark.read.option("recursiveFileLookup", True).parquet(left).count() == 0
+
+
+def test_schema_history_of_both_jobs(spark, texts, folder):
+    from logweir.operators.history import SchemaHistory
+
+    for batch_id, more in enumerate(('"x":1', '"X":1.5')):
+        values = [f'{{"event":"click","asn":1,{more}}}', f'{{"event":"view","asn":2,{more}}}', VALUES[3], VALUES[4]]
+        one = Batch(texts(*values), batch_id, "s")
+        route_batch(one, CATALOG, ParquetSink(folder), config(folder, schema_location=f"{folder}/router"), quiet)
+        settings = config(folder, schema_location=f"{folder}/single", target_table="t")
+        single_table_batch(one, ["click"], SPECS, ParquetSink(folder), settings, quiet)
+    seen = {
+        job: {(r.event, r.path, r.type, tuple(r.spellings)) for r in SchemaHistory(spark, f"{folder}/{job}").schemas("s").collect()}
+        for job in ("router", "single")
+    }
+    click = {("click", "asn", "bigint", ("asn",)), ("click", "event", "string", ("event",)), ("click", "x", "decimal(20,1)", ("X", "x"))}
+    assert seen["single"] == click
+    assert seen["router"] == click | {("view", *rest) for _, *rest in click}
+
+
+def test_many_failed_tables_make_a_short_plan(spark, texts):
+    from logweir.plans.batch import rejected
+
+    bad = texts("a", "b").withColumn("event", F.col("value"))
+    some = rejected(bad, {f"e{i}": "x" for i in range(2000)} | {"b": "why"})
+    assert rows(some) == [("b", "why")]
+    assert len(plan_of(some)) < 3000
