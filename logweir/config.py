@@ -36,8 +36,10 @@ class IngestConfig:
     stream_options: Mapping[str, str] = field(default_factory=dict, repr=False)
     stream_schema: str | None = None
     stream_path: str | None = None
-    starting_offsets: str = "latest"
+    starting_offsets: str | None = None
+    record_time: str | None = None
     max_offsets_per_trigger: int | None = None
+    record_bytes: int | None = None
     consumer_group: str | None = None
     kafka_broker: str | None = None
     topic: str | None = None
@@ -108,7 +110,9 @@ def _one_of(name: str, value: str, allowed: tuple[str, ...]) -> None:
 
 def _like(default, text: str):
     """Property text as the type of the field's default."""
-    return text.lower() == "true" if isinstance(default, bool) else text
+    if isinstance(default, bool):
+        return text.lower() == "true"
+    return int(text) if text.isdigit() and not isinstance(default, str) else text
 
 
 def unquote(text: str) -> str:

@@ -33,23 +33,6 @@ def route_counts(tagged: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def status_report(counts: DataFrame, field_counts: DataFrame, batch_id: int) -> DataFrame:
-    """Expected status of every catalog event in a batch, from its rows and its declared fields."""
-    declared = field_counts.select("event_name", "field_count")
-    state = (
-        F.when(F.coalesce("field_count", F.lit(0)) == 0, F.lit(NO_FIELDS))
-        .when(F.col("row_count") == 0, F.lit(NO_DATA))
-        .otherwise(F.lit(FINISHED))
-    )
-    return counts.join(declared, "event_name", "left").select(
-        F.col("event_name").alias("table_name"),
-        state.alias("status"),
-        F.lit(None).cast("string").alias("exception"),
-        "row_count",
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-
-
 def status_frame(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), STATUS_DDL)
 

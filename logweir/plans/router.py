@@ -126,8 +126,13 @@ def _present(routed: DataFrame, config: IngestConfig) -> dict[str, set[str]] | N
 
 def _concurrently(write, events, spark, max_workers: int) -> list[TableStatus]:
     """All tables run to their end, also when one fails; job properties of the stream reach the worker threads."""
+
+    def in_session(event: str) -> TableStatus:
+        spark.createDataFrame([], "x int")  # makes the session this thread's active one: Python data sources are looked up there
+        return write(event)
+
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(write), events))
+        return list(pool.map(inheritable_thread_target(spark)(in_session), events))
 
 
 def _reasons(report: BatchReport, config: IngestConfig) -> dict[str, str]:

@@ -1,10 +1,15 @@
 """Batch counts and statuses."""
 
-from pyspark.sql import functions as F
+import uuid
 
 from logweir.operators import routing, status
+from logweir.plans.batch import Batch
+from logweir.plans.router import route_batch
 from logweir.registry import register
-from logweir.registry.inputs import ROUTES_SQL, records, route_fields, routes
+from logweir.registry.inputs import ROUTES_SQL, records, route_catalog, routes
+from logweir.registry.sinks import config, quiet
+from logweir.sinks.tables import ParquetSink
+from logweir.sinks.workdir import new_folder
 
 COUNTS_SQL = f"""
 select r.event_name, count(e.event_id) as row_count
@@ -23,9 +28,10 @@ def _counts(spark, sf_dir):
 
 
 def _report(spark, sf_dir):
-    counted = route_fields(spark).groupBy(F.col("event_id").alias("id")).agg(F.count(F.lit(1)).alias("field_count"))
-    declared = routes(spark).join(counted, "id", "left")
-    return status.status_report(_counts(spark, sf_dir), declared, batch_id=0)
+    """What the router itself reports for a batch of all records."""
+    folder = new_folder(spark, "status")
+    batch = Batch(records(spark, sf_dir).select("value"), 0, uuid.uuid4().hex)
+    return route_batch(batch, route_catalog(spark), ParquetSink(folder), config(folder), quiet).frame(spark)
 
 
 @register("select count(*) as row_count from events")

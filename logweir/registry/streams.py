@@ -1,5 +1,7 @@
 """Streaming jobs driven to their end over files, then read back."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from logweir.operators import projection
@@ -113,3 +115,21 @@ def stream_replay(spark, sf_dir):
             raise
     run_router(spark, settings, catalog, sink).awaitTermination()
     return all_tables(spark, sink)
+
+
+START = "2024-01-15 00:00:00"
+
+
+@register(f"{TABLES_SQL} where ts >= timestamp '{START}'")
+def stream_from_timestamp(spark, sf_dir):
+    """A file stream that begins at a record time, by the job's own setting."""
+    folder = new_folder(spark, "stream-start")
+    records(spark, sf_dir).select("event_id", "ts", "value").write.parquet(f"{folder}/input")
+    milliseconds = 1_705_276_800_000  # START in UTC
+    settings = replace(
+        _files_config(folder), stream_schema="event_id bigint, ts timestamp_ntz, value string",
+        starting_offsets=str(milliseconds), record_time="cast(ts as timestamp)",
+    )
+    sink = ParquetSink(folder)
+    run_router(spark, settings, route_catalog(spark), sink).awaitTermination()
+    return all_tables(spark, sink)

@@ -257,3 +257,46 @@ def test_job_looks_at_the_catalog_again(spark, folder, properties):
     assert asns(spark, folder, "else") == [7] and asns(spark, folder, "click") == [1, 8]
     versions = spark.read.json(f"{folder}/checkpoint-catalog/versions/*")
     assert versions.select("event").distinct().count() == 3
+
+
+def test_start_position_and_cap_of_file_sources(spark, folder):
+    from dataclasses import replace
+
+    from logweir.sources.stream import admission, read_stream
+
+    base = settings(folder)
+    assert admission(base) is None and admission(replace(base, starting_offsets="earliest")) is None
+    with pytest.raises(ValueError, match="latest"):
+        admission(replace(base, starting_offsets="latest"))
+    with pytest.raises(ValueError, match="record_time"):
+        admission(replace(base, stream_format="rate", starting_offsets="1"))
+    with pytest.warns(UserWarning, match="record_bytes"):
+        stream_options(replace(base, stream_options={}, max_offsets_per_trigger=10))
+    capped = stream_options(replace(base, stream_options={}, max_offsets_per_trigger=10, record_bytes=100))
+    assert capped == {"maxBytesPerTrigger": "1000"}
+    feed(spark, folder, value("click", 1))
+    assert read_stream(spark, replace(base, starting_offsets="1")).columns == ["value"]
+
+
+def test_files_before_the_start_are_not_admitted(spark, folder):
+    from dataclasses import replace
+
+    feed(spark, folder, value("click", 1))
+    time.sleep(1.1)
+    start = int(time.time() * 1000)
+    time.sleep(1.1)
+    feed(spark, folder, value("click", 2))
+    config = replace(settings(folder), starting_offsets=str(start))
+    finish(run_router(spark, config, CATALOG, ParquetSink(folder)))
+    assert asns(spark, folder, "click") == [2]
+
+
+def test_row_budget_by_bytes(spark, folder):
+    from dataclasses import replace
+
+    for part in range(4):
+        feed(spark, folder, *[value("click", 10 * part + i) for i in range(5)])
+    reports = []
+    config = replace(settings(folder), stream_options={}, max_offsets_per_trigger=10, record_bytes=80)
+    finish(run_router(spark, config, CATALOG, ParquetSink(folder), reports.append))
+    assert sum(r.total for r in reports) == 20 and max(r.total for r in reports) <= 10 and len(reports) >= 2
