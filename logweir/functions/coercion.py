@@ -43,6 +43,18 @@ def coerce(text: Column, declared: DeclaredType, cast_mode: str = "try", width_u
     return text.try_cast(target)
 
 
+def is_exact(declared: DeclaredType) -> bool:
+    """Whether the text of a value is not enough: it would lose digits, or the kind of value."""
+    return isinstance(declared.data_type, (T.VariantType, T.DecimalType))
+
+
+def coerce_exact(value: Column, declared: DeclaredType) -> Column:
+    """A variant as the declared type; a JSON null is NULL, and a text stays a text in a variant column."""
+    if isinstance(declared.data_type, T.VariantType):
+        return F.when(~F.is_variant_null(value), value)
+    return F.try_variant_get(value, "$", declared.spark_ddl)
+
+
 def integral(text: Column, ddl: str, cast_mode: str = "try") -> Column:
     """Whole numbers. ``3``, ``3.0`` and ``3e0`` all give 3; ``12.7`` gives NULL, or 12 in legacy mode.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,17 +19,26 @@ UNROUTED = "unrouted"
 QUARANTINED = "quarantined"
 
 
-def record_type(outer: Iterable[str] = (), properties: Iterable[str] = ()) -> T.StructType:
+def record_type(
+    outer: Iterable[str] = (),
+    properties: Iterable[str] = (),
+    exact_outer: Collection[str] = (),
+    exact_properties: Collection[str] = (),
+) -> T.StructType:
     """Parse schema with every leaf as text: no inference, and no value lost to a wrong guess.
 
-    With no names given only the event key is read; the parser skips over everything else.
+    Exact keys are read as variants, which keep every digit of a number and tell a text from what it spells; the event key
+    never is. With no names given only the event key is read; the parser skips over everything else.
     """
-    names = dict.fromkeys([EVENT_KEY, *outer])
-    fields = [T.StructField(name, T.StringType()) for name in names]
+
+    def leaf(name: str, exact: Collection[str]) -> T.StructField:
+        return T.StructField(name, T.VariantType() if name in exact else T.StringType())
+
+    event, *others = dict.fromkeys([EVENT_KEY, *outer])
+    fields = [T.StructField(event, T.StringType()), *(leaf(name, exact_outer) for name in others)]
     props = dict.fromkeys(properties)
     if props:
-        inner = T.StructType([T.StructField(name, T.StringType()) for name in props])
-        fields.append(T.StructField(PROPERTIES_KEY, inner))
+        fields.append(T.StructField(PROPERTIES_KEY, T.StructType([leaf(name, exact_properties) for name in props])))
     fields.append(T.StructField(UNREADABLE, T.StringType()))
     return T.StructType(fields)
 

@@ -28,6 +28,11 @@ class FieldSpec:
     def key(self) -> str:
         return self.source_key or self.name
 
+    @property
+    def place(self) -> tuple[str, str]:
+        """Where the value is in a record."""
+        return self.scope, self.key
+
 
 @dataclass(frozen=True)
 class CastRules:
@@ -49,10 +54,19 @@ def fields_from_specs(specs: Sequence[str], delimiter: str = DELIMITER) -> tuple
     return tuple(seen.values())
 
 
+def exact_places(fields: Sequence[FieldSpec]) -> frozenset[tuple[str, str]]:
+    """Where values are read as variants: all fields that read the place need more than its text."""
+    text = {f.place for f in fields if not coercion.is_exact(declared_type(f.type_text))} | {(OUTER, records.EVENT_KEY)}
+    return frozenset(f.place for f in fields) - text
+
+
 def record_schema(fields: Sequence[FieldSpec]) -> T.StructType:
+    exact = exact_places(fields)
     return records.record_type(
         outer=[f.key for f in fields if f.scope == OUTER],
         properties=[f.key for f in fields if f.scope == PROPERTY],
+        exact_outer=[key for scope, key in exact if scope == OUTER],
+        exact_properties=[key for scope, key in exact if scope == PROPERTY],
     )
 
 
@@ -66,18 +80,22 @@ def outer_columns(
 ) -> list[Column]:
     """Outer fields as typed columns. With ``present`` given, fields not in it are left out; else they are NULL."""
     chosen = [f for f in fields if f.scope == OUTER and (present is None or f.key in present)]
-    return [_typed(record.getField(f.key), f, rules) for f in chosen]
+    exact = exact_places(fields)
+    return [_typed(record.getField(f.key), f, rules, exact) for f in chosen]
 
 
 def property_columns(record: Column, fields: Sequence[FieldSpec], rules: CastRules = CastRules()) -> list[Column]:
     """Properties as typed columns; an absent property, or no property object at all, gives typed NULLs."""
     props = record.getField(records.PROPERTIES_KEY)
-    return [_typed(props.getField(f.key), f, rules) for f in fields if f.scope == PROPERTY]
+    exact = exact_places(fields)
+    return [_typed(props.getField(f.key), f, rules, exact) for f in fields if f.scope == PROPERTY]
 
 
-def _typed(text: Column, field: FieldSpec, rules: CastRules) -> Column:
+def _typed(value: Column, field: FieldSpec, rules: CastRules, exact: Collection[tuple[str, str]]) -> Column:
     declared = declared_type(field.type_text)
-    return coercion.coerce(text, declared, rules.cast_mode, rules.width_unit).alias(field.name)
+    if field.place in exact:
+        return coercion.coerce_exact(value, declared).alias(field.name)
+    return coercion.coerce(value, declared, rules.cast_mode, rules.width_unit).alias(field.name)
 
 
 def project(

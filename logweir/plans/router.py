@@ -1,8 +1,9 @@
 """Router plan: one target table per event name.
 
 The batch is sorted once (``sorting``), and then every target reads only its own records, however many targets there are.
-What is kept of a routed record is its parsed fields, so that the targets only cast. A catalog too wide for that, or
-one whose keys collide, keeps the record text instead and every target parses its own records.
+What is kept of a routed record is its parsed fields, so that the targets only cast. A catalog whose keys collide, or are
+wanted as texts by one event and as exact values by another, keeps the record text instead and every target parses its own
+records.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from logweir.functions.records import EVENT_KEY, QUARANTINED, ROUTED, UNROUTED
 from logweir.operators import routing, schema, status
 from logweir.operators.catalog import OUTER, PROPERTY
 from logweir.operators.history import SchemaHistory
-from logweir.operators.projection import project, project_parsed, record_schema
+from logweir.operators.projection import exact_places, project, project_parsed, record_schema
 from logweir.plans.batch import Batch, BatchReport, TableStatus, finish, preview
 from logweir.plans.sorting import COPY, count, side_outputs, sorted_batch
 from logweir.sinks.tables import TableSink
@@ -73,7 +74,9 @@ def parsed_schema(catalog: EventCatalog, config: IngestConfig) -> T.StructType |
     outer = {f.key for f in fields if f.scope == OUTER} | {EVENT_KEY}
     properties = {f.key for f in fields if f.scope == PROPERTY}
     collide = any(len({key.lower() for key in keys}) < len(keys) for keys in (outer, properties))
-    if collide or config.missing_outer == "drop":
+    exact = exact_places(fields)
+    differ = any(exact_places(declared) != exact & {f.place for f in declared} for declared in catalog.fields.values())
+    if collide or differ or config.missing_outer == "drop":
         return None
     return record_schema(fields)
 

@@ -182,3 +182,47 @@ def auto_date(spark, sf_dir):
 )
 def preview_rows(spark, sf_dir):
     return projection.preview_rows(records(spark, sf_dir).select("event_id", "event_type", "value"), ["event_id"])
+
+
+# Numbers of 38 digits, and values of every JSON kind under one key.
+EXACT_SQL = """
+select event_id, cast('1' || lpad(cast(event_id as varchar), 7, '0') || '98765432109876543210.0123456789' as decimal(38,10)) as amount,
+  case event_type when 'click' then '{"k":' || k || ',"list":[1,"1",null]}' when 'view' then '"' || k || '"'
+    when 'signup' then 'true' when 'error' then '0.25' end as extra
+from (select event_id, event_type, json_extract_string(props, '$.k') as k from events)
+"""
+
+
+def exact_records(spark, sf_dir):
+    k = F.get_json_object("props", "$.k")
+    extra = (
+        F.when(F.col("event_type") == "click", F.concat(F.lit('{"k":'), k, F.lit(',"list":[1,"1",null]}')))
+        .when(F.col("event_type") == "view", F.concat(F.lit('"'), k, F.lit('"')))
+        .when(F.col("event_type") == "signup", F.lit("true"))
+        .when(F.col("event_type") == "error", F.lit("0.25"))
+        .otherwise(F.lit("null"))
+    )
+    number = F.concat(F.lit("1"), F.lpad(F.col("event_id").cast("string"), 7, "0"), F.lit("98765432109876543210.0123456789"))
+    return table(spark, sf_dir, "events").select(
+        F.concat(
+            F.lit('{"event":"'), "event_type", F.lit('","event_id":'), F.col("event_id").cast("string"), F.lit(',"asn":1,'),
+            F.lit('"properties_raw":{"amount":'), number, F.lit(',"extra":'), extra, F.lit("}}"),
+        ).alias("value")
+    )
+
+
+EXACT = ("event_id:bigint", "asn:int", "amount:decimal(38,10)", "extra:super")
+
+
+@register(f"select event_id, amount from ({EXACT_SQL})")
+def project_decimal38(spark, sf_dir):
+    """Every digit of a long number arrives."""
+    typed = projection.project(exact_records(spark, sf_dir), projection.fields_from_specs(EXACT))
+    return typed.select("event_id", "amount")
+
+
+@register(f"select event_id, extra from ({EXACT_SQL})")
+def project_super(spark, sf_dir):
+    """Semi-structured values keep their kind: the text "12" is not the number 12, and a JSON null is NULL."""
+    typed = projection.project(exact_records(spark, sf_dir), projection.fields_from_specs(EXACT))
+    return typed.select("event_id", F.to_json("extra").alias("extra"))

@@ -11,10 +11,12 @@ from logweir.plans.router import route_batch
 from logweir.plans.single_table import single_table_batch
 from logweir.registry import register
 from logweir.registry.inputs import FIELDS, SEEN, TYPED_SQL, nested, records, route_catalog, table
+from logweir.registry.projections import EXACT, EXACT_SQL, exact_records
 from logweir.registry.routes import SET
 from logweir.sinks.staging import read_staged, stage
 from logweir.sinks.tables import ParquetSink, StagedSink
 from logweir.sinks.workdir import new_folder
+from logweir.sources.catalog import EventCatalog
 
 
 def quiet(_):
@@ -149,3 +151,18 @@ def stage_json_texts(spark, sf_dir):
 @register(DOCUMENTS_SQL)
 def stage_csv_texts(spark, sf_dir):
     return _round_trip(spark, table(spark, sf_dir, "documents"), "CSV")
+
+
+@register(f"select event_type as table_name, event_id, amount, extra from (select * from ({EXACT_SQL}) join events using (event_id))")
+def fanout_exact_values(spark, sf_dir):
+    """Long numbers and semi-structured values through the whole router: sorted batch, tables, and back."""
+    folder = new_folder(spark, "fanout-exact")
+    sink, fields = ParquetSink(folder), projection.fields_from_specs(EXACT)
+    catalog = EventCatalog(dict.fromkeys(SEEN, fields))
+    batch = Batch(exact_records(spark, sf_dir), 0, uuid.uuid4().hex)
+    route_batch(batch, catalog, sink, config(folder), quiet)
+    tables = [sink.read(spark, name).withColumn("table_name", F.lit(name)) for name in SEEN]
+    union = tables[0]
+    for other in tables[1:]:
+        union = union.unionByName(other)
+    return union.select("table_name", "event_id", "amount", F.to_json("extra").alias("extra"))
