@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.functions import specs
@@ -59,47 +59,50 @@ def filter_types(events: DataFrame, event_types: str | Sequence[int]) -> DataFra
     return events.where(F.col("event_type").isin(wanted) & F.col("event_name").isNotNull())
 
 
-def first_declarations(joined: DataFrame) -> DataFrame:
-    """One row per event name and field: two ids with the same name merge, the first declaration wins.
+_ENTRY = ("field_id", "field_key", "field_name", "data_type", "json_field_name")
 
-    Field names that differ only in case would collide as columns, so they count as the same field. After this
-    step a group is no larger than a table is wide.
+
+def declared_fields(joined: DataFrame) -> DataFrame:
+    """``event_name, entries``: the fields of every event name in order, each with its first declaration.
+
+    Two ids with the same name merge. Field names that differ only in case would collide as columns, so they count as
+    the same field. Equal declarations are first reduced to their least id, a number, in a hash aggregate on both
+    sides of the shuffle; what is left of an event is as large as a table is wide, and is sorted out in its array.
     """
-    declared = F.struct("field_id", "field_name", "data_type", "json_field_name")
-    return (
+    texts = ["field_name", "data_type", "json_field_name"]
+    least = (
         joined.where(F.col("field_name").isNotNull() & F.col("event_name").isNotNull())
-        .groupBy("event_name", F.lower("field_name").alias("field_key"))
-        .agg(F.min(declared).alias("first"))
-        .select("event_name", "field_key", "first.*")
+        .groupBy("event_name", *texts)
+        .agg(F.min("field_id").alias("field_id"))
+        .withColumn("field_key", F.lower("field_name"))
     )
+    by_key = F.struct("field_key", *[name for name in _ENTRY if name != "field_key"])
+    grouped = least.groupBy("event_name").agg(F.array_sort(F.collect_list(by_key)).alias("all"))
+    first = F.filter("all", lambda entry, at: (at == 0) | (F.get("all", at - 1)["field_key"] != entry["field_key"]))
+    in_order = F.transform(first, lambda entry: F.struct(*[entry[name].alias(name) for name in _ENTRY]))
+    return grouped.select("event_name", F.array_sort(in_order).alias("entries"))
 
 
 def field_lists(joined: DataFrame) -> DataFrame:
     """Ordered ``specs`` array per event name."""
-    entry = F.struct("field_id", "field_key", specs.field_spec("field_name", "data_type").alias("spec"))
-    return (
-        first_declarations(joined)
-        .groupBy("event_name")
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select("event_name", F.col("entries.spec").alias("specs"))
-    )
+    spec = F.transform("entries", lambda e: specs.field_spec(e["field_name"], e["data_type"]))
+    return declared_fields(joined).select("event_name", spec.alias("specs"))
 
 
 def split_at_delimiter(joined: DataFrame, delimiter: str = DELIMITER) -> DataFrame:
     """Mark each field ``outer`` (up to and including the delimiter field) or ``property`` (after it).
 
     The delimiter is matched by exact name. An event without one has outer fields only and ``has_delimiter`` false.
-    The window runs over merged declarations, so its groups are as large as a table is wide.
     """
-    place = F.struct("field_id", "field_key")
-    end = F.min(F.when(F.col("field_key") == delimiter.lower(), place)).over(Window.partitionBy("event_name"))
-    return (
-        first_declarations(joined)
-        .withColumn("end", end)
-        .withColumn("has_delimiter", F.col("end").isNotNull())
-        .withColumn("scope", F.when(place > F.col("end"), F.lit(PROPERTY)).otherwise(F.lit(OUTER)))
-        .select("event_name", "field_id", "field_name", "data_type", "json_field_name", "scope", "has_delimiter")
-    )
+    keys = F.transform("entries", lambda e: e["field_key"])
+    listed = declared_fields(joined).withColumn("end", F.array_position(keys, delimiter.lower()))
+    rows = listed.select("event_name", "end", F.posexplode("entries").alias("at", "entry"))
+    has_delimiter = F.col("end") > 0
+    return rows.select(
+        "event_name", "entry.field_id", "entry.field_name", "entry.data_type", "entry.json_field_name",
+        F.when(has_delimiter & (F.col("at") >= F.col("end")), F.lit(PROPERTY)).otherwise(F.lit(OUTER)).alias("scope"),
+        has_delimiter.alias("has_delimiter"),
+    )
 
 
 def shared_fields(fields: DataFrame) -> DataFrame:

@@ -99,3 +99,22 @@ def test_metadata_is_refused_not_cut(spark):
 def test_catalog_tables_from_files(spark, events, folder):
     events.write.parquet(f"{folder}/event_list")
     assert read_table(spark, "event_list", "parquet", {"root": folder}).count() == len(EVENTS)
+
+
+def test_the_first_declaration_wins_also_among_equal_ids(spark):
+    """Ties on the id go by name, then type, NULL first, then source key; nothing is sorted to find out."""
+    from logweir.operators.catalog import declared_fields
+
+    rows = [
+        ("e", 2, "K", "int", None), ("e", 2, "k", "int", None), ("e", 1, "asn", "int", "b"), ("e", 1, "asn", None, "a"),
+        ("e", 1, "asn", None, None), ("e", 3, "ASN", "bigint", None), ("e", None, None, None, None), (None, 1, "x", "int", None),
+        ("f", 9, "x", "int", None), ("f", 9, "a", "int", None), ("f", 10, "asn", "int", None), ("f", 11, "z", "int", None),
+    ]
+    joined = spark.createDataFrame(rows, "event_name string, field_id long, field_name string, data_type string, json_field_name string")
+    got = {r.event_name: [(e.field_id, e.field_name, e.data_type, e.json_field_name) for e in r.entries] for r in declared_fields(joined).collect()}
+    assert got == {
+        "e": [(1, "asn", None, None), (2, "K", "int", None)],
+        "f": [(9, "a", "int", None), (9, "x", "int", None), (10, "asn", "int", None), (11, "z", "int", None)],
+    }
+    plan = declared_fields(joined)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Window" not in plan
