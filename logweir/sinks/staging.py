@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,17 +24,44 @@ _CSV = {
     "ignoreTrailingWhiteSpace": "false",
     "lineSep": "\n",
 }
-# What the reader gives for a quoted empty cell. It would take an empty text for NULL otherwise; no warehouse text
-# holds a NUL character.
+# What the reader gives for a quoted empty cell; it would take an empty text for NULL otherwise. Texts of the data never
+# hold it: a NUL character is escaped.
 _EMPTY = "\0"
-# A gzip or multi-line file is read by one task, so files are kept small enough for one.
-ROWS_PER_FILE = 1_000_000
+# Fixed values of this format: characters that a cell must not hold, and what is written for each. The mark is escaped too, so
+# that every mark in a file begins one of these pairs, and the pairs can be undone one after the other, the mark's last.
+_MARK = "\\"
+_PAIRS = {"\n": _MARK + "n", "\r": _MARK + "r", "\0": _MARK + "0"}
+_MARK_PAIR = _MARK + "m"
+
+
+def escaped(text: Column) -> Column:
+    """Text without line breaks, so that a line of a file is a row and a file can be read by many tasks."""
+    text = F.replace(text, F.lit(_MARK), F.lit(_MARK_PAIR))
+    for character, pair in _PAIRS.items():
+        text = F.replace(text, F.lit(character), F.lit(pair))
+    return text
+
+
+def unescaped(cell: Column) -> Column:
+    text = cell
+    for character, pair in _PAIRS.items():
+        text = F.replace(text, F.lit(pair), F.lit(character))
+    text = F.replace(text, F.lit(_MARK_PAIR), F.lit(_MARK))
+    return F.when(cell == _EMPTY, "").otherwise(text)
 
 
 def stage(df: DataFrame, path: str, staging_format: str = "JSON") -> None:
+    """Plain files are splittable. A gzip file is read by one task, so rows are dealt into files of a partition's size.
+
+    The ``rebalance`` hint does that by the bytes adaptive execution sees, not by a number of rows, and as finely as the
+    shares of the tasks before it allow.
+    """
     kind, codec = _parse(staging_format)
+    if kind == "CSV":
+        df = df.withColumns({name: escaped(F.col(f"`{name}`")) for name in _texts(df.schema)})
+    if codec == "gzip":
+        df = df.hint("rebalance")
     writer = df.write.mode("overwrite").options(**_TIMES).option("compression", codec)
-    writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
     if kind == "CSV":
         writer.options(**_CSV).csv(path)
     else:
@@ -47,10 +74,12 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType, staging_fo
     reader = spark.read.schema(schema).options(**_TIMES)
     if kind == "JSON":
         return reader.json(path)
-    csv = reader.options(**{**_CSV, "emptyValue": _EMPTY}).option("multiLine", "true").csv(path)
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    restored = {name: F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`")) for name in texts}
-    return csv.withColumns(restored)
+    csv = reader.options(**{**_CSV, "emptyValue": _EMPTY}).csv(path)
+    return csv.withColumns({name: unescaped(F.col(f"`{name}`")) for name in _texts(schema)})
+
+
+def _texts(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
 
 
 def _parse(staging_format: str) -> tuple[str, str]:
