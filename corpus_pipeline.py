@@ -1,14 +1,14 @@
 """From raw documents to token ids in five stages, each of which reads what the one before it wrote.
 
 1. quality: documents that the factorisation machine scores below 0.3 go.
-2. near_dedup: of each group linked by a five-word Jaccard similarity of 0.8 or more the row with the smallest ``doc_id``
-   stays, nulls last.
+2. near_dedup: of each group that SimHash fingerprints of four-word shingles link at four or fewer differing bits the row
+   with the smallest ``doc_id`` stays, nulls last.
 3. decontamination: documents with a benchmark passage go.
 4. secrets: every reported secret is replaced by ``[SECRET]``; ``n_chars`` of changed texts is set anew.
 5. bpe: ids and decoded text of every document left.
 
 Defined results: rows are told apart by their place, so repeated and null ``doc_id`` are rows like all others; null texts are
-empty; an empty table gives an empty result; further columns are carried through stages 1 to 4.
+empty; an empty table gives an empty result; further columns, whatever their names, are carried through stages 1 to 4.
 """
 
 from __future__ import annotations
@@ -20,44 +20,56 @@ from pyspark.sql import functions as F
 
 from logweir.llm.bpe import encode_decode
 from logweir.llm.decontaminate import without_contamination
-from logweir.llm.jaccard import similar_documents
 from logweir.llm.lm import held_out
 from logweir.llm.quality import score_quality
 from logweir.llm.queries import TOKENIZER, read
 from logweir.llm.secrets import redact, scan_secrets
+from logweir.llm.simhash import near_duplicates
 from logweir.llm.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = held_out(F.col("doc_id"), 5, 0)
-    scored = score_quality(docs, read(spark, sf_dir, "labels"), out, docs.columns, name="__score")
-    return scored.where(F.col("__score") >= 0.3).drop("__score")
+    out, score = held_out(F.col("doc_id"), 5, 0), free(docs, "score")
+    scored = score_quality(docs, read(spark, sf_dir, "labels"), out, docs.columns, name=score)
+    return scored.where(F.col(score) >= 0.3).drop(score)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a row number that stays the same however often they are read."""
-    return stage(docs.withColumn("__row", F.monotonically_increasing_id()))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a row number that stays the same however often they are read, and its column's name."""
+    row = free(docs, "row_number")
+    return stage(docs.withColumn(row, F.monotonically_increasing_id())), row
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = numbered(docs)
-    groups = similar_documents(rows, key="__row").join(rows.select("__row", "doc_id"), "__row")
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    kept = groups.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.__row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").drop("__row")
+    rows, row = numbered(docs)
+    groups = near_duplicates(rows.select(row, "text"), key=row).select(row, "component_id")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    members = groups.join(rows.select(row, "doc_id"), row)
+    kept = members.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col(f"first.{row}").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_contamination(numbered(docs), read(spark, sf_dir, "benchmark"), key="__row").drop("__row")
+    rows, row = numbered(docs)
+    return without_contamination(rows, read(spark, sf_dir, "benchmark"), key=row).drop(row)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = numbered(docs)
-    found = scan_secrets(rows, key="__row", repository="doc_id", owner="source").where(F.size("spans") > 0)
-    joined = rows.join(found.select("__row", F.col("spans").alias("__spans")), "__row", "left")
-    spans, text = F.col("__spans"), F.col("text")
+    rows, row = numbered(docs)
+    found = scan_secrets(rows, key=row, repository="doc_id", owner="source").where(F.size("spans") > 0)
+    name = free(rows, "found_spans")
+    joined = rows.join(found.select(row, F.col("spans").alias(name)), row, "left")
+    spans, text = F.col(name), F.col("text")
     changed = F.when(spans.isNull(), text).otherwise(redact(text, spans))
     length = F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length(changed).cast("bigint"))
     return joined.withColumns({"text": changed, "n_chars": length}).select(*docs.columns)
