@@ -177,13 +177,16 @@ def fit(
 def _score(
     batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[str], name: str
 ) -> Iterator[pa.RecordBatch]:
+    """The passed columns come first in each batch, then text and stated length, whose names may be those of passed ones."""
     model: QualityModel = shared.value
-    for batch in blocks(batches, "__text"):
+    at, names = len(passed), [f"c{i}" for i in range(len(passed) + 2)]
+    renamed = (pa.RecordBatch.from_arrays(batch.columns, names=names) for batch in batches)
+    for batch in blocks(renamed, names[at]):
         if model.constant is None:
-            score = sigmoid(model.decisions(extract(batch.column("__text"), batch.column("__stated"))))
+            score = sigmoid(model.decisions(extract(batch.column(at), batch.column(at + 1))))
         else:
             score = np.full(batch.num_rows, model.constant)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(score)], names=[*passed, name])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(score)], names=[*passed, name])
 
 
 def score_quality(
@@ -200,5 +203,6 @@ def score_quality(
     model = fit(training_sample(docs, labels, "quality", held_out, rows_per_class, [text, stated]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
-    source = docs.select(*passed, F.col(text).alias("__text"), F.col(stated).cast("bigint").alias("__stated"))
+    own = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(passed)]
+    source = docs.select(*own, docs[text].alias(f"c{len(own)}"), docs[stated].cast("bigint").alias(f"c{len(own) + 1}"))
     return source.mapInArrow(lambda x: _score(x, shared, passed, name), f"{kinds}, `{name}` double")

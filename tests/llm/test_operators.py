@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from logweir.llm import capfilter, simhash, toxicity
 from logweir.llm.bpe import Merges
+from logweir.llm.decontaminate import decontaminate
 from logweir.llm.queries import QUERIES
 from logweir.llm.tokenfile import EliasFano, encode_texts
 
@@ -466,18 +467,37 @@ def test_pipeline(spark, folder):
     assert Counter((r.doc_id, tuple(r.ids)) for r in final.collect()) == want
 
 
-def test_pipeline_near_copies_of_similarity_08(spark, folder):
-    """Of two copies at five-word Jaccard 0.8 to 0.9 one goes; a document below 0.8 stays."""
+def test_pipeline_near_copies_by_fingerprint(spark, folder):
+    """Of each group of fingerprints linked at four bits the least id stays, and of rows without an id one."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    grouped = defaultdict(list)
+    for row in QUERIES["op8_simhash_near_dedup"](spark, folder).collect():
+        grouped[row.component_id].append(row.doc_id)
+    want = Counter(min(ids, key=lambda i: (i is None, i or 0)) for ids in grouped.values())
+    assert Counter(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()) == want
+    assert sum(want.values()) < docs.count()
 
-    def changed(at: list[int]) -> str:
-        return " ".join(f"x{i}" if i in at else f"w{copy}_{i}" for i in range(200))
 
-    rows, want = [], set()
-    for copy in range(20):
-        rows += [(10 * copy, changed([])), (10 * copy + 1, changed([50, 100, 150, 196][: 1 + copy % 4])), (10 * copy + 2, changed(list(range(10, 200, 25))))]
-        want |= {10 * copy, 10 * copy + 2}
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()} == want
+def test_pipeline_keeps_columns_of_any_name(spark, folder):
+    names = ["__text", "__row", "row", "key", "row_number", "Score", "hit_key", "found_spans", "spans", "fingerprint", "component_id", "c0", "c1", "place", "words"]
+    rows = [(i, t, "en", f"s{i}", len(t), *range(len(names))) for i, t in ((1, sentences(1, 60)), (2, f"{sentences(2, 60)} password = hunter22"), (3, sentences(3, 60)))]
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{n}` int" for n in names)
+    docs = spark.createDataFrame(rows, kind)
+    columns = docs.columns
+    for _, step in corpus_pipeline.STAGES[1:-1]:
+        docs = corpus_pipeline.stage(step(spark, docs, folder))
+        assert docs.columns == columns
+    assert {tuple(r)[5:] for r in docs.collect()} == {tuple(range(len(names)))} and docs.count() == 3
+    assert corpus_pipeline.quality(spark, docs, folder).columns == columns
+
+
+def test_decontamination_counts_rows_of_one_id_apart(spark, folder):
+    rows = [(1, ITEMS[2][1]), (1, "clean words"), (None, ITEMS[2][1]), (None, None), (None, "clean")]
+    docs = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id bigint, text string, row int, place int")
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    n = len(ITEMS[2][1].split())
+    found = Counter((r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in decontaminate(docs, benchmark).collect())
+    assert found == Counter([(1, n, n, True), (1, 2, 0, False), (None, n, n, True), (None, 0, 0, False), (None, 1, 0, False)])
 
 
 def test_pipeline_decontamination_keeps_clean_rows_of_a_repeated_id(spark, folder):
