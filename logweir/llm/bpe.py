@@ -18,19 +18,26 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from logweir.llm.runs import distinct_runs, gather
 from logweir.llm.words import blocks
 
 #: Fixed value: what the vocabulary's pre-tokenizer keeps, with white space as its engine knows it.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_WHITE}\p{{L}}\p{{N}}]+")
 NEVER = np.iinfo(np.int32).max
+#: What sets the last symbol of a word apart from the same symbol inside.
+LAST = 0x1000
+#: Letters of the longest words that are merged side by side.
+TOGETHER = 32
 
 
 def byte_symbols() -> dict[int, str]:
@@ -40,6 +47,11 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: Ids as little-endian 32-bit numbers, in decimal, and as tokens; each of the latter ends with a space.
+Spelled = tuple[bytes, bytes, bytes]
+NOTHING: Spelled = (b"", b"", b"")
+
+
 class Merges:
     """Vocabulary and merges of a file, with the tables of the pair test."""
 
@@ -62,11 +74,16 @@ class Merges:
         for token in self.inner:
             if len(token) > 2:
                 self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 0))
+        self.matcher = self._matcher()
         self._tables(pairs)
         self.unsound = np.zeros(max(self.names) + 1, bool)
         self.unsound[[i for t, i in self.ids.items() if self.exact(self._letters(t)) != [i]]] = True
         self.compatible: dict[int, bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str | int, Spelled] = {}
+        most = max(self.names) + 1
+        self.number = [i.to_bytes(4, "little") for i in range(most)]
+        self.decimal = [b"%d " % i for i in range(most)]
+        self.name = [f"{self.names.get(i, '')} ".encode() for i in range(most)]
 
     def _letters(self, token: str) -> list[int]:
         if token.endswith(self.suffix) and token != self.suffix:
@@ -98,20 +115,60 @@ class Merges:
         codes = np.array([(self.ids[a] << 20) | self.ids[b] for a, b in pairs], np.int64)
         self.merge_rank = np.argsort(codes)
         self.merge_code = codes[self.merge_rank]
+        self.merge_made = np.array([self.ids[a + b] for a, b in pairs], np.int64)
 
     def exact(self, letters: list[int]) -> list[int]:
         """Merging by rank, the leftmost pair first among equals."""
-        return self._exact_short(letters) if len(letters) <= 24 else self._exact_long(letters)
-
-    def _exact_short(self, letters: list[int]) -> list[int]:
-        """Looks for the first of the best pairs again after each merge."""
-        ranks, out = self.ranks, list(letters)
-        while len(out) > 1:
-            found = [(*pair, i) for i, p in enumerate(zip(out, out[1:])) if (pair := ranks.get(p))]
-            if not found:
-                break
-            best = min(found, key=lambda x: x[0])
-            out[best[2] : best[2] + 2] = [best[1]]
+        return self._exact_long(letters)
+
+    def exact_many(self, words: list[list[int]]) -> list[list[int]]:
+        """The same for many words: those of up to ``TOGETHER`` letters are merged side by side, one pair of each a round."""
+        out: list[list[int]] = [[]] * len(words)
+        size = np.array([len(w) for w in words], np.int64)
+        order = np.argsort(size, kind="stable")
+        for i in order[size[order] > TOGETHER].tolist():
+            out[i] = self._exact_long(words[i])
+        order = order[size[order] <= TOGETHER]
+        for at in range(0, len(order), 4096):
+            part = order[at : at + 4096]
+            for i, tokens in zip(part.tolist(), self._side_by_side([words[i] for i in part.tolist()])):
+                out[i] = tokens
+        return out
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair; ``NEVER`` if there is none. Negative symbols pad a word."""
+        code = (left << 20) | right
+        place = np.minimum(np.searchsorted(self.merge_code, code), len(self.merge_code) - 1)
+        there = (self.merge_code[place] == code) & (left >= 0) & (right >= 0)
+        return np.where(there, self.merge_rank[place], NEVER)
+
+    def _side_by_side(self, words: list[list[int]]) -> list[list[int]]:
+        width = max(map(len, words)) + 1
+        size = np.array([len(w) for w in words])
+        token = np.full((len(words), width), -1, np.int64)
+        token[np.arange(width) < size[:, None]] = np.fromiter((t for w in words for t in w), np.int64, int(size.sum()))
+        rank = self._ranks_of(token[:, :-1], token[:, 1:])
+        out: list[list[int]] = [[]] * len(words)
+        who, column = np.arange(len(words)), np.arange(width)
+        while len(who):
+            best = rank.argmin(axis=1)
+            least = rank[np.arange(len(who)), best]
+            done = least == NEVER
+            for i, row, n in zip(who[done].tolist(), token[done].tolist(), size[done].tolist()):
+                out[i] = row[:n]
+            go = ~done
+            who, best, least, size = who[go], best[go], least[go], size[go] - 1
+            # the pair becomes one token, and what follows it moves up by one
+            move = np.minimum(column + (column > best[:, None]), width - 1)
+            token = np.take_along_axis(token[go], move, axis=1)
+            token[:, -1] = -1
+            rows = np.arange(len(who))
+            token[rows, best] = self.merge_made[least]
+            rank = np.take_along_axis(rank[go], np.minimum(column[:-1] + (column[:-1] >= best[:, None]), width - 2), axis=1)
+            rank[:, -1] = NEVER
+            rank[rows, best] = self._ranks_of(token[rows, best], token[rows, best + 1])
+            before = best > 0
+            rank[rows[before], best[before] - 1] = self._ranks_of(token[rows[before], best[before] - 1], token[rows[before], best[before]])
         return out
 
     def _exact_long(self, letters: list[int]) -> list[int]:
@@ -134,8 +191,28 @@ class Merges:
                     heapq.heappush(heap, (pair[0], a, pair[1]))
         return [t for t in token if t >= 0]
 
+    def _matcher(self) -> ahocorasick.Automaton | None:
+        """Finds the longest token at each place, in compiled code; None if some symbol alone has no token.
+
+        The last symbol of a word is a character of its own kind (``LAST`` higher), as only tokens with the suffix may hold it.
+        """
+        tokens = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for token, i in self.inner.items():
+            tokens.add_word(token, i)
+        for token, i in self.final.items():
+            if token:
+                tokens.add_word(token[:-1] + chr(ord(token[-1]) + LAST), i)
+        tokens.make_automaton()
+        alone = set(self.symbols.values())
+        return tokens if alone <= self.inner.keys() and alone <= self.final.keys() else None
+
     def propose(self, word: str) -> list[int] | None:
         """Longest-match tokens of a word of byte symbols; None if some part has no token."""
+        if self.matcher is None:
+            return self._propose_by_lookup(word)
+        return [i for _, i in self.matcher.iter_long(word[:-1] + chr(ord(word[-1]) + LAST))]
+
+    def _propose_by_lookup(self, word: str) -> list[int] | None:
         out, at, size = [], 0, len(word)
         while at < size:
             if (last := self.final.get(word[at:])) is not None:
@@ -181,9 +258,11 @@ class Merges:
         wrong[owner[self.unsound[flat]]] = True
         if len(self.compatible) > 300_000:
             self.compatible.clear()
-        return [
-            self.exact(self._letters(w + self.suffix)) if bad else tokens for w, tokens, bad in zip(words, proposed, wrong)
-        ]
+        failed = np.flatnonzero(wrong).tolist()
+        merged = self.exact_many([self._letters(words[i] + self.suffix) for i in failed])
+        for i, tokens in zip(failed, merged):
+            proposed[i] = tokens
+        return proposed
 
     def pieces(self, run: str) -> list[str | int]:
         """Words of byte symbols and special ids of a run without ASCII white space."""
@@ -204,54 +283,86 @@ class Merges:
             text = "".join(map(str.lower, unicodedata.normalize("NFC", run)))
         return [m.encode("utf-8").decode("latin-1").translate(self.symbols) for m in PIECES.findall(text)]
 
-    def encode_runs(self, runs: list[str]) -> list[list[int]]:
+    def spell(self, ids: list[int]) -> Spelled:
+        return (
+            b"".join([self.number[i] for i in ids]), b"".join([self.decimal[i] for i in ids]), b"".join([self.name[i] for i in ids])
+        )
+
+    def spell_runs(self, runs: list[str]) -> list[Spelled]:
+        """Ids and spellings of runs; those of each different piece are put together once."""
         parts = [self.pieces(r) for r in runs]
         known = self.words
         if len(known) > 150_000:
             known.clear()
-        words = list({p for part in parts for p in part if isinstance(p, str) and p not in known})
-        known.update(zip(words, self.encode_words(words)))
-        return [[t for p in part for t in ([p] if isinstance(p, int) else known[p])] for part in parts]
+        words = list({p for part in parts for p in part if p not in known})
+        plain = [w for w in words if isinstance(w, str)]
+        known.update(zip(plain, map(self.spell, self.encode_words(plain))))
+        known.update((i, self.spell([i])) for i in words if isinstance(i, int))
+        return [known[part[0]] if len(part) == 1 else tuple(map(b"".join, zip(*[known[p] for p in part]))) or NOTHING for part in parts]
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.names[i] for i in ids])
+    def encode_runs(self, runs: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, "<i4").tolist() for ids, _, _ in self.spell_runs(runs)]
 
 
 @lru_cache(maxsize=2)
-def _merges(path: str) -> tuple[Merges, dict[bytes, tuple[str, str]]]:
+def _merges(path: str) -> tuple[Merges, dict[bytes, Spelled]]:
     return Merges(path), {}
 
 
-def encode_texts(texts: list[str | None], path: str, memory: int = 150_000) -> list[tuple[int, str, str]]:
-    """(number of ids, ids joined by spaces, decoded text) of each text."""
+@dataclass
+class Encoded:
+    """Ids of all texts of a batch, and their spellings; ``bounds`` are those of each text in places of runs."""
+
+    found: list[Spelled]
+    places: np.ndarray
+    bounds: np.ndarray
+
+    def _put(self, which: int) -> tuple[memoryview, list[int]]:
+        data, ends = gather([f[which] for f in self.found], self.places, self.bounds)
+        return data, ends.tolist()
+
+    def counts(self) -> np.ndarray:
+        size = np.array([len(f[0]) // 4 for f in self.found], np.int64)[self.places]
+        return np.diff(np.concatenate([[0], np.cumsum(size)])[self.bounds])
+
+    def ids(self) -> pa.ListArray:
+        data, ends = self._put(0)
+        return pa.ListArray.from_arrays(pa.array([e // 4 for e in ends], pa.int32()), pa.array(np.frombuffer(data, "<i4", ends[-1] // 4)))
+
+    def _texts(self, which: int) -> list[memoryview]:
+        """Every run's text ends with a space, the last of which is none of the text's."""
+        data, ends = self._put(which)
+        return [data[a : max(a, b - 1)] for a, b in zip(ends, ends[1:])]
+
+    def decoded(self) -> list[str]:
+        return [str(t, "utf-8") for t in self._texts(2)]
+
+    def digests(self) -> list[list[str]]:
+        """Of the ids in decimal, joined by spaces, and of the decoded texts."""
+        return [[hashlib.sha256(t).hexdigest() for t in self._texts(which)] for which in (1, 2)]
+
+
+def encode_column(texts: pa.Array, path: str, memory: int = 150_000) -> Encoded:
+    """Every different run of the batch is encoded once; ``memory`` bounds the runs that a worker remembers."""
     merges, known = _merges(path)
     if len(known) > memory:
         known.clear()
-    runs = [(x or "").encode("utf-8", "surrogatepass").split() for x in texts]
-    new = list({w for r in runs for w in r if w not in known})
+    runs, places, bounds = distinct_runs(texts)
+    new = [w for w in runs if w not in known]
     for at in range(0, len(new), 8192):
         part = new[at : at + 8192]
-        for w, ids in zip(part, merges.encode_runs([w.decode("utf-8") for w in part])):
-            known[w] = (" ".join(map(str, ids)), merges.decode(ids))
-    out = []
-    for run in runs:
-        found = [f for w in run if (f := known[w])[0]]
-        ids = " ".join([f[0] for f in found])
-        out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join([f[1] for f in found])))
-    return out
+        known.update(zip(part, merges.spell_runs([w.decode("utf-8", "surrogatepass") for w in part])))
+    return Encoded([known[w] for w in runs], places, bounds)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, names: list[str], digests: bool) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, "text", 2 << 20):
-        coded = encode_texts(batch.column("text").to_pylist(), path)
-        counts = pa.array([n for n, _, _ in coded], pa.int64())
+    for batch in blocks(batches, "text", 4 << 20):
+        coded = encode_column(batch.column("text"), path)
         if digests:
-            values = [[hashlib.sha256(x[i].encode("utf-8")).hexdigest() for x in coded] for i in (1, 2)]
-            columns = [pa.array(v, pa.string()) for v in values]
+            columns = [pa.array(x, pa.string()) for x in coded.digests()]
         else:
-            ids = [np.array(x[1].split(), np.int32) for x in coded]
-            columns = [pa.array(ids, pa.list_(pa.int32())), pa.array([x[2] for x in coded], pa.string())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), counts, *columns], names=names)
+            columns = [coded.ids(), pa.array(coded.decoded(), pa.string())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded.counts()), *columns], names=names)
 
 
 def encode_decode(
