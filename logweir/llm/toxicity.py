@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 
 from logweir.llm.fitting import calibration, newton, training_sample
-from logweir.llm.words import blocks, hash_words, split_words
+from logweir.llm.words import blocks, hash_words, split_words, text_buffer
 
 #: Letters of a stretch (with the mark of the word's start), reach of a triple, symbols.
 WIDE, REACH, SYMBOLS = 20, 9, 32
@@ -42,6 +42,13 @@ STANDS_FOR = dict(zip("013457@$!|", "oieastasii"))
 SENTENCE = re.compile(r"[.!?\n]+")
 
 
+#: UTF-8 of white space beyond ASCII: first byte, and what may follow it.
+_WIDE_SPACES: dict[bytes, list[bytes]] = {}
+for _space in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000):
+    _bytes = chr(_space).encode()
+    _WIDE_SPACES.setdefault(_bytes[:1], []).append(_bytes[1:])
+
+
 @lru_cache(maxsize=1)
 def _symbols() -> dict[str, int]:
     plain = {chr(97 + i): i + 1 for i in range(26)}
@@ -211,7 +218,7 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
     texts = [[units(s) for s in SENTENCE.split(t or "") if s.strip()] for t, _ in rows]
     core = [[{w.lower().strip("\"'.,;:()[]{}<>-_*~`?") for w in s} for s in t] for t in texts]
     names = _choose_landmarks(core, labels, landmarks)
-    marks = [stretches(w)[0] for w in names if stretches(w)]
+    marks = [stretch for w in names for stretch in stretches(w)]
     table = landmark_table(marks, decay)
     gram = table.T @ table
     value, vector = np.linalg.eigh(gram.astype(np.float64))
@@ -219,11 +226,22 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
     whiten = vector[:, use] / np.sqrt(value[use])
     words = sorted({w for t in texts for s in t for w in s})
     place = {w: i for i, w in enumerate(words)}
-    first = [stretches(w)[0] if stretches(w) else [0, 31] for w in words]
+    pieces = [stretches(w) or [[0, 31]] for w in words]
+    owner = np.repeat(np.arange(len(words)), [len(p) for p in pieces])
+    flat = [stretch for p in pieces for stretch in p]
+    starts = np.searchsorted(owner, np.arange(len(words)))
+
+    def of_words(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The highest value of each word's stretches, and which stretch has it."""
+        order = np.lexsort((-values, owner))
+        return values[order][starts], order[starts]
+
     sentences = [(d, [place[w] for w in s]) for d, t in enumerate(texts) for s in t if s]
     # first witnesses: the words nearest to those that tell toxic texts
-    telling = [i for i, n in enumerate([w for w in names if stretches(w)]) if _rate(n, core, labels) > 0]
-    decision = folded_decisions(first, table[:, telling].sum(axis=1), decay)
+    owners = [w for w in names for _ in stretches(w)]
+    tells = {w for w in names if _rate(w, core, labels) > 0}
+    telling = [i for i, w in enumerate(owners) if w in tells]
+    decision, best_stretch = of_words(folded_decisions(flat, table[:, telling].sum(axis=1), decay))
     weights, shift = np.zeros(whiten.shape[1]), 0.0
     for _ in range(rounds):
         witness: dict[int, int] = {}
@@ -240,7 +258,7 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
         y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
         amount = np.array([*positive.values(), *[1.0] * len(negative)], float)
         amount[y < 0] *= amount[y > 0].sum() / max(1, (y < 0).sum())
-        phi = kernel_with([first[i] for i in index], table, decay) @ whiten
+        phi = kernel_with([flat[best_stretch[i]] for i in index], table, decay) @ whiten
         x = np.concatenate([phi, np.ones((len(index), 1))], axis=1)
 
         def loss(w: np.ndarray):
@@ -253,7 +271,7 @@ def fit(rows: list[tuple[str | None, int]], landmarks: int = 160, decay: float =
 
         solved = newton(loss, np.append(weights, shift))
         weights, shift = solved[:-1], float(solved[-1])
-        decision = folded_decisions(first, (table @ (whiten @ weights)).astype(np.float32), decay) + shift
+        decision, best_stretch = of_words(folded_decisions(flat, (table @ (whiten @ weights)).astype(np.float32), decay) + shift)
     folded = (table @ (whiten @ weights)).astype(np.float32)
     model = ToxicityModel(folded, shift, 1.0, 0.0, decay, -10.0)
     scores = text_decisions(model, [t for t, _ in rows])
@@ -278,11 +296,29 @@ def text_decisions(model: ToxicityModel, texts: list[str | None]) -> np.ndarray:
     return out
 
 
+def plain_spaces(texts: pa.Array) -> pa.Array:
+    """The texts with every byte of white space as a space: fitting and scoring then cut words at the same places."""
+    data, offsets = text_buffer(texts)
+    if len(offsets) < 2:
+        return texts.cast(pa.large_string())
+    data = data.copy()
+    data[(data >= 0x1C) & (data <= 0x1F)] = 0x20
+    for lead, tails in _WIDE_SPACES.items():
+        at = np.flatnonzero(data == lead[0])
+        at = at[at + 1 + len(tails[0]) <= len(data)]
+        for tail in tails:
+            found = at[np.logical_and.reduce([data[at + 1 + i] == byte for i, byte in enumerate(tail)])]
+            for i in range(1 + len(tail)):
+                data[found + i] = 0x20
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[str]) -> Iterator[pa.RecordBatch]:
     model: ToxicityModel = shared.value
     seen = model._seen
     for batch in blocks(batches):
-        words = split_words(batch.column("text"))
+        texts = plain_spaces(batch.column("text"))
+        words = split_words(texts)
         best = np.full(batch.num_rows, model.floor)
         if model.constant is None and len(words.start):
             docs = words.documents()
@@ -297,7 +333,6 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[st
             np.maximum.at(best, docs, value[back])
             short = (words.end - words.start) <= 6
             runs = short[:-2] & short[1:-1] & short[2:] & (docs[:-2] == docs[2:])
-            texts = batch.column("text")
             for d in np.unique(docs[:-2][runs]).tolist():
                 text = texts[d].as_py()
                 joined = units(text)[words.bounds[d + 1] - words.bounds[d] :]
