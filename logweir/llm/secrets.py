@@ -92,12 +92,14 @@ def scan_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     example_owners: int = 3,
+    example_repositories: int = 50,
     bits: float = 3.5,
 ) -> DataFrame:
     """(key, spans, n_example, n_owner_specific) of every row.
 
     ``spans`` is an array of (start, order, kind, end, owners, repositories), sorted. A value is an example if at least
-    ``example_owners`` owners have it; the two counts are of the reported base spans and all candidates.
+    ``example_owners`` owners have it, or one owner spreads it over ``example_repositories`` repositories or more, as a hot source
+    does with a line of its template; the two counts are of the reported base spans and all candidates.
     """
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
     types = {c: docs.schema[n].dataType.simpleString() for c, n in (("key", key), ("repository", repository), ("owner", owner))}
@@ -114,7 +116,7 @@ def scan_secrets(
     counts = ownership(each.select(F.col("span.value").alias("value"), "repository", "owner"))
     judged = each.select("row", "span", F.col("span.value").alias("value")).join(counts, "value")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("span.kind")).alias("order")
-    example = F.col("owners") >= example_owners
+    example = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
     kept = F.struct("span.start", order, "span.kind", "span.end", "owners", "repositories")
     spans = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when((F.col("span.kind") != "opaque") | ~example, kept))).alias("spans"),

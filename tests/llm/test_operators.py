@@ -10,6 +10,7 @@ from statistics import NormalDist
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from logweir.llm import capfilter, simhash, toxicity
 from logweir.llm.bpe import Merges
 from logweir.llm.decontaminate import decontaminate
 from logweir.llm.queries import QUERIES
-from logweir.llm.tokenfile import EliasFano, encode_texts
+from logweir.llm.secrets import scan_secrets
+from logweir.llm.staging import staged_path
+from logweir.llm.tokenfile import EliasFano, encode_texts, fetch_tokens, write_tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row int, spans string, score double, word string, n int, `key` int"
@@ -144,6 +147,31 @@ def test_toxicity_tolerates_gaps():
     assert (plain < 0.3).all()
 
 
+def test_scoring_cuts_words_where_fitting_does(spark):
+    """Every kind of white space, runs of single letters over it, and words of several stretches."""
+    clean = [(sentences(i, 60), 0) for i in range(80)]
+    toxic = [(sentences(1000 + i, 60) + ("you idiot" if i % 2 else "so stupid"), 1) for i in range(60)]
+    model = toxicity.fit(clean + toxic)
+    spaces = [" ", "\xa0", "\x1c", "\x85", "\u2003", "\u3000", "\u2028", "\u1680", "\u205f", "\t", "\x1f\xa0"]
+    texts = [f"{a}the{s}idiot{s}of{s}and{s}" for s in spaces for a in ("", "a b c ", "é\u200b ")]
+    texts += [f"x{s}i{s}d{s}i{s}o{s}t{s}y" for s in spaces] + ["", None, "z" * 50 + "idiot", "â\x80 \u2060\ufeff", "idiot" * 12]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    shared = type("Shared", (), {"value": model})
+    got = next(iter(toxicity._score(iter([batch]), shared, ["text"]))).column("score").to_numpy()
+    want = model.probability(toxicity.text_decisions(model, texts))
+    assert np.allclose(got, want)
+    assert (want[: 3 * len(spaces)] >= 0.3).all()
+
+
+def test_copies_spread_by_one_owner_are_examples(spark):
+    opaque = "Zx9Qw3Er7Ty1Ui5Op2As4D"
+    rows = [(i, f"k {opaque} k", "hot") for i in range(60)] + [(100, "k Qa8Ws2Ed6Rf4Tg1Yh9Uj3K k", "hot")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    assert (found[0].n_example, found[0].n_owner_specific, found[0].spans) == (1, 0, [])
+    assert (found[100].n_example, found[100].n_owner_specific, len(found[100].spans)) == (0, 1, 1)
+
+
 def test_folded_decision_is_the_kernel_expansion():
     codes = [toxicity.stretches(w)[0] for w in ("idiot", "stupid", "thered", "ination", "idxiot")]
     table = toxicity.landmark_table(codes[:3], 0.7)
@@ -427,6 +455,28 @@ def test_sum_of_squares_identity():
     assert model.decisions(Features(np.zeros(3, int), bucket, value, dense))[0] == pytest.approx(want)
 
 
+def test_select_reads_single_ends_and_stretches():
+    pick = random.Random(12)
+    for count in (1, 2, 255, 256, 257, 1000, 5000):
+        for most in (1, 3, 200, 10**6):
+            values = np.cumsum([pick.randint(0, most) for _ in range(count)])
+            packed = EliasFano.encode(values)
+            assert (packed.decode() == values).all()
+            assert all(packed.select(i) == values[i] for i in (0, count - 1, count // 2, min(count - 1, 256)))
+            a, b = sorted(pick.choices(range(count + 1), k=2))
+            assert (packed.stretch(a, b) == values[a:b]).all()
+            assert len(packed.samples) == 4 * -(-count // 256)
+
+
+def test_documents_are_fetched_by_key(spark, folder):
+    location = staged_path(spark)
+    write_tokens(spark.read.parquet(f"{folder}/documents.parquet"), location, PATH, size=500)
+    tokenizer = Tokenizer.from_file(PATH)
+    for keys in ([5, 135, 131], [None], [None, 150], [987654321]):
+        want = Counter((i, tuple([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2])) for i, t, *_ in documents() if i in keys)
+        assert Counter((r.doc_id, tuple(r.ids)) for r in fetch_tokens(spark, location, keys).collect()) == want
+
+
 def test_bpe(spark, folder):
     tokenizer = Tokenizer.from_file(PATH)
     want = Counter()
