@@ -248,6 +248,33 @@ def test_cap_filters_keep_their_recall(count):
     assert found >= 0.995 * 600
 
 
+def test_embeddings_near_the_threshold_and_in_cut_filters(spark):
+    """Pairs closer to the threshold than codes can tell, and filters of many blocks, against all pairs in doubles."""
+    random = np.random.default_rng(3)
+    rows = []
+    for _ in range(12):
+        a, b = random.standard_normal((2, 16))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        rows += [a] + [c * a + np.sqrt(1 - c * c) * b for c in (0.95 - 1e-6, 0.95 + 1e-6, 0.949, 0.951)]
+    base = random.standard_normal(16)
+    rows += [base + 0.12 * random.standard_normal(16) for _ in range(60)]
+    units = capfilter._unit(np.array(rows))
+    near = units @ units.T >= 0.95
+    np.fill_diagonal(near, False)
+    dots = np.abs(units @ units.T - 0.95)
+    assert (dots < capfilter.slack(16)).sum() >= 24
+    least = np.arange(len(rows))
+    for _ in rows:
+        least = np.minimum(least, np.where(near, least, len(rows)).min(axis=1))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    found = capfilter.near_embeddings(frame, block=8, recall=0.999999).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in found} == {
+        (i, int(near[i].sum()), int(least[i])) for i in range(len(rows))
+    }
+
+
 def test_language_model(spark, folder):
     rows = documents()
     lines = [[w.encode() for w in []] or [x for x in (t or "").encode().lower().split()] + ["end"] for _, t, *_ in rows]
