@@ -4,16 +4,20 @@ Model: a word has (c + 0.5) / (N + 0.5 (V + 1)). A pair or triple is kept from `
 size, and has (c - discount) / c(context); what the kept ones of a context leave is given to all other words in
 proportion to the shorter context. The count of every word is exact, however rare it is.
 
-Exchange: texts are cut into blocks of bounded size. A block sends the sorted hashes of its different n-grams, with its
-own counts, to buckets of the hash range, one packed row for each bucket. A bucket adds the counts up and answers with
-the totals in the order of the block's own hashes, so no hash travels back. Words and pairs go first; only triples of
-two kept pairs can be kept, so no others are sent. The first block of a kept n-gram adds its probability to the sums of
-its context; a last exchange of contexts turns these sums into backoff weights. Both blocks and buckets are bounded,
-their number grows with the texts, nothing is broadcast, and a hot n-gram gives one value for each block.
-
-Automaton: states are kept contexts, arcs consume a word, failure arcs go to the next shorter context and carry its
-backoff weight. The last two words tell the state before each word, so the path of all words of a block is taken at
-once: the failure arcs down to the longest context with an arc for the word, and that arc.
+Exchange: texts are cut into blocks of bounded size and read once; a block is then one row, its different words and their
+numbers in the order of the texts. A block sends the sorted hashes of its different n-grams, with its own counts, to
+buckets of the hash range, one packed row for each bucket that gets any, so never more rows than n-grams. A bucket adds
+the counts up and answers in the order of the block's own hashes, so no hash travels back: totals of words, and of longer
+n-grams which are kept and their totals. Words and pairs go first; only triples of two kept pairs can be kept, so no
+others are sent. The first block of a kept n-gram adds its probability to the sums of its context; a last exchange of
+contexts turns these sums into backoff weights. Both blocks and buckets are bounded, their number grows with the texts,
+nothing is broadcast, and a hot n-gram gives one value for each block.
+
+Automaton: each block builds the part of the automaton that its texts can reach, with the weights of the whole corpus.
+States are the empty context, words and kept pairs; arcs consume a word, failure arcs go to the next shorter context and
+carry its backoff weight. All texts of a block are read from left to right in step, each with its state and its sum: a
+text takes failure arcs until its state has an arc for the next word, and then that arc. Two words lead from any state to
+the same state, so long texts are cut into stretches that begin two words early, without a change of the path.
 
 Defined results: a null text is empty and has the end token only; without training texts every token has probability
 one; a null ``doc_id`` counts as empty text when texts are divided; repeated rows are all counted and scored; further
@@ -38,12 +42,16 @@ from logweir.llm.words import blocks, hash_words, split_words
 #: Occurrences from which on a pair or triple is kept; bytes of text of a block and, at most, of a bucket; least buckets.
 LEAST = 2
 BLOCK, BUCKET, BUCKETS = 8 << 20, 24 << 20, 128
+#: Bytes of a row group of the staged blocks: a reader holds a few blocks at a time.
+ROW_GROUP = 16 << 20
 #: What stands for the begin and the end of a text among the hashes of words, and what joins hashes.
 BEGIN, END = np.uint64(0xB5026F5AA96619E9), np.uint64(0x5851F42D4C957F2D)
 JOIN, JOIN_PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 SENT = "block bigint, kind int, bucket int, size int, keys binary, data binary"
-ANSWER = "block bigint, kind int, bucket int, data binary, own binary, tokens bigint, types bigint"
+ANSWER = "block bigint, kind int, bucket int, kept binary, data binary, own binary, tokens bigint, types bigint"
+#: Words of a text that are read in one stretch, and words after which the state no longer depends on the earlier ones.
+STRETCH, SETTLED = 256, 2
 
 
 @dataclass
@@ -70,22 +78,17 @@ class Grams:
 class Line:
     """Begin, words and end of all texts of a block in a row, and the n-grams that end at each of them."""
 
-    def __init__(self, texts: pa.Array) -> None:
-        words = split_words(texts, lower=True)
-        self.texts = len(words.bounds) - 1
-        self.starts = words.bounds[:-1] + 2 * np.arange(self.texts)
-        self.counts = words.counts()
-        self.line = np.empty(len(words.start) + 2 * self.texts, np.uint64)
-        self.line[self.starts] = BEGIN
-        self.line[words.bounds[1:] + 2 * np.arange(self.texts) + 1] = END
-        self.line[np.arange(len(words.start)) + 2 * words.documents() + 1] = hash_words(words)
+    def __init__(self, block: dict) -> None:
+        keys = np.frombuffer(block["words"], np.uint64)
+        place = _unpack_ids(block["line"], len(keys))
+        self.words = Grams(keys, place, place, np.arange(len(place)))
+        self.line = keys[place]
+        self.inner = self.line != BEGIN
+        self.starts = np.flatnonzero(~self.inner)
+        self.texts = len(self.starts)
+        self.counts = np.diff(self.starts, append=len(place)) - 2
         self.text = np.repeat(np.arange(self.texts), self.counts + 2)
-        self.inner = np.ones(len(self.line), bool)
-        self.inner[self.starts] = False
-
-    @cached_property
-    def words(self) -> Grams:
-        return Grams.of(self.line, np.arange(len(self.line)))
+        self.trained = np.unpackbits(np.frombuffer(block["trained"], np.uint8), count=self.texts).astype(bool)[self.text]
 
     @cached_property
     def pairs(self) -> Grams:
@@ -100,10 +103,39 @@ class Line:
         return Grams.of((line[at - 2] * JOIN + line[at - 1]) * JOIN_PAIR + line[at], at)
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's part of sorted hashes begins, and where the last one ends."""
-    edges = np.arange(1, buckets, dtype=np.uint64) * np.uint64(2**64 // buckets)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+def _hash_line(texts: pa.Array) -> np.ndarray:
+    words = split_words(texts, lower=True)
+    size = len(words.bounds) - 1
+    line = np.empty(len(words.start) + 2 * size, np.uint64)
+    line[words.bounds[:-1] + 2 * np.arange(size)] = BEGIN
+    line[words.bounds[1:] + 2 * np.arange(size) + 1] = END
+    line[np.arange(len(words.start)) + 2 * words.documents() + 1] = hash_words(words)
+    return line
+
+
+def _id_width(count: int) -> int:
+    return max(1, -(-(count - 1).bit_length() // 8))
+
+
+def _pack_ids(ids: np.ndarray, count: int) -> bytes:
+    """Numbers below ``count`` in as few bytes each as the largest needs."""
+    return np.ascontiguousarray(ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _id_width(count)]).tobytes()
+
+
+def _unpack_ids(data: bytes, count: int) -> np.ndarray:
+    width = _id_width(count)
+    wide = np.zeros((len(data) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return wide.view("<i8")[:, 0]
+
+
+def _parts(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of each bucket that has some of the sorted hashes."""
+    if len(keys) == 0:
+        return []
+    of = np.minimum(keys // np.uint64(2**64 // buckets), np.uint64(buckets - 1)).astype(np.int64)
+    begin = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
+    return list(zip(of[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(keys)]))
 
 
 def _pack_keys(keys: np.ndarray, bucket: int, buckets: int) -> tuple[int, bytes]:
@@ -138,18 +170,15 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
 
 def _sent(block: int, kind: int, keys: np.ndarray, buckets: int, pack) -> list[tuple]:
     """One row for each bucket that has some of the sorted hashes; ``pack`` gives its data from the part of them."""
-    cuts = _cuts(keys, buckets).tolist()
     return [
-        (block, kind, bucket, *_pack_keys(keys[a:b], bucket, buckets), pack(a, b))
-        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:]))
-        if a < b
+        (block, kind, bucket, *_pack_keys(keys[a:b], bucket, buckets), pack(a, b)) for bucket, a, b in _parts(keys, buckets)
     ]
 
 
-def _send_grams(texts: pa.Table, buckets: int, kinds: list[tuple[int, Grams]], line: Line) -> pa.Table:
-    block, trained, rows = texts.column("block")[0].as_py(), texts.column("trained").to_numpy()[line.text], []
+def _send_grams(block: int, line: Line, buckets: int, kinds: list[tuple[int, Grams]]) -> pa.Table:
+    rows = []
     for kind, grams in kinds:
-        counts = np.bincount(grams.place[trained[grams.at]], minlength=len(grams.keys))
+        counts = np.bincount(grams.place[line.trained[grams.at]], minlength=len(grams.keys))
         rows += _sent(block, kind, grams.keys, buckets, lambda a, b: _packed(counts[a:b]))
     return _table(rows, SENT)
 
@@ -184,30 +213,33 @@ class Bucket:
 
 
 def _answer_counts(sent: pa.Table, buckets: int) -> pa.Table:
-    """Totals of all n-grams, zero for those not kept, and which of them a block is the first to have."""
+    """Totals of words; which longer n-grams are kept, their totals, and which of those a block is the first to have."""
     bucket = Bucket.of(sent, buckets)
     counts = np.concatenate([_unpacked(r["data"], n) for r, n in zip(bucket.rows, bucket.sizes)])
     sums = np.add.reduceat(counts[bucket.order], bucket.begin)
-    tokens = types = 0
-    if bucket.rows[0]["kind"] == 1:
-        word = bucket.keys != BEGIN
-        tokens, types = int(sums[word].sum()), int((sums[word] > 0).sum())
-    else:
-        sums[sums < LEAST] = 0
     own = np.zeros(len(counts), bool)
     own[bucket.order[bucket.begin]] = True
-    rows = []
-    for n, (row, total, first) in enumerate(zip(bucket.rows, bucket.back(sums), np.split(own, np.cumsum(bucket.sizes)[:-1]))):
-        found = (tokens, types) if n == 0 else (0, 0)
-        rows.append((row["block"], row["kind"], row["bucket"], _packed(total), np.packbits(first).tobytes(), *found))
+    owned, rows = np.split(own, np.cumsum(bucket.sizes)[:-1]), []
+    if bucket.rows[0]["kind"] == 1:
+        word = bucket.keys != BEGIN
+        found = int(sums[word].sum()), int((sums[word] > 0).sum())
+        for row, total in zip(bucket.rows, bucket.back(sums)):
+            rows.append((row["block"], 1, row["bucket"], None, _packed(total), None, *found))
+            found = 0, 0
+        return _table(rows, ANSWER)
+    for row, total, first in zip(bucket.rows, bucket.back(sums), owned):
+        kept = total >= LEAST
+        if kept.any():
+            bits = (np.packbits(x).tobytes() for x in (kept, first[kept]))
+            rows.append((row["block"], row["kind"], row["bucket"], next(bits), _packed(total[kept]), next(bits), 0, 0))
     return _table(rows, ANSWER)
 
 
 class Known:
     """A block with the totals of its words and pairs, and then of the triples whose pairs are kept."""
 
-    def __init__(self, texts: pa.Table, answers: pa.Table, buckets: int) -> None:
-        self.line = Line(texts.column("text").combine_chunks())
+    def __init__(self, block: dict, answers: pa.Table, buckets: int) -> None:
+        self.line = Line(block)
         self.rows = {(r["kind"], r["bucket"]): r for r in answers.to_pylist()}
         self.buckets = buckets
         words, pairs = self.line.words, self.line.pairs
@@ -230,12 +262,14 @@ class Known:
 
     def _totals(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total, own = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        cuts = _cuts(keys, self.buckets).tolist()
-        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if a < b:
-                row = self.rows[kind, bucket]
+        for bucket, a, b in _parts(keys, self.buckets):
+            row = self.rows.get((kind, bucket))
+            if kind == 1:
                 total[a:b] = _unpacked(row["data"], b - a)
-                own[a:b] = np.unpackbits(np.frombuffer(row["own"], np.uint8), count=b - a)
+            elif row is not None:  # else no n-gram is kept
+                kept = a + np.flatnonzero(np.unpackbits(np.frombuffer(row["kept"], np.uint8), count=b - a))
+                total[kept] = _unpacked(row["data"], len(kept))
+                own[kept] = np.unpackbits(np.frombuffer(row["own"], np.uint8), count=len(kept))
         return total, own
 
     def contexts(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -254,35 +288,99 @@ class Known:
 
     def backoff(self, kind: int, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys))
-        cuts = _cuts(keys, self.buckets).tolist()
-        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if a < b:
-                out[a:b] = np.frombuffer(self.rows[kind, bucket]["data"], np.float64)
+        for bucket, a, b in _parts(keys, self.buckets):
+            out[a:b] = np.frombuffer(self.rows[kind, bucket]["data"], np.float64)
         return out
 
+    def automaton(self) -> Automaton:
+        """States: 0 the empty context, 1 + w word w, then the kept pairs in their order."""
+        words, pairs, triples = self.line.words, self.line.pairs, self.grams
+        kept = np.flatnonzero(self.pairs > 0)
+        state = np.zeros(len(pairs.keys), np.int64)
+        state[kept] = 1 + len(words.keys) + np.arange(len(kept))
+        at = pairs.first[kept]
+        longest = np.flatnonzero(self.triples > 0)
+        end = triples.first[longest]
+        source = np.concatenate([1 + self.word[at - 1], state[self.pair[end - 1]]])
+        word = np.concatenate([self.word[at], self.word[end]])
+        target = np.concatenate([state[kept], state[self.pair[end]]])
+        weight = np.log10(np.concatenate([self.pair_p[kept], self.triple_p[longest]]))
+        key = source * len(words.keys) + word
+        order = np.argsort(key)
+        return Automaton(
+            single=np.log10(self.single),
+            keys=key[order],
+            target=target[order],
+            weight=weight[order],
+            failure=np.concatenate([np.zeros(1 + len(words.keys), np.int64), 1 + self.word[at]]),
+            backoff=np.concatenate([[0.0], self.backoff(11, words.keys), self.backoff(12, pairs.keys[kept])]),
+        )
+
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """n_known, base score and score of each text."""
-        words, pairs, triples = self.line.words, self.line.pairs, self.grams
-        after_word = self.backoff(11, words.keys)
-        after_pair = np.zeros(len(pairs.keys))
-        after_pair[self.pairs > 0] = self.backoff(12, pairs.keys[self.pairs > 0])
-        single = np.log10(self.single)[self.word]
-        with np.errstate(divide="ignore"):
-            pair_log, triple_log = np.log10(self.pair_p), np.log10(self.triple_p)
-        value = np.zeros(len(self.line.line))
-        at = pairs.at
-        value[at] = np.where(self.pairs[pairs.place] > 0, pair_log[pairs.place], after_word[self.word[at - 1]] + single[at])
-        at = pairs.at[self.line.inner[pairs.at - 1]]
-        value[at] += after_pair[self.pair[at - 1]]
-        kept = self.triples[triples.place] > 0
-        value[triples.at[kept]] = triple_log[triples.place[kept]]
-        single[self.line.starts] = 0
-        known = (self.words > 0)[self.word] & self.line.inner
+        line = self.line
+        known = (self.words > 0)[self.word] & line.inner
+        single = np.where(line.inner, np.log10(self.single)[self.word], 0)
 
         def sums(x: np.ndarray) -> np.ndarray:
-            return np.bincount(self.line.text, x, self.line.texts)
+            return np.bincount(line.text, x, line.texts)
 
-        return sums(known).astype(np.int64), sums(single), sums(value)
+        return sums(known).astype(np.int64), sums(single), self.automaton().read(line)
+
+
+@dataclass
+class Automaton:
+    """Arcs sorted by (source, word) of all states but the empty one, which has an arc for each word to that word's state."""
+
+    single: np.ndarray
+    keys: np.ndarray
+    target: np.ndarray
+    weight: np.ndarray
+    failure: np.ndarray
+    backoff: np.ndarray
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State after the next word, and log probability of the way there, for many texts."""
+        after, gained = np.empty_like(state), np.zeros(len(state))
+        open_ = np.arange(len(state))
+        while len(open_):
+            here, next_word = state[open_], word[open_]
+            root = here == 0
+            done = open_[root]
+            after[done] = 1 + next_word[root]
+            gained[done] += self.single[next_word[root]]
+            open_, here, next_word = open_[~root], here[~root], next_word[~root]
+            key = here * len(self.single) + next_word
+            arc = np.searchsorted(self.keys, key)
+            has = arc < len(self.keys)
+            has[has] = self.keys[arc[has]] == key[has]
+            after[open_[has]] = self.target[arc[has]]
+            gained[open_[has]] += self.weight[arc[has]]
+            open_, here = open_[~has], here[~has]
+            gained[open_] += self.backoff[here]
+            state = state.copy()
+            state[open_] = self.failure[here]
+        return after, gained
+
+    def read(self, line: Line) -> np.ndarray:
+        """Log probability of each text, without its begin."""
+        words, pieces = line.words.place, -(-(line.counts + 1) // STRETCH)
+        text = np.repeat(np.arange(line.texts), pieces)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = line.starts[text] + 1 + nth * STRETCH
+        size = np.minimum(STRETCH, line.starts[text] + line.counts[text] + 2 - begin)
+        order = np.argsort(-size, kind="stable")
+        text, begin, size = text[order], begin[order], size[order]
+        state, total = np.zeros(len(text), np.int64), np.zeros(len(text))
+        for at in range(-SETTLED, STRETCH):
+            active = np.searchsorted(-size, -at, "left") if at > 0 else len(text)  # stretches with more than ``at`` words
+            if active == 0:
+                break
+            some = np.arange(active) if at >= 0 else np.flatnonzero(begin + at >= line.starts[text])
+            state[some], gained = self.step(state[some], words[begin[some] + at])
+            if at >= 0:
+                total[some] += gained
+        return np.bincount(text, total, line.texts)
 
 
 def _send_contexts(known: Known, block: int) -> pa.Table:
@@ -299,17 +397,32 @@ def _answer_contexts(sent: pa.Table, buckets: int) -> pa.Table:
     left = np.maximum(1 - np.add.reduceat(sums[bucket.order], bucket.begin, axis=0), 1e-12)
     weight = np.log10(left[:, 0]) - np.log10(left[:, 1])
     rows = [
-        (row["block"], row["kind"], row["bucket"], own.tobytes(), None, 0, 0)
+        (row["block"], row["kind"], row["bucket"], None, own.tobytes(), None, 0, 0)
         for row, own in zip(bucket.rows, bucket.back(weight))
     ]
     return _table(rows, ANSWER)
 
 
-def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, n = TaskContext.get().partitionId(), 0
-    for batch in blocks(batches, size=BLOCK):
-        yield batch.append_column("block", pa.array(np.full(batch.num_rows, task << 32 | n)))
-        n += 1
+def _in_blocks(batches: Iterator[pa.RecordBatch], passed: list[str]) -> Iterator[pa.RecordBatch]:
+    """One row for each block: the lists of the passed columns, bits of training texts, words and line."""
+    task = TaskContext.get().partitionId()
+    for n, batch in enumerate(blocks(batches, size=BLOCK)):
+        keys, place = np.unique(_hash_line(batch.column("text")), return_inverse=True)
+        trained = np.packbits(batch.column("trained").to_numpy(zero_copy_only=False).astype(bool)).tobytes()
+        lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(c)) for c in passed]
+        block = [[task << 32 | n], [trained], [keys.tobytes()], [_pack_ids(place, len(keys))]]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays(
+            [*lists, *map(pa.array, block, kinds)], names=[*passed, "block", "trained", "words", "line"]
+        )
+
+
+def _words_and_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for n in range(batch.num_rows):
+            block = batch.slice(n, 1).to_pylist()[0]
+            line = Line(block)
+            yield from _send_grams(block["block"], line, buckets, [(1, line.words), (2, line.pairs)]).to_batches()
 
 
 def score(
@@ -322,29 +435,24 @@ def score(
     spark = docs.sparkSession
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
     named = [f"p{i}" for i in range(len(passed))]
-    types = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(named, passed))
     source = docs.select(*(F.col(c).alias(n) for n, c in zip(named, passed)), F.col(text).alias("text"), trained.alias("trained"))
-    texts = stage(source.mapInArrow(_in_blocks, f"{types}, text string, trained boolean, block bigint").withColumn(
-        "at", F.monotonically_increasing_id()
-    ))
-    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    lists = ", ".join(f"{n} array<{docs.schema[c].dataType.simpleString()}>" for n, c in zip(named, passed))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     buckets = max(BUCKETS, -(-size // BUCKET))
+    whole = stage(
+        source.mapInArrow(lambda x: _in_blocks(x, named), f"{lists}, block bigint, trained binary, words binary, line binary"),
+        row_group=ROW_GROUP,
+    )
 
-    def ordered(table: pa.Table) -> pa.Table:
-        return table.sort_by("at")
-
-    def words_and_pairs(table: pa.Table) -> pa.Table:
-        table = ordered(table)
-        line = Line(table.column("text").combine_chunks())
-        return _send_grams(table, buckets, [(1, line.words), (2, line.pairs)], line)
+    def first(table: pa.Table) -> dict:
+        return table.select(["block", "trained", "words", "line"]).to_pylist()[0]
 
     def triples(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = ordered(left)
-        known = Known(left, right, buckets)
-        return _send_grams(left, buckets, [(3, known.grams)], known.line)
+        known = Known(first(left), right, buckets)
+        return _send_grams(left.column("block")[0].as_py(), known.line, buckets, [(3, known.grams)])
 
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = Known(ordered(left), right, buckets).weigh(mass, discount)
+        known = Known(first(left), right, buckets).weigh(mass, discount)
         return _send_contexts(known, left.column("block")[0].as_py())
 
     def answered(sent: DataFrame, answer) -> DataFrame:
@@ -353,8 +461,8 @@ def score(
         release(spark)
         return found
 
-    lines = texts.select("block", "at", "text", "trained")
-    counts = answered(lines.groupBy("block").applyInArrow(words_and_pairs, SENT), _answer_counts)
+    lines = whole.select("block", "trained", "words", "line")
+    counts = answered(lines.mapInArrow(lambda x: _words_and_pairs(x, buckets), SENT), _answer_counts)
     totals = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     tokens, mass = totals[0], totals[0] + 0.5 * (totals[1] + 1)
     by_block = lines.groupBy("block").cogroup(counts.groupBy("block"))
@@ -363,13 +471,12 @@ def score(
     weights = answered(by_block.applyInArrow(contexts, SENT), _answer_contexts)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = ordered(left)
-        known = Known(left, right, buckets).weigh(mass, discount)
-        columns = [left.column(n) for n in named] + [pa.array(known.line.counts + 1), *map(pa.array, known.scores())]
+        known = Known(first(left), right, buckets).weigh(mass, discount)
+        columns = [left.column(n).combine_chunks().flatten() for n in named] + [pa.array(known.line.counts + 1), *map(pa.array, known.scores())]
         return pa.table(columns, names=[*passed, "n_tokens", "n_known", "base_score", "score"])
 
     answers = counts.unionByName(weights).groupBy("block")
-    found = texts.drop("trained").groupBy("block").cogroup(answers).applyInArrow(
+    found = whole.groupBy("block").cogroup(answers).applyInArrow(
         scored, f"{kinds}, n_tokens bigint, n_known bigint, base_score double, score double"
     )
     return found, tokens

@@ -36,10 +36,13 @@ def staged_path(spark: SparkSession) -> str:
     return path
 
 
-def stage(frame: DataFrame) -> DataFrame:
-    """Writes ``frame`` once and returns the table read back: later uses neither recompute it nor depend on executors."""
+def stage(frame: DataFrame, row_group: int = 128 << 20) -> DataFrame:
+    """Writes ``frame`` once and returns the table read back: later uses neither recompute it nor depend on executors.
+
+    ``row_group`` is the size in bytes of a row group; smaller ones keep readers of long rows small.
+    """
     path = staged_path(frame.sparkSession)
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", row_group).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
