@@ -9,8 +9,8 @@ numbers in the order of the texts. A block sends the sorted hashes of its differ
 buckets of the hash range, one packed row for each bucket that gets any, so never more rows than n-grams. A bucket adds
 the counts up and answers in the order of the block's own hashes, so no hash travels back: totals of words, and of longer
 n-grams which are kept and their totals. Words and pairs go first; only triples of two kept pairs can be kept, so no
-others are sent. The first block of a kept n-gram adds its probability to the sums of its context; a last exchange of
-contexts turns these sums into backoff weights. Both blocks and buckets are bounded, their number grows with the texts,
+others are sent. The first block of a kept n-gram adds it to the sums of its context, all whole numbers; a last exchange
+of contexts adds these up, and every block makes the backoff weights of them. Both blocks and buckets are bounded, their number grows with the texts,
 nothing is broadcast, and a hot n-gram gives one value for each block.
 
 Automaton: each block builds the part of the automaton that its texts can reach, with the weights of the whole corpus.
@@ -49,7 +49,8 @@ BEGIN, END = np.uint64(0xB5026F5AA96619E9), np.uint64(0x5851F42D4C957F2D)
 JOIN, JOIN_PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 SENT = "block bigint, kind int, bucket int, size int, keys binary, data binary"
-ANSWER = "block bigint, kind int, bucket int, kept binary, data binary, own binary, tokens bigint, types bigint"
+ANSWER = "block bigint, kind int, bucket int, kept binary, data binary, own binary, more binary, tokens bigint, types bigint"
+BLOCK_PARTS = ["block", "size", "trained", "words", "line"]
 #: Words of a text that are read in one stretch, and words after which the state no longer depends on the earlier ones.
 STRETCH, SETTLED = 256, 2
 
@@ -66,11 +67,11 @@ class Grams:
     @classmethod
     def of(cls, keys: np.ndarray, at: np.ndarray) -> Grams:
         values, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        return cls(values, at[first], place, at)
+        return cls(values, at[first], place.astype(np.int32), at)
 
     def everywhere(self, size: int) -> np.ndarray:
         """The n-gram that ends at each place of the line, -1 where none does."""
-        out = np.full(size, -1, np.int64)
+        out = np.full(size, -1, np.int32)
         out[self.at] = self.place
         return out
 
@@ -79,25 +80,24 @@ class Line:
     """Begin, words and end of all texts of a block in a row, and the n-grams that end at each of them."""
 
     def __init__(self, block: dict) -> None:
-        keys = np.frombuffer(block["words"], np.uint64)
-        place = _unpack_ids(block["line"], len(keys))
-        self.words = Grams(keys, place, place, np.arange(len(place)))
+        keys, place = _unpack_line(block["words"], block["size"], block["line"])
+        self.words = Grams(keys, place, place, np.arange(len(place), dtype=np.int32))
         self.line = keys[place]
         self.inner = self.line != BEGIN
         self.starts = np.flatnonzero(~self.inner)
         self.texts = len(self.starts)
         self.counts = np.diff(self.starts, append=len(place)) - 2
-        self.text = np.repeat(np.arange(self.texts), self.counts + 2)
+        self.text = np.repeat(np.arange(self.texts, dtype=np.int32), self.counts + 2)
         self.trained = np.unpackbits(np.frombuffer(block["trained"], np.uint8), count=self.texts).astype(bool)[self.text]
 
     @cached_property
     def pairs(self) -> Grams:
-        at = np.flatnonzero(self.inner)
+        at = np.flatnonzero(self.inner).astype(np.int32)
         return Grams.of(self.line[at - 1] * JOIN + self.line[at], at)
 
     def triples(self, kept: np.ndarray) -> Grams:
         """Triples whose two pairs are ``kept``, which tells it of the pair that ends at each place."""
-        at = np.flatnonzero(self.inner & kept)
+        at = np.flatnonzero(self.inner & kept).astype(np.int32)
         at = at[self.inner[at - 1] & kept[at - 1]]
         line = self.line
         return Grams.of((line[at - 2] * JOIN + line[at - 1]) * JOIN_PAIR + line[at], at)
@@ -113,20 +113,24 @@ def _hash_line(texts: pa.Array) -> np.ndarray:
     return line
 
 
-def _id_width(count: int) -> int:
-    return max(1, -(-(count - 1).bit_length() // 8))
+def _pack_line(line: np.ndarray) -> tuple[bytes, bytes]:
+    """Different hashes, the most frequent first, and the line as their numbers, all low bytes first, compressed."""
+    keys, place, counts = np.unique(line, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(keys), "<u4")
+    rank[order] = np.arange(len(keys))
+    planes = np.ascontiguousarray(rank[place].view(np.uint8).reshape(-1, 4).T)
+    return keys[order].tobytes(), pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
-def _pack_ids(ids: np.ndarray, count: int) -> bytes:
-    """Numbers below ``count`` in as few bytes each as the largest needs."""
-    return np.ascontiguousarray(ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _id_width(count)]).tobytes()
-
-
-def _unpack_ids(data: bytes, count: int) -> np.ndarray:
-    width = _id_width(count)
-    wide = np.zeros((len(data) // width, 8), np.uint8)
-    wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return wide.view("<i8")[:, 0]
+def _unpack_line(words: bytes, size: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes, and the line as their numbers."""
+    keys = np.frombuffer(words, np.uint64)
+    planes = np.frombuffer(pa.decompress(data, 4 * size, "zstd", asbytes=True), np.uint8).reshape(4, -1)
+    order = np.argsort(keys)
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.arange(len(keys), dtype=np.int32)
+    return keys[order], rank[np.ascontiguousarray(planes.T).view("<u4")[:, 0]]
 
 
 def _parts(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
@@ -207,7 +211,7 @@ class Bucket:
 
     def back(self, values: np.ndarray) -> list[np.ndarray]:
         """One value for each different hash, dealt to the blocks in the order in which they sent the hashes."""
-        out = np.empty(len(self.order), values.dtype)
+        out = np.empty((len(self.order), *values.shape[1:]), values.dtype)
         out[self.order] = values[self.group]
         return np.split(out, np.cumsum(self.sizes)[:-1])
 
@@ -224,14 +228,14 @@ def _answer_counts(sent: pa.Table, buckets: int) -> pa.Table:
         word = bucket.keys != BEGIN
         found = int(sums[word].sum()), int((sums[word] > 0).sum())
         for row, total in zip(bucket.rows, bucket.back(sums)):
-            rows.append((row["block"], 1, row["bucket"], None, _packed(total), None, *found))
+            rows.append((row["block"], 1, row["bucket"], None, _packed(total), None, None, *found))
             found = 0, 0
         return _table(rows, ANSWER)
     for row, total, first in zip(bucket.rows, bucket.back(sums), owned):
         kept = total >= LEAST
         if kept.any():
             bits = (np.packbits(x).tobytes() for x in (kept, first[kept]))
-            rows.append((row["block"], row["kind"], row["bucket"], next(bits), _packed(total[kept]), next(bits), 0, 0))
+            rows.append((row["block"], row["kind"], row["bucket"], next(bits), _packed(total[kept]), next(bits), None, 0, 0))
     return _table(rows, ANSWER)
 
 
@@ -249,15 +253,25 @@ class Known:
         self.pairs, self.own_pairs = self._totals(2, pairs.keys)
         self.grams = self.line.triples((self.pair >= 0) & (self.pairs[self.pair] > 0))
 
+    def with_triples(self) -> Known:
+        self.triples, self.own_triples = self._totals(3, self.grams.keys)
+        return self
+
     def weigh(self, mass: float, discount: float) -> Known:
-        """Probabilities of all words and of kept pairs and triples."""
+        """Probabilities of all words and of kept pairs and triples, and the weights of their contexts."""
         pairs, triples = self.line.pairs, self.grams
-        self.triples, self.own_triples = self._totals(3, triples.keys)
         self.single = (self.words + 0.5) / mass
-        before = self.word[pairs.first - 1]
-        self.pair_p = np.where(self.pairs > 0, self.pairs - discount, 0) / np.maximum(self.words[before], 1)
-        before = self.pair[triples.first - 1]
-        self.triple_p = np.where(self.triples > 0, self.triples - discount, 0) / np.maximum(self.pairs[before], 1)
+        before = self.words[self.word[pairs.first - 1]]
+        self.pair_p = np.where(self.pairs > 0, self.pairs - discount, 0) / np.maximum(before, 1)
+        before = self.pairs[self.pair[triples.first - 1]]
+        self.triple_p = np.where(self.triples > 0, self.triples - discount, 0) / np.maximum(before, 1)
+
+        kept = np.flatnonzero(self.pairs > 0)
+        types, own, shorter = self._sums(11, self.line.words.keys)
+        self.word_weight = _weight(own - discount * types, self.words, shorter + 0.5 * types, mass)
+        types, own, shorter = self._sums(12, pairs.keys[kept])
+        last = self.words[self.word[pairs.first[kept]]]
+        self.pair_weight = _weight(own - discount * types, self.pairs[kept], shorter - discount * types, last)
         return self
 
     def _totals(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,23 +287,35 @@ class Known:
         return total, own
 
     def contexts(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(kind, hashes of contexts, sums of this block's own n-grams after them and of their shorter ones)."""
+        """(kind, hashes, sums) of contexts. Of this block's own kept n-grams, the sums have for each context: how many
+        go on after it, their counts, and the counts of the n-grams that the shorter context has in their place."""
         words, pairs, triples = self.line.words, self.line.pairs, self.grams
+
+        def sums(context: np.ndarray, size: int, counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+            order = np.argsort(context, kind="stable")
+            context, values = context[order], np.stack([np.ones_like(counts), counts, shorter], axis=1)[order]
+            out = np.zeros((size, 3), np.int64)
+            begin = np.flatnonzero(np.diff(context, prepend=-1))
+            if len(begin):
+                out[context[begin]] = np.add.reduceat(values, begin, axis=0)
+            return out
+
         own = np.flatnonzero(self.own_pairs & (self.pairs > 0))
         at = pairs.first[own]
-        a, b = self.word[at - 1], self.word[at]
-        after_word = np.stack([np.bincount(a, p, len(words.keys)) for p in (self.pair_p[own], self.single[b])], axis=1)
+        after_word = sums(self.word[at - 1], len(words.keys), self.pairs[own], self.words[self.word[at]])
         own = np.flatnonzero(self.own_triples & (self.triples > 0))
         at = triples.first[own]
-        a, b = self.pair[at - 1], self.pair[at]
-        after_pair = np.stack([np.bincount(a, p, len(pairs.keys)) for p in (self.triple_p[own], self.pair_p[b])], axis=1)
+        after_pair = sums(self.pair[at - 1], len(pairs.keys), self.triples[own], self.pairs[self.pair[at]])
         kept = self.pairs > 0
         return [(11, words.keys, after_word), (12, pairs.keys[kept], after_pair[kept])]
 
-    def backoff(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys))
+    def _sums(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros((3, len(keys)), np.int64)
         for bucket, a, b in _parts(keys, self.buckets):
-            out[a:b] = np.frombuffer(self.rows[kind, bucket]["data"], np.float64)
+            row = self.rows.get((kind, bucket))
+            if row is not None:  # else no kept n-gram goes on after any of them
+                some = a + np.flatnonzero(np.unpackbits(np.frombuffer(row["kept"], np.uint8), count=b - a))
+                out[:, some] = [_unpacked(row[c], len(some)) for c in ("own", "data", "more")]
         return out
 
     def automaton(self) -> Automaton:
@@ -305,7 +331,7 @@ class Known:
         word = np.concatenate([self.word[at], self.word[end]])
         target = np.concatenate([state[kept], state[self.pair[end]]])
         weight = np.log10(np.concatenate([self.pair_p[kept], self.triple_p[longest]]))
-        key = source * len(words.keys) + word
+        key = source.astype(np.int64) * len(words.keys) + word
         order = np.argsort(key)
         return Automaton(
             single=np.log10(self.single),
@@ -313,7 +339,7 @@ class Known:
             target=target[order],
             weight=weight[order],
             failure=np.concatenate([np.zeros(1 + len(words.keys), np.int64), 1 + self.word[at]]),
-            backoff=np.concatenate([[0.0], self.backoff(11, words.keys), self.backoff(12, pairs.keys[kept])]),
+            backoff=np.concatenate([[0.0], self.word_weight, self.pair_weight]),
         )
 
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -383,23 +409,46 @@ class Automaton:
         return np.bincount(text, total, line.texts)
 
 
+def _weight(own: np.ndarray, context: np.ndarray, shorter: np.ndarray, shorter_context: np.ndarray | float) -> np.ndarray:
+    """log10 of what the kept n-grams of a context leave, over what their shorter ones leave of the shorter context."""
+    left, left_shorter = (1 - part / np.maximum(whole, 1e-300) for part, whole in ((own, context), (shorter, shorter_context)))
+    return np.where(own > 0, np.log10(np.maximum(left, 1e-12)) - np.log10(np.maximum(left_shorter, 1e-12)), 0.0)
+
+
 def _send_contexts(known: Known, block: int) -> pa.Table:
+    """The data has a bit for each context that has sums, the sizes of the three packed sums, and these."""
     rows = []
+
+    def pack(a: int, b: int) -> bytes:
+        some = sums[a:b, 0] > 0
+        parts = [_packed(x) for x in sums[a:b][some].T]
+        return np.packbits(some).tobytes() + np.array([len(x) for x in parts], "<u4").tobytes() + b"".join(parts)
+
     for kind, keys, sums in known.contexts():
-        rows += _sent(block, kind, keys, known.buckets, lambda a, b: sums[a:b].tobytes())
+        rows += _sent(block, kind, keys, known.buckets, pack)
     return _table(rows, SENT)
 
 
+def _unpack_sums(data: bytes, size: int) -> np.ndarray:
+    bits, out = -(-size // 8), np.zeros((size, 3), np.int64)
+    some = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, bits), count=size))
+    ends = np.cumsum([bits + 12, *np.frombuffer(data, "<u4", 3, bits).tolist()])
+    for n in range(3):
+        out[some, n] = _unpacked(data[ends[n] : ends[n + 1]], len(some))
+    return out
+
+
 def _answer_contexts(sent: pa.Table, buckets: int) -> pa.Table:
-    """log10 backoff weight of each context; zero where no kept n-gram goes on."""
+    """Sums of all blocks for the contexts that have any: how many n-grams, their counts, counts of the shorter ones."""
     bucket = Bucket.of(sent, buckets)
-    sums = np.concatenate([np.frombuffer(r["data"], np.float64).reshape(-1, 2) for r in bucket.rows])
-    left = np.maximum(1 - np.add.reduceat(sums[bucket.order], bucket.begin, axis=0), 1e-12)
-    weight = np.log10(left[:, 0]) - np.log10(left[:, 1])
-    rows = [
-        (row["block"], row["kind"], row["bucket"], None, own.tobytes(), None, 0, 0)
-        for row, own in zip(bucket.rows, bucket.back(weight))
-    ]
+    sums = np.concatenate([_unpack_sums(r["data"], n) for r, n in zip(bucket.rows, bucket.sizes)])
+    sums, rows = np.add.reduceat(sums[bucket.order], bucket.begin, axis=0), []
+    for row, part in zip(bucket.rows, bucket.back(sums)):
+        some = part[:, 0] > 0
+        if some.any():
+            types, own, shorter = (_packed(x) for x in part[some].T)
+            bits = np.packbits(some).tobytes()
+            rows.append((row["block"], row["kind"], row["bucket"], bits, own, types, shorter, 0, 0))
     return _table(rows, ANSWER)
 
 
@@ -407,13 +456,14 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], passed: list[str]) -> Iterator
     """One row for each block: the lists of the passed columns, bits of training texts, words and line."""
     task = TaskContext.get().partitionId()
     for n, batch in enumerate(blocks(batches, size=BLOCK)):
-        keys, place = np.unique(_hash_line(batch.column("text")), return_inverse=True)
+        line = _hash_line(batch.column("text"))
+        words, packed = _pack_line(line)
         trained = np.packbits(batch.column("trained").to_numpy(zero_copy_only=False).astype(bool)).tobytes()
         lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(c)) for c in passed]
-        block = [[task << 32 | n], [trained], [keys.tobytes()], [_pack_ids(place, len(keys))]]
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        block = [[task << 32 | n], [len(line)], [trained], [words], [packed]]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
-            [*lists, *map(pa.array, block, kinds)], names=[*passed, "block", "trained", "words", "line"]
+            [*lists, *map(pa.array, block, kinds)], names=[*passed, *BLOCK_PARTS]
         )
 
 
@@ -440,19 +490,19 @@ def score(
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     buckets = max(BUCKETS, -(-size // BUCKET))
     whole = stage(
-        source.mapInArrow(lambda x: _in_blocks(x, named), f"{lists}, block bigint, trained binary, words binary, line binary"),
+        source.mapInArrow(lambda x: _in_blocks(x, named), f"{lists}, block bigint, size bigint, trained binary, words binary, line binary"),
         row_group=ROW_GROUP,
     )
 
     def first(table: pa.Table) -> dict:
-        return table.select(["block", "trained", "words", "line"]).to_pylist()[0]
+        return table.select(BLOCK_PARTS).to_pylist()[0]
 
     def triples(left: pa.Table, right: pa.Table) -> pa.Table:
         known = Known(first(left), right, buckets)
         return _send_grams(left.column("block")[0].as_py(), known.line, buckets, [(3, known.grams)])
 
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = Known(first(left), right, buckets).weigh(mass, discount)
+        known = Known(first(left), right, buckets).with_triples()
         return _send_contexts(known, left.column("block")[0].as_py())
 
     def answered(sent: DataFrame, answer) -> DataFrame:
@@ -461,7 +511,7 @@ def score(
         release(spark)
         return found
 
-    lines = whole.select("block", "trained", "words", "line")
+    lines = whole.select(*BLOCK_PARTS)
     counts = answered(lines.mapInArrow(lambda x: _words_and_pairs(x, buckets), SENT), _answer_counts)
     totals = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     tokens, mass = totals[0], totals[0] + 0.5 * (totals[1] + 1)
@@ -471,7 +521,7 @@ def score(
     weights = answered(by_block.applyInArrow(contexts, SENT), _answer_contexts)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = Known(first(left), right, buckets).weigh(mass, discount)
+        known = Known(first(left), right, buckets).with_triples().weigh(mass, discount)
         columns = [left.column(n).combine_chunks().flatten() for n in named] + [pa.array(known.line.counts + 1), *map(pa.array, known.scores())]
         return pa.table(columns, names=[*passed, "n_tokens", "n_known", "base_score", "score"])
 

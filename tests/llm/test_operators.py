@@ -316,22 +316,62 @@ def test_language_model(spark, folder):
 
     want = defaultdict(list)
     for (i, *_), line, ok in zip(rows, lines, train):
-        if len(line) > 5000:
-            continue
         full = ["begin", *line]
         value = math.log10(p2("begin", line[0])) + sum(math.log10(p3(*t)) for t in zip(full, full[1:], full[2:]))
         base = sum(math.log10(p1(w)) for w in line)
         want[i].append((not ok, len(line), sum(single[w] > 0 for w in line), total, base, value))
     got = defaultdict(list)
     for r in QUERIES["op5_lm_scoring"](spark, folder).collect():
-        if r.n_tokens <= 5000:
-            got[r.doc_id].append(tuple(r)[1:])
+        got[r.doc_id].append(tuple(r)[1:])
     assert got.keys() == want.keys()
+    assert max(len(line) for line in lines) > 30_000
     for i in want:
         for a, b in zip(sorted(got[i]), sorted(want[i])):
             assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=1e-6), i
 
 
+def test_automaton_reads_stretches_like_whole_texts(spark, monkeypatch):
+    """Long texts are cut into stretches; stretches of one and of three words give the same scores and keep every text apart."""
+    from logweir.llm import lm
+
+    random = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in random.zipf(1.4, size) % 50) for size in (0, 1, 2, 3, 700, 40, 257)]
+    hashed = lm._hash_line(pa.array(texts))
+    words, packed = lm._pack_line(hashed)
+    block = {"words": words, "line": packed, "size": len(hashed), "trained": np.packbits(np.ones(7, bool)).tobytes()}
+    line = lm.Line(block)
+    assert (line.line == hashed).all() and line.counts.tolist() == [0, 1, 2, 3, 700, 40, 257]
+    sent = lm._send_grams(0, line, 4, [(1, line.words), (2, line.pairs)])
+
+    def answers(sent: pa.Table, answer) -> list[pa.Table]:
+        rows = sent.to_pylist()
+        groups = sorted({(r["kind"], r["bucket"]) for r in rows})
+        return [answer(pa.Table.from_pylist([r for r in rows if (r["kind"], r["bucket"]) == g], sent.schema), 4) for g in groups]
+
+    found = answers(sent, lm._answer_counts)
+    known = lm.Known(block, pa.concat_tables(found), 4)
+    found += answers(lm._send_grams(0, line, 4, [(3, known.grams)]), lm._answer_counts)
+    known = lm.Known(block, pa.concat_tables(found), 4).with_triples()
+    found += answers(lm._send_contexts(known, 0), lm._answer_contexts)
+    total = sum(t.column("tokens").to_pylist()[0] for t in found if t.num_rows)
+    types = sum(t.column("types").to_pylist()[0] for t in found if t.num_rows)
+    mass = total + 0.5 * (types + 1)
+    automaton = lm.Known(block, pa.concat_tables(found), 4).with_triples().weigh(mass, 0.75).automaton()
+    whole = automaton.read(line)
+    for stretch in (1, 3, 10_000):
+        monkeypatch.setattr(lm, "STRETCH", stretch)
+        assert automaton.read(line) == pytest.approx(whole, abs=1e-9)
+    # after any context the probabilities of all words and of one unknown word add up to one
+    every = np.arange(len(line.words.keys))
+    every = every[line.words.keys != lm.BEGIN]
+    for state in random.choice(len(automaton.failure), 60):
+        _, gained = automaton.step(np.full(len(every), state), every)
+        unknown, at = math.log10(0.5 / mass), state
+        while at:
+            unknown, at = unknown + automaton.backoff[at], automaton.failure[at]
+        assert (10.0**gained).sum() + 10.0**unknown == pytest.approx(1, abs=1e-9)
+
+
 def test_language_model_keeps_every_repeated_gram(spark):
     """A pair and a triple seen twice stay, however many other tokens the corpus has."""
     from logweir.llm.lm import score
