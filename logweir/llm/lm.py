@@ -44,6 +44,8 @@ LEAST = 2
 BLOCK, BUCKET, BUCKETS = 8 << 20, 24 << 20, 128
 #: Bytes of a row group of the staged blocks: a reader holds a few blocks at a time.
 ROW_GROUP = 16 << 20
+#: Mark of packed counts that are compressed.
+COMPRESSED = 128
 #: What stands for the begin and the end of a text among the hashes of words, and what joins hashes.
 BEGIN, END = np.uint64(0xB5026F5AA96619E9), np.uint64(0x5851F42D4C957F2D)
 JOIN, JOIN_PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -156,13 +158,20 @@ def _unpack_keys(size: int, data: bytes, bucket: int, buckets: int) -> np.ndarra
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs."""
-    most = int(counts.max(initial=0))
-    return counts.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if most < 256 ** np.dtype(t).itemsize)).tobytes()
+    """Number of bytes that the largest count needs, then all low bytes first, compressed where that is shorter."""
+    width = max(1, -(-int(counts.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    small = pa.compress(planes, "zstd", asbytes=True)
+    return bytes([width | COMPRESSED]) + small if len(small) < len(planes) else bytes([width]) + planes
 
 
 def _unpacked(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64) if size else np.zeros(0, np.int64)
+    width, planes = data[0] & ~COMPRESSED, data[1:]
+    if data[0] & COMPRESSED:
+        planes = pa.decompress(planes, width * size, "zstd", asbytes=True)
+    wide = np.zeros((size, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, size).T
+    return wide.view("<i8")[:, 0]
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
@@ -267,8 +276,10 @@ class Known:
         self.triple_p = np.where(self.triples > 0, self.triples - discount, 0) / np.maximum(before, 1)
 
         kept = np.flatnonzero(self.pairs > 0)
-        types, own, shorter = self._sums(11, self.line.words.keys)
-        self.word_weight = _weight(own - discount * types, self.words, shorter + 0.5 * types, mass)
+        common = np.flatnonzero(self.words >= LEAST)
+        types, own, shorter = self._sums(11, self.line.words.keys[common])
+        self.word_weight = np.zeros(len(self.words))
+        self.word_weight[common] = _weight(own - discount * types, self.words[common], shorter + 0.5 * types, mass)
         types, own, shorter = self._sums(12, pairs.keys[kept])
         last = self.words[self.word[pairs.first[kept]]]
         self.pair_weight = _weight(own - discount * types, self.pairs[kept], shorter - discount * types, last)
@@ -307,7 +318,8 @@ class Known:
         at = triples.first[own]
         after_pair = sums(self.pair[at - 1], len(pairs.keys), self.triples[own], self.pairs[self.pair[at]])
         kept = self.pairs > 0
-        return [(11, words.keys, after_word), (12, pairs.keys[kept], after_pair[kept])]
+        common = self.words >= LEAST
+        return [(11, words.keys[common], after_word[common]), (12, pairs.keys[kept], after_pair[kept])]
 
     def _sums(self, kind: int, keys: np.ndarray) -> np.ndarray:
         out = np.zeros((3, len(keys)), np.int64)
