@@ -234,11 +234,12 @@ def test_list_decoding_is_complete():
     assert set(zip(*(x.tolist() for x in capfilter.list_decode(units, 12, 1.5, 17)))) == want
 
 
+@pytest.mark.parametrize("passes, bucket", [(24, 64), (4, 128)])
 @pytest.mark.parametrize("count", [10_256, 1_000_000])
-def test_cap_filters_keep_their_recall(count):
+def test_cap_filters_keep_their_recall(count, passes, bucket):
     """Of fresh random pairs at the threshold, at least 99.5 % share a filter at every number of vectors."""
-    share = 64 / count
-    alpha, codes = NormalDist().inv_cdf(1 - share), math.ceil(math.sqrt(24 / share))
+    share = bucket / count
+    alpha, codes = NormalDist().inv_cdf(1 - share), math.ceil(math.sqrt(passes / share))
     a, b = np.random.default_rng(99).standard_normal((2, 600, 64))
     a = capfilter._unit(a)
     b = 0.95 * a + math.sqrt(1 - 0.95**2) * capfilter._unit(b - (a * b).sum(axis=1, keepdims=True) * a)
