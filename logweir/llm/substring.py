@@ -1,35 +1,48 @@
 """Removal of passages that repeat across a corpus, with a count-min prefilter.
 
-A window is ``window`` consecutive words of one document. First pass: every task counts window hashes in a sketch of
-``depth`` rows; the partition sketches are merged by cell ranges into "counted twice or more" bitmaps. A count-min
-estimate is never below the true count, so every window that repeats passes. Second pass: only windows that pass are
-grouped exactly, by 96-bit fingerprints of their word sequence, in buckets sized to the input; those that turn out to be alone are the prefilter's
-errors. Third pass: each document takes its errors back and removes the words that the remaining windows cover.
+A window is ``window`` consecutive words of one document. Texts are cut into blocks of bounded size, staged once, and every
+step reads whole blocks.
 
-The sketch has about two cells a window up to ``max_cells`` a row, which bounds what is sent to every task (an eighth
-of a byte a cell and row). Beyond that size more single windows reach the exact grouping; the result stays the same.
+First pass: every block counts its windows in a sketch of ``depth`` rows, and sends the cells it counted, packed by cell range.
+One task a range merges the sketches of all blocks and answers each block with one bit a cell: counted twice or more. So no
+task and no broadcast ever holds the whole sketch, and it has two to four cells a window at every size of the corpus. A count-min
+estimate is never below the true count, so every window that repeats passes all rows. Second pass: only windows that
+pass are grouped exactly, by 96-bit fingerprints of their word sequence, in buckets whose number grows with the input; a
+block sends a window that it holds several times once, so that a passage of many documents gives one row for each block. The
+buckets answer with the places of those that repeat. Third pass: each block removes the words that these cover.
+
+A block sends at most one row a range and row of the sketch, and never more rows than windows; with ever more ranges the
+rows become small (some 700 windows at 30 GB, 20 at 1 TB).
 
 Defined results: a null or short text has no window and keeps its words; a repeated row repeats its windows, so all
-its windowed words go from both; rows are told apart by ``doc_id`` and text; further columns are ignored.
+its windowed words go from both; rows are told apart by their place in the staged blocks; further columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.buckets import runs
-from logweir.llm.words import Words, blocks, hash_words, mix, powers, split_words
+from logweir.llm.staging import stage
+from logweir.llm.words import Words, blocks, hash_words, mix, powers, split_words, text_buffer
 
 #: Fixed value: odd base of the rolling window hash.
 BASE = 0x9E3779B97F4A7C15
-#: Cells of a sketch row in one merge range, bytes of text for a bucket of the exact grouping.
-RANGE, BUCKET_BYTES = 1 << 20, 1 << 26
+#: Least cells of a sketch row, most cells of one merge range, bytes of text of a block and for a bucket of the exact grouping.
+RANGE, PART, BLOCK, BUCKET_BYTES = 1 << 20, 1 << 24, 4 << 20, 1 << 26
+#: Bytes of a row group of the staged blocks: a reader holds a few blocks at a time.
+ROW_GROUP = 16 << 20
+
+CELLS = "row int, part int, block bigint, size int, cells binary, twice binary"
+PASSES = "row int, part int, block bigint, passes binary"
+WINDOWS = "bucket int, block bigint, words int, size int, places binary, high binary, low binary, again binary"
+REPEATED = "block bigint, words int, size int, places binary"
 
 
 def rolling(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,205 +54,212 @@ def rolling(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray,
     total = np.zeros(count + 1, np.uint64)
     np.cumsum(hashes * powers(BASE, count), out=total[1:])
     at = np.arange(count - window + 1)
-    at = at[words.documents()[at] == words.documents()[at + window - 1]]
+    document = words.documents()
+    at = at[document[at] == document[at + window - 1]]
     return mix((total[at + window] - total[at]) * powers(inverse, count)[at]), at
 
 
 def cells(first: np.ndarray, row: int, width: int) -> np.ndarray:
     """Cell of each window in one row of the sketch."""
-    return mix(first + np.uint64(0x632BE59BD9B4E019) * np.uint64(row + 1)) >> np.uint64(64 - width)
-
-
-def pack(places: np.ndarray) -> bytes:
-    """Sorted distinct numbers as gaps of one byte; 255 means that the gap goes on."""
-    gaps = np.diff(places, prepend=0)
-    more = gaps // 255
-    out = np.full(int((more + 1).sum()), 255, np.uint8)
-    out[np.cumsum(more + 1) - 1] = gaps % 255
-    return out.tobytes()
-
-
-def unpack(packed: bytes) -> np.ndarray:
-    gaps = np.frombuffer(packed, np.uint8)
-    return np.cumsum(gaps, dtype=np.int64)[gaps < 255]
-
-
-def _partial_sketch(batches: Iterator[pa.RecordBatch], window: int, depth: int, width: int) -> Iterator[pa.RecordBatch]:
-    """(row, part, once, twice): cells of a task counted at all and counted more than once."""
-    held: list[np.ndarray] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        hashes = np.concatenate(held) if held else np.zeros(0, np.uint64)
-        held.clear()
-        for row in range(depth):
-            place = np.sort(cells(hashes, row, width)).astype(np.int64)
-            again = np.zeros(len(place), bool)
-            again[1:] = place[1:] == place[:-1]
-            once, twice = place[~again], np.unique(place[again])
-            ranges = np.unique(once // RANGE)
-            for part in ranges:
-                low, high = part * RANGE, (part + 1) * RANGE
-                cut = [x[np.searchsorted(x, low) : np.searchsorted(x, high)] - low for x in (once, twice)]
-                columns = [[row], [int(part)], [pack(cut[0])], [pack(cut[1])]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *map(pa.array, columns[2:])],
-                    names=["row", "part", "once", "twice"],
-                )
-
-    size = 0
-    for batch in blocks(batches):
-        words = split_words(batch.column(0))
-        found, _ = rolling(words, hash_words(words), window)
-        held.append(found)
-        size += len(found)
-        if size > 1 << 23:
-            yield from flush()
-            size = 0
-    yield from flush()
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, part, bits): bitmap of the cells that all sketches together counted twice or more."""
-    counts: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for row, part, once, twice in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            count = counts.setdefault((row, part), np.zeros(RANGE, np.uint8))
-            places = unpack(once)
-            count[places] = np.minimum(count[places] + 1, 2)
-            count[unpack(twice)] = 2
-    for (row, part), count in counts.items():
-        bits = np.packbits(count > 1).tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([row], pa.int32()), pa.array([part], pa.int32()), pa.array([bits], pa.binary())],
-            names=["row", "part", "bits"],
-        )
-
-
-def sketch(
-    docs: DataFrame, size: int, window: int, depth: int, max_cells: int, text: str = "text"
-) -> tuple[Broadcast, int]:
-    """Broadcast bitmaps, one for each row, and the logarithm of their length."""
-    width = int(np.clip(int(size // 3).bit_length(), RANGE.bit_length() - 1, int(max_cells).bit_length() - 1))
-    parts = docs.select(text).mapInArrow(
-        lambda x: _partial_sketch(x, window, depth, width), "row int, part int, once binary, twice binary"
-    )
-    merged = parts.repartition("row", "part").mapInArrow(_merge, "row int, part int, bits binary")
-    bitmaps = np.zeros((depth, (1 << width) // 8), np.uint8)
-    for row, part, bits in merged.toLocalIterator():
-        bitmaps[row, part * (RANGE // 8) : (part + 1) * (RANGE // 8)] = np.frombuffer(bits, np.uint8)
-    return docs.sparkSession.sparkContext.broadcast(bitmaps), width
-
-
-def passing(first: np.ndarray, bitmaps: np.ndarray, width: int) -> np.ndarray:
-    """Which windows the sketch estimates at two or more."""
-    keep = np.arange(len(first))
-    for row in range(len(bitmaps)):
-        cell = cells(first[keep], row, width)
-        byte, bit = (cell >> np.uint64(3)).astype(np.int64), 7 - (cell & np.uint64(7)).astype(np.uint8)
-        keep = keep[(bitmaps[row][byte] >> bit) & 1 == 1]
-    return keep
+    return (mix(first + np.uint64(0x632BE59BD9B4E019) * np.uint64(row + 1)) >> np.uint64(64 - width)).astype(np.int64)
 
 
-def _estimated(words: Words, window: int, bitmaps: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first word of the windows that pass."""
-    first, at = rolling(words, hash_words(words), window)
-    keep = passing(first, bitmaps, width)
-    return first[keep], at[keep]
+def _low_bits(count: int, universe: int) -> int:
+    return max(0, (universe // max(count, 1)).bit_length() - 1)
 
 
-PACKED = ("high", "low", "doc", "place", "place_top", "again")
-KINDS = ("<u8", "<u4", "<i8", "<u2", "<u2", "u1")
+def pack(places: np.ndarray, universe: int) -> bytes:
+    """Sorted distinct numbers below ``universe``: their low bits side by side, then a set bit for each high part."""
+    count = len(places)
+    low = _low_bits(count, universe)
+    high = np.zeros(count + (universe >> low) + 1, bool)
+    high[(places >> low) + np.arange(count)] = True
+    lows = np.unpackbits(places.astype(">u4").view(np.uint8).reshape(count, 4), axis=1)[:, 32 - low :]
+    return np.packbits(lows).tobytes() + np.packbits(high).tobytes()
 
 
-def _windows(
-    batches: Iterator[pa.RecordBatch], window: int, bitmaps: Broadcast, width: int, buckets: int
+def unpack(data: bytes, count: int, universe: int) -> np.ndarray:
+    low = _low_bits(count, universe)
+    wide = np.zeros((count, 32), np.uint8)
+    size = -(-count * low // 8)
+    wide[:, 32 - low :] = np.unpackbits(np.frombuffer(data, np.uint8, size), count=count * low).reshape(count, low)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=size))) - np.arange(count)
+    return high << low | np.packbits(wide, axis=1).view(">u4")[:, 0].astype(np.int64)
+
+
+def _bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
+
+
+def _flags(data: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=count).astype(bool)
+
+
+def _cut(groups: np.ndarray) -> list[tuple[int, int, int]]:
+    """(group, begin, end) of each run of equal numbers."""
+    begin = np.flatnonzero(np.diff(groups, prepend=-1))
+    return list(zip(groups[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(groups)]))
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [(name, kinds[kind]) for name, kind in (f.split() for f in schema.split(", "))]
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.table({name: pa.array(list(c), kind) for (name, kind), c in zip(fields, columns)}, pa.schema(fields))
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block: the list of keys, its number, where each text ends, and all texts compressed."""
+    task = TaskContext.get().partitionId()
+    for n, batch in enumerate(blocks(batches, size=BLOCK)):
+        data, offsets = text_buffer(batch.column("text"))
+        keys = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("key"))
+        body = pa.compress(data.tobytes(), "zstd", asbytes=True) if len(data) else b""
+        values = [pa.array([task << 32 | n]), pa.array([offsets.astype("<i8").tobytes()]), pa.array([body])]
+        yield pa.RecordBatch.from_arrays([keys, *values], names=["keys", "block", "offsets", "body"])
+
+
+@dataclass
+class Block:
+    number: int
+    data: bytes
+    offsets: np.ndarray
+    words: Words
+
+    @classmethod
+    def of(cls, number: int, offsets: bytes, body: bytes) -> Block:
+        ends = np.frombuffer(offsets, "<i8")
+        data = pa.decompress(body, int(ends[-1]), "zstd", asbytes=True) if ends[-1] else b""
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        texts = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, buffers)
+        return cls(number, data, ends, split_words(texts))
+
+    @classmethod
+    def each(cls, table: pa.Table | pa.RecordBatch) -> Iterator[Block]:
+        for n in range(table.num_rows):
+            yield cls.of(*(table.column(c)[n].as_py() for c in ("block", "offsets", "body")))
+
+    def windows(self, window: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        return rolling(self.words, hash_words(self.words, seed), window)
+
+
+def _partial_sketch(
+    batches: Iterator[pa.RecordBatch], window: int, depth: int, width: int, part: int
 ) -> Iterator[pa.RecordBatch]:
-    """The windows that pass, packed by bucket; a window that a piece holds more than once is sent once and marked."""
-    held: list[list[np.ndarray]] = []
+    """Cells that a block counted, and which of them more than once, by row and range of ``part`` cells."""
+    for batch in batches:
+        for block in Block.each(batch):
+            first, _ = block.windows(window)
+            rows = []
+            for row in range(depth):
+                found, counts = np.unique(cells(first, row, width), return_counts=True)
+                for name, a, b in _cut(found // part):
+                    packed = pack(found[a:b] - name * part, part)
+                    rows.append((row, name, block.number, b - a, packed, _bits(counts[a:b] > 1)))
+            yield from _table(rows, CELLS).to_batches()
+
+
+def _merge(sent: pa.Table, part: int) -> pa.Table:
+    """Which of the cells that a block sent are counted twice or more by the sketches of all blocks together."""
+    rows, total, own = sent.to_pylist(), np.zeros(part, np.uint8), []
+    for row in rows:
+        place = unpack(row["cells"], row["size"], part).astype(np.int32)
+        total[place] = np.minimum(total[place] + 1, 2)
+        total[place[_flags(row["twice"], row["size"])]] = 2
+        own.append(place)
+    return _table([(r["row"], r["part"], r["block"], _bits(total[p] > 1)) for r, p in zip(rows, own)], PASSES)
+
+
+def _passing(first: np.ndarray, answers: pa.Table, depth: int, width: int, part: int) -> np.ndarray:
+    """Which windows the merged sketch estimates at two or more."""
+    bits = {(r["row"], r["part"]): r["passes"] for r in answers.to_pylist()}
+    keep = np.ones(len(first), bool)
+    for row in range(depth):
+        found, of = np.unique(cells(first, row, width), return_inverse=True)
+        keep &= np.concatenate([_flags(bits[row, name], b - a) for name, a, b in _cut(found // part)])[of]
+    return keep
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        high, low, doc, place = (np.concatenate(x) for x in zip(*held))
-        held.clear()
+
+def _windows(
+    left: pa.Table, answers: pa.Table, window: int, depth: int, width: int, part: int, buckets: int
+) -> pa.Table:
+    """The windows of a block that pass, by bucket. Of those that the block itself holds more than once, one is sent and
+    marked, and a row of their own, without fingerprints, has all their places."""
+    rows: list[tuple] = []
+    for block in Block.each(left):
+        high, at = block.windows(window)
+        if len(high) == 0:
+            continue
+        keep = _passing(high, answers, depth, width, part)
+        if not keep.any():
+            continue
+        low = (block.windows(window, 1)[0][keep] >> np.uint64(32)).astype("<u4")
+        high, at, size = high[keep], at[keep], len(block.words.start)
         order = np.lexsort((low, high))
         new = np.ones(len(order), bool)
-        new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
-        again = np.zeros(len(order), bool)
-        again[order[:-1]] = ~new[1:]
-        keep = np.sort(order[new])
-        bucket = (high[keep] % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        keep, bucket = keep[order], bucket[order]
-        columns = (high[keep], low[keep], doc[keep], place[keep] & 0xFFFF, place[keep] >> 16, again[keep])
-        names, at = np.unique(bucket, return_index=True)
-        for name, begin, end in zip(names.tolist(), at.tolist(), [*at[1:].tolist(), len(bucket)]):
-            packed = [pa.array([c[begin:end].astype(k).tobytes()], pa.binary()) for c, k in zip(columns, KINDS)]
-            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), *packed], names=["bucket", *PACKED])
-
-    size = 0
-    for batch in blocks(batches):
-        words = split_words(batch.column("text"))
-        high, at = _estimated(words, window, bitmaps.value, width)
-        if len(at) == 0:
-            continue
-        total, place = rolling(words, hash_words(words, 1), window)
-        low = (total[np.searchsorted(place, at)] >> np.uint64(32)).astype(np.uint32)
-        doc = words.documents()[at]
-        held.append([high, low, batch.column("doc").to_numpy()[doc], at - words.bounds[doc]])
-        size += len(at)
-        if size > 1 << 20:
-            yield from flush()
-            size = 0
-    if held:
-        yield from flush()
-
-
-def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, place) of windows that occur once: input sorted by bucket, each of which is grouped exactly."""
-    for piece in runs(batches, ["bucket"]):
-        bucket = piece.column("bucket").to_numpy()
-        bounds = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
-        for begin, end in zip(bounds, [*bounds[1:], len(bucket)]):
-            part = piece.slice(begin, end - begin)
-            values = [
-                np.concatenate([np.frombuffer(x.as_buffer(), k) for x in part.column(c)]) for c, k in zip(PACKED, KINDS)
-            ]
-            high, low, doc, place, top, again = values
-            order = np.lexsort((low, high))
-            same = (high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])
-            single = again[order] == 0
-            single[1:] &= ~same
-            single[:-1] &= ~same
-            at = order[single]
-            places = place[at].astype(np.int32) | top[at].astype(np.int32) << 16
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(places)], names=["doc", "place"])
-
-
-def _remove(
-    batches: Iterator[pa.RecordBatch], window: int, bitmaps: Broadcast, width: int, key: str
-) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches):
-        texts = batch.column("text")
-        words = split_words(texts)
-        _, at = _estimated(words, window, bitmaps.value, width)
-        errors = batch.column("errors")
-        counts = np.array([0 if x is None else x for x in errors.value_lengths().to_pylist()], np.int64)
-        alone = errors.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(words.bounds[:-1], counts)
-        at = at[~np.isin(at, alone)]
-        step = np.zeros(len(words.start) + 1, np.int64)
-        np.add.at(step, at, 1)
-        np.add.at(step, at + window, -1)
-        kept = np.cumsum(step)[:-1] == 0
-        removed = np.concatenate([[0], np.cumsum(~kept)])
-        removed = removed[words.bounds[1:]] - removed[words.bounds[:-1]]
-        out = []
-        for d, text in enumerate(texts.to_pylist()):
-            own = slice(words.bounds[d], words.bounds[d + 1])
-            pieces = (text or "").encode("utf-8", "surrogatepass").split()
-            if removed[d]:
-                pieces = [w for w, stays in zip(pieces, kept[own].tolist()) if stays]
-            out.append(b" ".join(pieces).decode("utf-8", "surrogatepass"))
-        columns = [batch.column(key), pa.array(words.counts()), pa.array(removed), pa.array(out, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=[key, "n_words", "n_removed", "kept_text"])
+        new[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        many = np.zeros(len(order), bool)
+        many[order] = np.diff(np.flatnonzero(new), append=len(order))[np.cumsum(new) - 1] > 1
+        if many.any():
+            places = at[many]
+            rows.append((block.number % buckets, block.number, size, len(places), pack(places, size), None, None, None))
+        sent = np.sort(order[new])
+        bucket = (high[sent] % np.uint64(buckets)).astype(np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        sent = sent[by_bucket]
+        for name, a, b in _cut(bucket[by_bucket]):
+            own = sent[a:b]
+            packed = pack(at[own], size), high[own].astype("<u8").tobytes(), low[own].tobytes(), _bits(many[own])
+            rows.append((name, block.number, size, len(own), *packed))
+    return _table(rows, WINDOWS)
+
+
+def _repeated(sent: pa.Table) -> pa.Table:
+    """Places of the windows of a bucket that occur more than once, for each block."""
+    known, rows, found = [], [], []
+    for row in sent.to_pylist():
+        (known if row["high"] is None else rows).append(row)
+    if rows:
+        high = np.concatenate([np.frombuffer(r["high"], "<u8") for r in rows])
+        low = np.concatenate([np.frombuffer(r["low"], "<u4") for r in rows])
+        repeated = np.concatenate([_flags(r["again"], r["size"]) for r in rows])
+        order = np.lexsort((low, high))
+        same = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
+        repeated[order[1:][same]] = repeated[order[:-1][same]] = True
+        for row, own in zip(rows, np.split(repeated, np.cumsum([r["size"] for r in rows])[:-1])):
+            places = unpack(row["places"], row["size"], row["words"])[own]
+            if len(places):
+                found.append((row["block"], row["words"], len(places), pack(places, row["words"])))
+    return _table([*((r["block"], r["words"], r["size"], r["places"]) for r in known), *found], REPEATED)
+
+
+def _remove(left: pa.Table, right: pa.Table, window: int, key: str) -> pa.Table:
+    """The texts of a block without the words that repeated windows cover."""
+    block = next(Block.each(left))
+    words, step = block.words, np.zeros(len(block.words.start) + 1, np.int64)
+    for row in right.to_pylist():
+        places = unpack(row["places"], row["size"], row["words"])  # distinct within a row
+        step[places] += 1
+        step[places + window] -= 1
+    kept = np.cumsum(step)[:-1] == 0
+    removed = np.concatenate([[0], np.cumsum(~kept)])
+    removed = removed[words.bounds[1:]] - removed[words.bounds[:-1]]
+    out = []
+    for d in range(len(block.offsets) - 1):
+        pieces = block.data[block.offsets[d] : block.offsets[d + 1]].split()
+        if removed[d]:
+            own = kept[words.bounds[d] : words.bounds[d + 1]]
+            pieces = [w for w, stays in zip(pieces, own.tolist()) if stays]
+        out.append(b" ".join(pieces).decode("utf-8", "surrogatepass"))
+    keys = left.column("keys").combine_chunks().flatten()
+    columns = [keys, pa.array(words.counts()), pa.array(removed), pa.array(out, pa.string())]
+    return pa.table(columns, names=[key, "n_words", "n_removed", "kept_text"])
+
+
+def sketch_width(size: int, max_cells: int | None = None) -> int:
+    """Logarithm of the cells of a sketch row for ``size`` bytes of text: at least a third of them."""
+    width = max((size // 3).bit_length(), RANGE.bit_length() - 1)
+    return width if max_cells is None else min(width, max_cells.bit_length() - 1)
 
 
 def remove_repeats(
@@ -248,24 +268,28 @@ def remove_repeats(
     text: str = "text",
     window: int = 35,
     depth: int = 2,
-    max_cells: int = 1 << 28,
+    max_cells: int | None = None,
 ) -> DataFrame:
-    """(key, n_words, n_removed, kept_text) of every row; ``kept_text`` has one space between words."""
-    source = docs.select(
-        F.col(key), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("doc")
-    )
+    """(key, n_words, n_removed, kept_text) of every row; ``kept_text`` has one space between words.
+
+    ``max_cells`` bounds a sketch row by choice: more windows then reach the exact grouping, the result is the same.
+    """
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bitmaps, width = sketch(source, size, window, depth, max_cells)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, size // BUCKET_BYTES + 1)
-    found = source.select("text", "doc").mapInArrow(
-        lambda x: _windows(x, window, bitmaps, width, buckets), "bucket int, " + ", ".join(f"{c} binary" for c in PACKED)
-    )
-    grouped = found.repartition("bucket").sortWithinPartitions("bucket")
-    errors = grouped.mapInArrow(_alone, "doc bigint, place int").groupBy("doc").agg(F.collect_list("place").alias("errors"))
-    joined = source.join(errors, "doc", "left").select(key, "text", "errors")
+    width = sketch_width(size, max_cells)
+    part = min(PART, 1 << width)
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
     kind = docs.schema[key].dataType.simpleString()
-    return joined.mapInArrow(
-        lambda x: _remove(x, window, bitmaps, width, key),
-        f"`{key}` {kind}, n_words bigint, n_removed bigint, kept_text string",
+    whole = stage(
+        source.mapInArrow(_in_blocks, f"keys array<{kind}>, block bigint, offsets binary, body binary"), row_group=ROW_GROUP
+    )
+    sketches = whole.mapInArrow(lambda x: _partial_sketch(x, window, depth, width, part), CELLS)
+    answers = sketches.repartition(buckets, "row", "part").groupBy("row", "part").applyInArrow(lambda x: _merge(x, part), PASSES)
+    texts = whole.repartition(buckets, "block").groupBy("block")
+    by_block = texts.cogroup(answers.repartition(buckets, "block").groupBy("block"))
+    passed = by_block.applyInArrow(lambda a, b: _windows(a, b, window, depth, width, part, buckets), WINDOWS)
+    found = passed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_repeated, REPEATED)
+    by_block = texts.cogroup(found.repartition(buckets, "block").groupBy("block"))
+    return by_block.applyInArrow(
+        lambda a, b: _remove(a, b, window, key), f"`{key}` {kind}, n_words bigint, n_removed bigint, kept_text string"
     )

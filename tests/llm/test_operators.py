@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from logweir.llm import capfilter, simhash, toxicity
+from logweir.llm import capfilter, simhash, substring, toxicity
 from logweir.llm.bpe import Merges
 from logweir.llm.decontaminate import decontaminate
 from logweir.llm.queries import QUERIES
@@ -204,6 +204,50 @@ def test_substring_with_a_tiny_sketch(spark, folder):
     assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect()))
 
 
+def test_substring_in_a_crowded_sketch_of_many_ranges(spark, folder, monkeypatch):
+    """Nearly every window shares its cells, so that single windows reach the exact grouping and stay."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(substring, "PART", 1 << 7)
+    small = substring.remove_repeats(docs, max_cells=1 << 10)
+    large = substring.remove_repeats(docs)
+    assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect()))
+
+
+def test_the_sketch_grows_with_the_texts():
+    for size in (0, 10**8, 10**10, 10**14):
+        assert size // 3 <= 1 << substring.sketch_width(size) <= max(substring.RANGE, size)
+
+
+@pytest.mark.parametrize("universe", [1, 100, 1 << 24, 1 << 31])
+@pytest.mark.parametrize("count", [0, 1, 50, 5000])
+def test_packed_places(universe, count):
+    places = np.unique(np.random.default_rng(count).integers(0, universe, count))
+    assert np.array_equal(substring.unpack(substring.pack(places, universe), len(places), universe), places)
+
+
+def test_merged_sketches_lose_no_repeated_window():
+    pick = np.random.default_rng(5)
+    sent = [pick.integers(0, 2**63, 3000, dtype=np.uint64) for _ in range(4)]
+    sent[1][:500] = sent[0][:500]
+    sent[2][:200] = sent[2][200:400]
+    width, part, rows, answers = 14, 1 << 9, [], []
+    for number, first in enumerate(sent):
+        for row in range(2):
+            found, counts = np.unique(substring.cells(first, row, width), return_counts=True)
+            for name, a, b in substring._cut(found // part):
+                own = substring.pack(found[a:b] - name * part, part)
+                rows.append((row, name, number, b - a, own, np.packbits(counts[a:b] > 1).tobytes()))
+    for group in {(r[0], r[1]) for r in rows}:
+        own = [r for r in rows if (r[0], r[1]) == group]
+        answers += substring._merge(substring._table(own, substring.CELLS), part).to_pylist()
+    seen = Counter(np.concatenate(sent).tolist())
+    for number, first in enumerate(sent):
+        mine = pa.Table.from_pylist([r for r in answers if r["block"] == number])
+        passes = substring._passing(first, mine, 2, width, part)
+        assert all(p for w, p in zip(first.tolist(), passes.tolist()) if seen[w] > 1)
+        assert passes.mean() < 0.7
+
+
 def test_embeddings(spark, folder):
     rows = vectors()
     good = [i for i, (_, v, _) in enumerate(rows) if v and None not in v and np.isfinite(v).all() and np.any(v)]
