@@ -50,6 +50,7 @@ class IngestConfig:
     missing_outer: str = "null"
     cast_rules: CastRules = CastRules()
     routing_mode: str = "exact"
+    trailing_text: str = "ignore"
 
     target_schema: str = "public"
     target_table: str | None = None
@@ -68,6 +69,7 @@ class IngestConfig:
         _one_of("fanout", self.fanout, FANOUT)
         _one_of("routing_mode", self.routing_mode, ("exact", "regex"))
         _one_of("on_error", self.on_error, ON_ERROR)
+        _one_of("trailing_text", self.trailing_text, ("ignore", "quarantine"))
         _one_of("staging_format", self.staging_format, STAGING_FORMATS)
         _one_of("missing_outer", self.missing_outer, ("null", "drop"))
         if self.on_error == "quarantine" and not self.quarantine_location:

@@ -153,20 +153,25 @@ def _match(tagged: DataFrame, events: DataFrame, how: str) -> DataFrame:
 
 
 def sort_out(
-    df: DataFrame, names: Sequence[str], mode: str = "exact", schema: T.StructType | None = None
+    df: DataFrame, names: Sequence[str], mode: str = "exact", schema: T.StructType | None = None, one_document: bool = False
 ) -> DataFrame:
     """Add ``record, event, outcome, reason``: one parse per record decides routed, unrouted or quarantined.
 
-    With a wider ``schema`` than the bare event tag, the same parse also reads the fields.
+    With a wider ``schema`` than the bare event tag, the same parse also reads the fields. With ``one_document`` records that
+    have text after their object are quarantined, which costs a second look at every text.
     """
-    value, record = F.col("value"), F.col("record")
+    value, record, wanted = F.col("value"), F.col("record"), F.col("wanted")
+    parsed = df.withColumn("record", records.parse_record("value", schema or records.record_type()))
+    match, trailing = belongs(value, record, names, mode), None
+    if one_document:
+        parsed, trailing = parsed.withColumn("trailing", records.trailing_text(value, record)), F.col("trailing")
+        match = match & ~trailing
     return (
-        df.withColumn("record", records.parse_record("value", schema or records.record_type()))
-        .withColumn("wanted", belongs(value, record, names, mode))
-        .withColumn("reason", F.when(~F.col("wanted"), records.defect(value, record)))
-        .withColumn("outcome", records.outcome(F.col("wanted"), F.col("reason")))
+        parsed.withColumn("wanted", match)
+        .withColumn("reason", F.when(~wanted, records.defect(value, record, trailing)))
+        .withColumn("outcome", records.outcome(wanted, F.col("reason")))
         .withColumn("event", records.event_of(record))
-        .drop("wanted")
+        .drop("wanted", "trailing")
     )
 
 

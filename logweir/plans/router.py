@@ -89,11 +89,11 @@ def tag_batch(df: DataFrame, catalog: EventCatalog, config: IngestConfig) -> Dat
     names = catalog.event_names
     parsed = parsed_schema(catalog, config)
     mode = "each" if config.routing_mode == "regex" else config.routing_mode
-    tagged = routing.sort_out(df.select("value"), names, mode, parsed)
+    tagged = routing.sort_out(df.select("value"), names, mode, parsed, config.trailing_text == "quarantine")
     routed = F.col("outcome") == ROUTED
     events = [F.when(routed, F.col("event")).alias("event")]
     if config.routing_mode == "regex":
-        events = [F.posexplode_outer(routing.text_events(names)).alias(COPY, "event")]
+        events = [F.posexplode_outer(F.when(routed, routing.text_events(names))).alias(COPY, "event")]
     sorted_out = tagged.select(
         *([] if parsed is None else [F.when(routed, F.col("record")).alias("record")]),
         F.col("value"),

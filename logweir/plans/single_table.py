@@ -39,7 +39,8 @@ def single_table_batch(
     if not fields:
         return finish(batch, BatchReport(batch.batch_id, (TableStatus(table, status.NO_FIELDS),)), config)
     preview(batch.df, "source", config, log)
-    ready = routing.sort_out(batch.df.select("value"), names, config.routing_mode, record_schema(fields))
+    one_document = config.trailing_text == "quarantine"
+    ready = routing.sort_out(batch.df.select("value"), names, config.routing_mode, record_schema(fields), one_document)
 
     def write(routed: DataFrame, present: set[str] | None) -> str | None:
         """The error, if the table could not be written."""

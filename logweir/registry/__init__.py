@@ -31,6 +31,6 @@ register = REGISTRY.register
 
 
 def load_all() -> Registry:
-    from logweir.registry import batches, catalogs, delivery, failures, history, projections, refresh, routes, sinks, streams, textual  # noqa: F401
+    from logweir.registry import batches, catalogs, delivery, failures, history, jobs, projections, refresh, routes, sinks, streams, textual  # noqa: F401
 
     return REGISTRY

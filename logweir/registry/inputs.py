@@ -101,6 +101,21 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).select("event_id", text.alias("value"))
 
 
+# Records that share their message with other text: a second document, a bracket too many, or just white space.
+TRAILING_SQL = f"""
+select event_id, event_type, concat(value, case when event_value < 5 then ' {{"event":"view"}}' when event_value < 10 then '}}'
+  when event_value < 15 then ']' when event_value < 20 then ',' when event_value < 30 then '  ' else '' end) as value
+from ({ENVELOPE_SQL})
+"""
+
+
+def trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("event_value")
+    more = F.when(size < 5, ' {"event":"view"}').when(size < 10, "}").when(size < 15, "]").when(size < 20, ",")
+    text = F.concat("value", more.when(size < 30, "  ").otherwise(""))
+    return records(spark, sf_dir).select("event_id", text.alias("value"))
+
+
 # Records that quote an earlier event in a nested object: textual and structural routing disagree on them.
 NESTED_SQL = f"""
 select event_id, event_type,

@@ -8,11 +8,13 @@ from logweir.registry.inputs import (
     DAMAGED_SQL,
     ENVELOPE_SQL,
     NESTED_SQL,
+    TRAILING_SQL,
     damaged,
     nested,
     records,
     routes,
     table,
+    trailing,
 )
 from logweir.sources.stream import decode
 
@@ -90,3 +92,14 @@ def quarantine_malformed(spark, sf_dir):
 )
 def record_outcomes(spark, sf_dir):
     return routing.sort_out(damaged(spark, sf_dir), SET).select("event_id", "outcome")
+
+
+@register(
+    f"""select event_id, case when not json_valid(value) then 'quarantined' when event_type in ('click', 'view', 'signup')
+        then 'routed' else 'unrouted' end as outcome,
+      case when not json_valid(value) then 'text after the record' end as reason
+    from ({TRAILING_SQL})"""
+)
+def trailing_text_outcomes(spark, sf_dir):
+    """Only records that are one whole document are used."""
+    return routing.sort_out(trailing(spark, sf_dir), SET, one_document=True).select("event_id", "outcome", "reason")

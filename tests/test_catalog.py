@@ -94,6 +94,11 @@ def test_metadata_is_refused_not_cut(spark):
     assert len(bounds.collect_metadata(spark.range(5), "rows", max_rows=5)) == 5
     with pytest.raises(ValueError):
         bounds.collect_metadata(spark.range(6), "rows", max_rows=5)
+    spark.conf.set(bounds.BOUND_SETTING, "6")
+    try:
+        assert len(bounds.collect_metadata(spark.range(6), "rows", max_rows=5)) == 6
+    finally:
+        spark.conf.unset(bounds.BOUND_SETTING)
 
 
 def test_catalog_tables_from_files(spark, events, folder):

@@ -105,6 +105,20 @@ def test_keys_that_differ_in_case_use_the_text_layout(spark, texts, folder):
     assert rows(sink.read(spark, "a")) == [(1, 1)] and rows(sink.read(spark, "b")) == [(2, 2)]
 
 
+@pytest.mark.parametrize("mode", ["exact", "regex"])
+def test_records_with_text_after_them_are_quarantined_on_request(spark, texts, folder, mode):
+    two = VALUES[0] + VALUES[2]  # textual routing finds two tables in it
+    strict = config(folder, routing_mode=mode, trailing_text="quarantine", quarantine_location=f"{folder}/bad")
+    sink = ParquetSink(folder)
+    report = route_batch(Batch(texts(*VALUES[:3], two), 0), CATALOG, sink, strict, quiet)
+    assert (report.total, report.routed, report.unrouted, report.quarantined) == (4, 3, 0, 1)
+    bad = spark.read.parquet(f"{folder}/bad").select("value", "reason").collect()
+    assert [tuple(r) for r in bad] == [(two, "text after the record")]
+    single = config(folder, target_table="all", trailing_text="quarantine", routing_mode=mode)
+    report = single_table_batch(Batch(texts(*VALUES[:3], two), 0), ["click", "view"], SPECS, sink, single, quiet)
+    assert (report.routed, report.quarantined) == (3, 1)
+
+
 def test_missing_outer_fields_are_null_or_dropped(spark, texts, folder):
     catalog = EventCatalog({"click": fields_from_specs(["session:varchar", "asn:int", "k:varchar(8)"])})
     run(texts(VALUES[0]), f"{folder}/null", catalog)

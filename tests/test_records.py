@@ -51,6 +51,21 @@ def test_having_agrees_with_sort_out(texts, wanted):
     assert sorted((str(r.value), str(r.reason)) for r in got) == sorted((str(r.value), str(r.reason)) for r in want)
 
 
+def test_text_after_a_record_is_a_reason_on_request(texts):
+    good = '{"event":"aa","k":[1,{"x":"}"}]}'
+    after = [' {"event":"bb"}', "}", "]", ",", ", {}", ' ,{"__end":1}', ',{"__end":1}]', " x", "\\", '"', "]]", "/"]
+    whole = [good, f" {good} ", f"\n{good}\t\r\n", '{"event":"aa","__end":"x"}', '{"event":"aa","event":"aa"}', '{"event":"aa"}']
+    other = ['{"k":1}', "[1]", "5", "", None, '{"event":"aa"', '{"k":1} {"event":"aa"}']
+    df = texts(*[good + more for more in after], *whole, *other)
+    loose = routing.sort_out(df, ["aa"]).groupBy("outcome").count().collect()
+    assert {r.outcome: r["count"] for r in loose}["routed"] == len(after) + len(whole)
+    rows = routing.sort_out(df, ["aa"], one_document=True).collect()
+    assert [r.value for r in rows if r.outcome == "routed"] == whole
+    assert [r.value for r in rows if r.reason == "text after the record"] == [good + more for more in after] + other[-1:]
+    want = [r for r in routing.sort_out(texts(*other[:-1]), ["aa"]).collect()]
+    assert [r.reason for r in rows if r.value in other[:-1]] == [r.reason for r in want]
+
+
 def test_exact_and_textual_routing_differ_as_documented(texts):
     df = texts('{"event": "aa"}', '{"p":{"event":"aa"}}', '{"event":"aaXX"}', '{"event":"zz","k":"bb"}', '{"event":"zcc"}', None)
     names = ["aa", "bb", "cc"]
