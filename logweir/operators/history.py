@@ -29,7 +29,14 @@ KEYS = ("event", "path")
 
 
 def evidence(tagged: DataFrame, batch_id: int) -> DataFrame:
-    """One row for each event and folded path of ``tagged(value, event)``, nested objects one level deep."""
+    """One row for each event and folded path of ``tagged(value, event)``, nested objects one level deep.
+
+    Values are counted by event, path as written and kind first, by plain keys; all else is said of those few rows, not of each value.
+    """
+    # what an object or a list holds is no part of the evidence, and would make its kind a group of its own
+    outer = F.substring_index(F.schema_of_variant("doc"), "<", 1)
+    seen = observed_paths(tagged).select("event", "path", outer.alias("kind"))
+    counted = seen.groupBy("event", "path", "kind").agg(F.count(F.lit(1)).alias("rows"))
     kind = F.col("kind")
     shape = r"^DECIMAL\((\d+),(\d+)\)$"
     precision, scale = (F.regexp_extract(kind, shape, group).try_cast("int") for group in (1, 2))
@@ -38,15 +45,14 @@ def evidence(tagged: DataFrame, batch_id: int) -> DataFrame:
         "exact": kind.rlike("^(BIGINT|DECIMAL)"),
         "double": kind.isin("DOUBLE", "FLOAT"),
         "string": kind == "STRING",
-        "struct": kind.startswith("OBJECT<"),
-        "array": kind.startswith("ARRAY<"),
+        "struct": kind == "OBJECT",
+        "array": kind == "ARRAY",
     }
     known = kind == "VOID"
     for flag in flags.values():
         known = known | flag
-    seen = observed_paths(tagged).select("event", "path", F.schema_of_variant("doc").alias("kind"))
-    return seen.groupBy("event", F.lower("path").alias("path")).agg(
-        F.count(F.lit(1)).alias("rows"),
+    return counted.groupBy("event", F.lower("path").alias("path")).agg(
+        F.sum("rows").alias("rows"),
         F.array_sort(F.collect_set("path")).alias("spellings"),
         F.max(F.when(kind == "BIGINT", LONG_DIGITS).otherwise(precision - scale)).alias("digits"),
         F.max(F.when(kind == "BIGINT", 0).otherwise(scale)).alias("scale"),

@@ -101,3 +101,28 @@ def test_events_are_apart_and_empty_batches_are_fine(spark, texts, folder):
     history.record(two, "s", 1)
     history.record(empty, "s", 2)
     assert sorted((r.event, r.type) for r in history.schemas("s").collect()) == [("1", "bigint"), ("x", "string")]
+
+
+def test_values_are_counted_by_plain_keys_before_all_else(texts):
+    """One value costs one count; sets, flags and patterns are left to the few rows of event, path and kind."""
+    rows = evidence(tagged(texts, '{"k":{"x":1}}', '{"K":{"y":"z"}}', '{"k":[{"x":1}]}', '{"k":1.5}', '{"k":null}'), 0)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    aggregates = [line.strip(" +-:") for line in plan.splitlines() if "Aggregate(" in line]
+    lowest = aggregates[-1]
+    assert lowest.startswith("HashAggregate(") and "kind" in lowest and "functions=[partial_count(1)]" in lowest
+    row = rows.where("path = 'k'").first()
+    assert (row.rows, row.spellings, row.struct, row.array, row.exact, row.digits, row.scale, row.other) == (
+        5, ["K", "k"], True, True, True, 1, 1, False
+    )
+
+
+def test_a_file_of_one_row_group_is_parsed_by_many_tasks(spark, folder):
+    from logweir.registry.history import batches
+
+    rows = [(f"2024-01-{day:02d} 10:00:00", "click", 1.5, '{"k": 1}') for day in range(1, 31)]
+    events = spark.createDataFrame(rows, "ts string, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert many > 1
+    assert [part.rdd.getNumPartitions() for part in batches(spark, folder)] == [many, many]
+    assert [part.count() for part in batches(spark, folder)] == [15, 15]
