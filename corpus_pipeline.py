@@ -25,7 +25,7 @@ from logweir.llm.quality import score_quality
 from logweir.llm.queries import TOKENIZER, read
 from logweir.llm.secrets import redact, scan_secrets
 from logweir.llm.simhash import near_duplicates
-from logweir.llm.staging import stage
+from logweir.llm.staging import release, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -53,6 +53,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, row = numbered(docs)
     groups = near_duplicates(rows.select(row, "text"), key=row).select(row, "component_id")
+    release(spark)  # the rounds behind the groups are staged; their plans and shuffle files need not outlive them
     first = F.struct(F.col("doc_id").isNull(), "doc_id", row)
     members = groups.join(rows.select(row, "doc_id"), row)
     kept = members.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col(f"first.{row}").alias(row))

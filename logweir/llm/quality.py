@@ -29,6 +29,9 @@ from logweir.llm.words import blocks, hash_words, split_words, text_buffer
 #: Buckets of words, rank of the pair weights.
 BUCKETS, RANK = 1 << 12, 6
 
+#: Bytes of text whose words a task holds at once while it scores; their arrays take some thirty times as much.
+SCORED = 1 << 20
+
 _CLASSES = {
     "digit": list(b"0123456789"),
     "upper": list(range(65, 91)),
@@ -101,6 +104,17 @@ def extract(texts: pa.Array, stated: pa.Array) -> Features:
     return Features(text, code % BUCKETS, amount / norm[text], np.stack(columns, axis=1))
 
 
+def extract_rows(texts: list[str | None], stated: list[int | None], size: int = 1 << 18) -> Features:
+    """Features of texts in the driver, read by blocks of ``size`` bytes: what all words take at once would be many times the texts."""
+    whole = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(stated, pa.int64())], names=["text", "stated"])
+    parts, at = [], 0
+    for block in blocks([whole], size=size):
+        x = extract(block.column(0), block.column(1))
+        parts.append((x.text + at, x.bucket, x.value, x.dense))
+        at += block.num_rows
+    return Features(*(np.concatenate(column) for column in zip(*parts)))
+
+
 @dataclass
 class QualityModel:
     """Weights and factors of the words, then of the dense features, which are standardised and clipped first."""
@@ -138,7 +152,7 @@ def fit(
     if len(set(labels.tolist())) < 2:
         none = np.zeros(size)
         return QualityModel(0.0, none, none, none, none, float(labels.mean()) if len(labels) else 1.0)
-    x = extract(pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()))
+    x = extract_rows([r[0] for r in rows], [r[1] for r in rows])
     mean, spread = x.dense.mean(axis=0), x.dense.std(axis=0) + 1e-6
     dense_count = x.dense.shape[1]
     random = np.random.default_rng(seed)
@@ -175,18 +189,19 @@ def fit(
 
 
 def _score(
-    batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[str], name: str
+    batches: Iterator[pa.RecordBatch], shared: Broadcast, passed: list[str], name: str, place: int
 ) -> Iterator[pa.RecordBatch]:
-    """The passed columns come first in each batch, then text and stated length, whose names may be those of passed ones."""
+    """The passed columns come first in each batch, the stated length last; ``place`` is that of the text, passed or not."""
     model: QualityModel = shared.value
-    at, names = len(passed), [f"c{i}" for i in range(len(passed) + 2)]
-    renamed = (pa.RecordBatch.from_arrays(batch.columns, names=names) for batch in batches)
-    for batch in blocks(renamed, names[at]):
-        if model.constant is None:
-            score = sigmoid(model.decisions(extract(batch.column(at), batch.column(at + 1))))
-        else:
-            score = np.full(batch.num_rows, model.constant)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(score)], names=[*passed, name])
+    at = len(passed)
+    for batch in batches:
+        renamed = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(batch.num_columns)])
+        for block in blocks([renamed], f"c{place}", SCORED):
+            if model.constant is None:
+                score = sigmoid(model.decisions(extract(block.column(place), block.column(block.num_columns - 1))))
+            else:
+                score = np.full(block.num_rows, model.constant)
+            yield pa.RecordBatch.from_arrays([*block.columns[:at], pa.array(score)], names=[*passed, name])
 
 
 def score_quality(
@@ -203,6 +218,7 @@ def score_quality(
     model = fit(training_sample(docs, labels, "quality", held_out, rows_per_class, [text, stated]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
-    own = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(passed)]
-    source = docs.select(*own, docs[text].alias(f"c{len(own)}"), docs[stated].cast("bigint").alias(f"c{len(own) + 1}"))
-    return source.mapInArrow(lambda x: _score(x, shared, passed, name), f"{kinds}, `{name}` double")
+    place = passed.index(text) if text in passed else len(passed)
+    sent = [docs[f"`{c}`"] for c in passed] + ([docs[text]] if place == len(passed) else []) + [docs[stated].cast("bigint")]
+    source = docs.select(*[c.alias(f"c{i}") for i, c in enumerate(sent)])
+    return source.mapInArrow(lambda x: _score(x, shared, passed, name, place), f"{kinds}, `{name}` double")

@@ -544,6 +544,36 @@ def test_training_sample_takes_one_row_a_key(spark):
     assert training_sample(docs, marks, "toxic", F.lit(False), 5, ["text"]) == [("b", 1), ("t0", 0)]
 
 
+def test_training_texts_are_read_by_block(monkeypatch):
+    from logweir.llm import quality
+
+    rows = [(None if i % 50 == 7 else sentences(i, i % 40 * 10), None if i % 9 == 4 else i, i % 2) for i in range(2000)]
+    texts, stated = [r[0] for r in rows], [r[1] for r in rows]
+    whole, read = quality.extract, []
+    monkeypatch.setattr(quality, "extract", lambda a, b: read.append(sum(len(x or "") for x in a.to_pylist())) or whole(a, b))
+    model = quality.fit(rows, epochs=1)
+    assert len(read) > 3 and max(read) <= 1 << 18 and sum(read) == sum(len(x or "") for x in texts)
+    assert model.constant is None
+    want, got = whole(pa.array(texts, pa.string()), pa.array(stated, pa.int64())), quality.extract_rows(texts, stated)
+    for name in ("text", "bucket", "value", "dense"):
+        assert np.array_equal(getattr(want, name), getattr(got, name)), name
+
+
+def test_scoring_sends_a_passed_text_once(spark):
+    from logweir.llm import quality
+
+    docs = spark.createDataFrame([(i, sentences(i, 30 + i % 7), 100 + i) for i in range(40)], "doc_id bigint, text string, n_chars bigint")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    scored = quality.score_quality(docs, labels, F.lit(False), docs.columns)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    sent = next(line for line in plan.splitlines() if "Project [" in line)
+    assert sent.count("text#") == 1, sent
+    apart = quality.score_quality(docs, labels, F.lit(False), ["doc_id"]).collect()
+    want = {r.doc_id: r.score for r in apart}
+    got = {r.doc_id: r for r in scored.collect()}
+    assert len(got) == 40 and all(abs(r.score - want[i]) < 1e-12 and r.text for i, r in got.items())
+
+
 def test_quality(spark, folder):
     rows = QUERIES["op9_quality"](spark, folder).collect()
     assert len(rows) == len(documents()) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
