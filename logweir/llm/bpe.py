@@ -38,6 +38,8 @@ NEVER = np.iinfo(np.int32).max
 LAST = 0x1000
 #: Letters of the longest words that are merged side by side.
 TOGETHER = 32
+#: Bytes of text that a task encodes at once.
+ENCODED = 1 << 20
 
 
 def byte_symbols() -> dict[int, str]:
@@ -356,7 +358,7 @@ def encode_column(texts: pa.Array, path: str, memory: int = 150_000) -> Encoded:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, names: list[str], digests: bool) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, "text", 4 << 20):
+    for batch in blocks(batches, "text", ENCODED):
         coded = encode_column(batch.column("text"), path)
         if digests:
             columns = [pa.array(x, pa.string()) for x in coded.digests()]

@@ -559,6 +559,21 @@ def test_training_texts_are_read_by_block(monkeypatch):
         assert np.array_equal(getattr(want, name), getattr(got, name)), name
 
 
+def test_texts_are_encoded_by_small_blocks(monkeypatch):
+    from logweir.llm import bpe
+
+    texts = [sentences(i, 400) for i in range(8)] * 150
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    encode, read = bpe.encode_column, []
+    monkeypatch.setattr(bpe, "encode_column", lambda a, path: read.append(sum(map(len, a.to_pylist()))) or encode(a, path))
+    out = list(bpe._encode(iter([batch]), PATH, ["doc_id", "n_tokens", "ids", "decoded"], False))
+    assert sum(len(t) for t in texts) > 2 << 20 and max(read) <= 1 << 20
+    ids = [x for block in out for x in block.column(2).to_pylist()]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[:8]]
+    assert ids == want * 150
+
+
 def test_scoring_sends_a_passed_text_once(spark):
     from logweir.llm import quality
 
