@@ -30,9 +30,9 @@ def distinct_runs(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(starts, offsets)
 
 
-def gather(values: list[bytes], places: np.ndarray, bounds: np.ndarray) -> tuple[memoryview, np.ndarray]:
+def gather(values: list[bytes] | pa.Array, places: np.ndarray, bounds: np.ndarray) -> tuple[memoryview, np.ndarray]:
     """The values at all places one after the other, and where those of each text begin and end."""
-    put = pa.array(values, pa.large_binary()).take(pa.array(places))
+    put = (values if isinstance(values, pa.Array) else pa.array(values, pa.large_binary())).take(pa.array(places))
     if len(put) == 0:
         return memoryview(b""), np.zeros(len(bounds), np.int64)
     ends = np.frombuffer(put.buffers()[1], np.int64)[put.offset : put.offset + len(put) + 1]

@@ -651,6 +651,34 @@ def test_bpe_random_words():
     assert merges.encode_runs(runs) == [e.ids for e in tokenizer.encode_batch(runs, add_special_tokens=False)]
 
 
+def test_bpe_cuts_ascii_texts_without_a_loop_over_runs(monkeypatch):
+    seen, pieces = [], Merges.pieces
+    monkeypatch.setattr(Merges, "pieces", lambda self, runs: seen.append(runs) or pieces(self, runs))
+    pick, tokenizer = random.Random(31), Tokenizer.from_file(PATH)
+    bits = ["'", "'s", "'S", "'re", "'LL", "'d", "''", "the", "Ing", "1", "23", "..", "!?", "\x1c", "\x00", "\x7f", "<|", " ", " ", "\n", "\t", "x" * 40]
+    texts = [None, "", " \n", *("".join(pick.choices(bits, k=pick.randint(0, 12))) for _ in range(3000))]
+    strange = ["te", "<|endof", "text|> a<|endoftext|>'s", "<|EndOfText|>", "ΣΑΣ'S é1 \x85 　日本　", "e\u0301 E\u0301 ﬁ"]
+    merges = Merges(PATH)
+    for some in (texts, texts + strange, strange * 2, [None], []):
+        coded = merges.encode(pa.array(some, pa.string()))
+        assert seen == [] or some is not texts
+        want = [e.ids for e in tokenizer.encode_batch([t or "" for t in some], add_special_tokens=False)]
+        assert coded.ids().to_pylist() == want and coded.counts().tolist() == [len(x) for x in want]
+        assert coded.decoded() == [tokenizer.decode(x, skip_special_tokens=False) for x in want]
+    assert seen and not any(run.isascii() and b"|" not in run for runs in seen for run in runs)
+
+
+def test_bpe_remembers_frequent_words(monkeypatch):
+    encoded, encode = Counter(), Merges.encode_words
+    monkeypatch.setattr(Merges, "encode_words", lambda self, words: encoded.update(words) or encode(self, words))
+    merges, tokenizer = Merges(PATH, memory=60), Tokenizer.from_file(PATH)
+    for block in range(30):
+        text = f"Often, (often) often! {sentences(700 + block, 40)}"
+        assert merges.encode_runs([text]) == [tokenizer.encode(text, add_special_tokens=False).ids]
+        assert len(merges.words.new) < 60 + 60 and len(merges.words.old) < 60 + 60
+    assert encoded[b"often"] == 1 and encoded.total() > 120
+
+
 def test_pipeline(spark, folder):
     """Each stage against its operator on the stage's own input, and the contents that must go or stay."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
